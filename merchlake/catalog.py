@@ -7,7 +7,7 @@ Surrogate keys are left out where only the business key is meaningful.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from datetime import datetime
 from functools import reduce
 
@@ -35,7 +35,7 @@ from merchlake.plans import analyses, dimensions, facts, marts, reconciliation,
 from merchlake.session import configure
 from merchlake.sources import files, supplied
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Positions and dates that individual queries ask for.
@@ -89,7 +89,7 @@ def volume_staged(spark: SparkSession, sf_dir: str) -> Tables:
 
 def star(staged: Tables) -> Tables:
     dims = dimensions.build_dimensions(staged)
-    return {**dims, **facts.build_facts(staged, dims)}
+    return dims | facts.build_facts(staged, dims)
 
 
 def page_steps(staged: Tables) -> DataFrame:
@@ -423,7 +423,7 @@ def _(spark, sf_dir):
     """Rows of every warehouse table and mart."""
     staged = web_staged(spark, sf_dir)
     tables = star(staged)
-    tables |= marts.build_marts(tables, page_steps(staged))
+    tables = tables | marts.build_marts(tables, page_steps(staged))
     parts = [
         rows.agg(F.count("*").alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
         for n, rows in tables.items()

@@ -23,10 +23,13 @@ def mark_rejected(rejected: DataFrame, run_id: str, rejected_at: datetime) -> Da
     )
 
 
-def quarantine(rejected: DataFrame, source: str, run_id: str, folder: str) -> int:
-    """Appends the rows under ``source=…/run_id=…`` as CSV and returns their number.
+def quarantine(
+    rejected: DataFrame, source: str, run_id: str, folder: str, replace: bool = False
+) -> int:
+    """Adds the rows under ``source=…/run_id=…`` as CSV and returns their number.
 
-    Partition folders appear only for rows that exist, so an empty batch leaves nothing.
+    Partition folders appear only for rows that exist, so an empty batch leaves nothing. With
+    ``replace`` a repeated call with the same names replaces what the first one wrote.
     """
     require_safe_name(source, "source")
     require_safe_name(run_id, "run_id")
@@ -35,7 +38,8 @@ def quarantine(rejected: DataFrame, source: str, run_id: str, folder: str) -> in
         mark_rejected(rejected, run_id, datetime.now(UTC))
         .observe(seen, F.count("*").alias("rows"))
         .withColumns({"source": F.lit(source), "run_id": F.lit(run_id)})
-        .write.mode("append")
+        .write.mode("overwrite" if replace else "append")
+        .option("partitionOverwriteMode", "dynamic")
         .option("header", True)
         .partitionBy("source", "run_id")
         .csv(folder)

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -61,7 +62,7 @@ class Split:
     row_rules: tuple[Column, ...]
     memberships: tuple[Membership, ...] = ()
 
-    @property
+    @cached_property
     def valid(self) -> DataFrame:
         columns = self.batch.columns
         rank = F.row_number().over(

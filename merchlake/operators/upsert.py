@@ -27,21 +27,25 @@ def upsert(
     surrogate_key: str | None = None,
     digits: int = surrogate.LARGE,
 ) -> DataFrame:
-    """State of ``target`` after taking over ``source``; ``source`` must be unique on ``keys``.
+    """State of ``target`` after taking over ``source``; both must be unique on ``keys``.
 
+    One full outer join: each side is evaluated and shuffled once, and unique keys cannot skew.
     A surrogate key is kept for a known business key; new ones continue after the highest.
     """
-    if surrogate_key:
-        matched = source.join(target.select(*keys, surrogate_key), keys, "left")
-        known = matched.filter(F.col(surrogate_key).isNotNull())
-        highest = target.agg(F.max(surrogate_key)).scalar()
-        unseen = surrogate.assign(
-            matched.filter(F.col(surrogate_key).isNull()).drop(surrogate_key),
-            keys,
-            surrogate_key,
-            digits,
-            highest,
-        )
-        source = known.unionByName(unseen)
-    untouched = target.join(source.select(*keys), keys, "left_anti")
-    return untouched.unionByName(source.select(*untouched.columns))
+    columns = [c for c in target.columns if c != surrogate_key]
+    ours, theirs = target.alias("t"), source.withColumn("_taken", F.lit(True)).alias("s")
+    taken = F.col("s._taken").isNotNull()
+    merged = [
+        F.when(taken, F.col(f"s.`{c}`")).otherwise(F.col(f"t.`{c}`")).alias(c) for c in columns
+    ]
+    kept_key = [F.col(f"t.{surrogate_key}").alias(surrogate_key)] if surrogate_key else []
+    same_key = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
+    state = ours.join(theirs, same_key, "full").select(*kept_key, *merged)
+    if not surrogate_key:
+        return state
+    known = state.filter(F.col(surrogate_key).isNotNull())
+    unseen = state.filter(F.col(surrogate_key).isNull()).drop(surrogate_key)
+    highest = target.agg(F.max(surrogate_key)).scalar()
+    return known.unionByName(
+        surrogate.assign(unseen, keys, surrogate_key, digits, start=highest)
+    ).select(*target.columns)

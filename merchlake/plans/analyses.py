@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -9,8 +10,9 @@ from pyspark.sql import functions as F
 
 from merchlake.functions import dates, labels
 from merchlake.functions.numeric import plain_ratio
+from merchlake.plans.lazy import LazyTables
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 
 def _sums(*columns: str) -> list[Column]:
@@ -107,14 +109,16 @@ def analyse_products(products: DataFrame) -> DataFrame:
     ).orderBy(F.desc("net_revenue_usd"), "product_id")
 
 
-def build_analyses(marts: Tables) -> Tables:
-    return {
-        "sales_monthly": analyse_sales(marts["daily_performance"]),
-        "customer_segments": analyse_customers(marts["customer_summary"]),
-        "marketing_channels": analyse_marketing(marts["marketing_performance"]),
-        "funnel_overall": analyse_funnel(marts["funnel_performance"]),
-        "product_performance": analyse_products(marts["product_performance"]),
-    }
+def build_analyses(marts: Tables) -> LazyTables:
+    return LazyTables(
+        {
+            "sales_monthly": lambda: analyse_sales(marts["daily_performance"]),
+            "customer_segments": lambda: analyse_customers(marts["customer_summary"]),
+            "marketing_channels": lambda: analyse_marketing(marts["marketing_performance"]),
+            "funnel_overall": lambda: analyse_funnel(marts["funnel_performance"]),
+            "product_performance": lambda: analyse_products(marts["product_performance"]),
+        }
+    )
 
 
 def channel_labels(channels: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date
 from functools import reduce
 
@@ -10,6 +11,9 @@ from pyspark.sql import functions as F
 
 from merchlake.functions import dates, labels
 from merchlake.operators import surrogate
+from merchlake.plans.lazy import LazyTables, mapped
+
+Tables = Mapping[str, DataFrame]
 
 DATED_SOURCES = [
     "website_sessions",
@@ -21,7 +25,7 @@ DATED_SOURCES = [
 ]
 
 
-def staging_date_range(staged: dict[str, DataFrame]) -> DataFrame:
+def staging_date_range(staged: Tables) -> DataFrame:
     """One row: first and last day over all six staged tables, NULL when all are empty."""
     ranges = [
         staged[name].agg(
@@ -77,7 +81,7 @@ def build_dim_date(spark: SparkSession, start: date, end: date) -> DataFrame:
     return dim_date_between(bounds)
 
 
-def build_dim_date_from_staging(staged: dict[str, DataFrame]) -> DataFrame:
+def build_dim_date_from_staging(staged: Tables) -> DataFrame:
     return dim_date_between(staging_date_range(staged))
 
 
@@ -132,15 +136,16 @@ KEYED = {
 }
 
 
-def members(staged: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def members(staged: Tables) -> LazyTables:
     """Members of the keyed dimensions, still without surrogate keys."""
-    sessions = staged["website_sessions"]
-    return {
-        "dim_product": product_members(staged["products"]),
-        "dim_customer": customer_members(sessions, staged["orders"]),
-        "dim_marketing": marketing_members(sessions),
-        "dim_device": device_members(sessions),
-    }
+    return LazyTables(
+        {
+            "dim_product": lambda: product_members(staged["products"]),
+            "dim_customer": lambda: customer_members(staged["website_sessions"], staged["orders"]),
+            "dim_marketing": lambda: marketing_members(staged["website_sessions"]),
+            "dim_device": lambda: device_members(staged["website_sessions"]),
+        }
+    )
 
 
 def numbered(name: str, dimension_members: DataFrame) -> DataFrame:
@@ -149,6 +154,6 @@ def numbered(name: str, dimension_members: DataFrame) -> DataFrame:
     return surrogate.assign(dimension_members, business_key, key, digits)
 
 
-def build_dimensions(staged: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    keyed = {name: numbered(name, rows) for name, rows in members(staged).items()}
-    return {"dim_date": build_dim_date_from_staging(staged), **keyed}
+def build_dimensions(staged: Tables) -> LazyTables:
+    calendar = LazyTables({"dim_date": lambda: build_dim_date_from_staging(staged)})
+    return calendar | mapped(members(staged), numbered)

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from merchlake import schemas
 from merchlake.functions import dates, labels, numeric
+from merchlake.plans.lazy import LazyTables
+
+Tables = Mapping[str, DataFrame]
 
 
 def pageviews_by_session(pageviews: DataFrame) -> DataFrame:
@@ -53,7 +58,7 @@ def refunds_by_item(refunds: DataFrame) -> DataFrame:
     )
 
 
-def fact_sales(staged: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataFrame:
+def fact_sales(staged: Tables, dims: Tables) -> DataFrame:
     """One row per order item; the refund total of an item is dated by its last refund."""
     orders = staged["orders"].select("order_id", "website_session_id", "user_id")
     products = dims["dim_product"].select("product_id", "product_key")
@@ -87,7 +92,7 @@ def fact_sales(staged: dict[str, DataFrame], dims: dict[str, DataFrame]) -> Data
     )
 
 
-def fact_sessions(staged: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataFrame:
+def fact_sessions(staged: Tables, dims: Tables) -> DataFrame:
     """One row per session with pageviews.
 
     Pageviews and orders are aggregated before the joins, so neither multiplies the other; both
@@ -129,5 +134,10 @@ def fact_sessions(staged: dict[str, DataFrame], dims: dict[str, DataFrame]) -> D
     )
 
 
-def build_facts(staged: dict[str, DataFrame], dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {"fact_sales": fact_sales(staged, dims), "fact_sessions": fact_sessions(staged, dims)}
+def build_facts(staged: Tables, dims: Tables) -> LazyTables:
+    return LazyTables(
+        {
+            "fact_sales": lambda: fact_sales(staged, dims),
+            "fact_sessions": lambda: fact_sessions(staged, dims),
+        }
+    )

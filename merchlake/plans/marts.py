@@ -7,14 +7,17 @@ Facts are aggregated before any of these joins, which therefore move aggregates
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from merchlake import schemas
 from merchlake.functions import labels
 from merchlake.functions.numeric import amount_rate, count_rate, per_count, zero_if_null
+from merchlake.plans.lazy import LazyTables
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 _MONEY, _RATE = schemas.MART_MONEY, schemas.RATE
 
 
@@ -291,15 +294,17 @@ def refunds_performance(warehouse: Tables) -> DataFrame:
     )
 
 
-def build_marts(warehouse: Tables, page_steps: DataFrame) -> Tables:
-    return {
-        "daily_performance": daily_performance(warehouse),
-        "marketing_performance": marketing_performance(warehouse),
-        "product_performance": product_performance(warehouse),
-        "customer_summary": customer_summary(warehouse),
-        "funnel_performance": funnel_performance(warehouse, page_steps),
-        "refunds_performance": refunds_performance(warehouse),
-    }
+def build_marts(warehouse: Tables, page_steps: DataFrame) -> LazyTables:
+    return LazyTables(
+        {
+            "daily_performance": lambda: daily_performance(warehouse),
+            "marketing_performance": lambda: marketing_performance(warehouse),
+            "product_performance": lambda: product_performance(warehouse),
+            "customer_summary": lambda: customer_summary(warehouse),
+            "funnel_performance": lambda: funnel_performance(warehouse, page_steps),
+            "refunds_performance": lambda: refunds_performance(warehouse),
+        }
+    )
 
 
 MART_KEYS = {

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from decimal import Decimal
 from functools import reduce
@@ -64,7 +65,7 @@ def _measures(table: DataFrame, wanted: list[tuple[str, str | None]]) -> DataFra
     return totals.select(F.inline(F.array(*pairs)))
 
 
-def reconcile(staged: dict[str, DataFrame], facts: dict[str, DataFrame]) -> DataFrame:
+def reconcile(staged: Mapping[str, DataFrame], facts: Mapping[str, DataFrame]) -> DataFrame:
     """Nine rows (name, expected, actual, passed); each of the seven tables is read once."""
     parts = []
     for side, tables, table_at, column_at in (

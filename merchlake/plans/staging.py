@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 
 from merchlake.operators import validators
 from merchlake.operators.split import Split
 from merchlake.operators.transforms import TRANSFORMS
+from merchlake.plans.lazy import LazyTables, mapped
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 
 def validate_all(raw: Tables, staged_orders: DataFrame | None = None) -> dict[str, Split]:
@@ -33,9 +36,12 @@ def validate_all(raw: Tables, staged_orders: DataFrame | None = None) -> dict[st
     }
 
 
-def transform_all(valid: Tables) -> Tables:
-    return {name: TRANSFORMS[name](rows) for name, rows in valid.items()}
+def transform_all(valid: Tables) -> LazyTables:
+    return mapped(valid, lambda name, rows: TRANSFORMS[name](rows))
 
 
-def stage(raw: Tables) -> Tables:
-    return transform_all({name: parts.valid for name, parts in validate_all(raw).items()})
+def stage(raw: Tables) -> LazyTables:
+    """Valid, normalised rows of every source."""
+    splits = validate_all(raw)
+    valid = LazyTables({name: (lambda n=name: splits[n].valid) for name in splits})
+    return transform_all(valid)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
     DataType,
@@ -105,4 +104,6 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     missing = sorted(set(schema.fieldNames()) - set(df.columns))
     if missing:
         raise ValueError(f"Missing columns: {', '.join(missing)}")
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.selectExpr(
+        *[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields]
+    )

@@ -10,12 +10,15 @@ Amounts are computed in whole cents and turned into the sources' floating-point
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merchlake import schemas
+from merchlake.plans.lazy import LazyTables, mapped
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 EPOCH = "2024-01-01"
 PRODUCT_SPREAD = 200
@@ -176,18 +179,26 @@ def _web_refunds(lines: DataFrame) -> DataFrame:
 
 
 def web(spark: SparkSession, sf_dir: str) -> Tables:
-    events = _events(spark, sf_dir)
-    purchases = _purchases(events)
-    lines = _item_lines(purchases)
-    tables = {
-        "website_sessions": _web_sessions(events),
-        "website_pageviews": _web_pageviews(events),
-        "products": _products(spark, sf_dir),
-        "orders": _web_orders(purchases),
-        "order_items": _web_items(lines),
-        "order_item_refunds": _web_refunds(lines),
+    bases = LazyTables(
+        {
+            "events": lambda: _events(spark, sf_dir),
+            "purchases": lambda: _purchases(bases["events"]),
+            "lines": lambda: _item_lines(bases["purchases"]),
+        }
+    )
+    entities = {
+        "website_sessions": lambda: _web_sessions(bases["events"]),
+        "website_pageviews": lambda: _web_pageviews(bases["events"]),
+        "products": lambda: _products(spark, sf_dir),
+        "orders": lambda: _web_orders(bases["purchases"]),
+        "order_items": lambda: _web_items(bases["lines"]),
+        "order_item_refunds": lambda: _web_refunds(bases["lines"]),
     }
-    return {n: schemas.conform(tables[n], schemas.SOURCES[n]) for n in tables}
+    return mapped(LazyTables(entities), _conformed)
+
+
+def _conformed(name: str, rows: DataFrame) -> DataFrame:
+    return schemas.conform(rows, schemas.SOURCES[name])
 
 
 # --- dirty ---------------------------------------------------------------------------------
@@ -263,68 +274,90 @@ def _with_faults(name: str, clean: DataFrame) -> DataFrame:
 
 
 def dirty(spark: SparkSession, sf_dir: str) -> Tables:
-    return {name: _with_faults(name, rows) for name, rows in web(spark, sf_dir).items()}
+    return mapped(web(spark, sf_dir), _with_faults)
 
 
 # --- volume --------------------------------------------------------------------------------
 
 
-def volume(spark: SparkSession, sf_dir: str) -> Tables:
-    orders = _table(spark, sf_dir, "orders").withColumn("cents", _cents("o_totalprice"))
-    lines = _table(spark, sf_dir, "lineitem").withColumns(
+def _volume_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "lineitem").withColumns(
         {
             "cents": _cents("l_extendedprice"),
             "line_id": F.col("l_orderkey") * 10 + F.col("l_linenumber"),
         }
     )
+
+
+def _volume_sessions(orders: DataFrame) -> DataFrame:
     priority, number = F.col("o_orderpriority"), F.col("o_orderkey")
     marked = priority != "5-LOW"
-    step = F.col("l_linenumber") % 6
+    return orders.select(
+        number.alias("website_session_id"),
+        F.col("o_orderdate").alias("created_at"),
+        F.col("o_custkey").alias("user_id"),
+        (number % 2).alias("is_repeat_session"),
+        F.when(marked, priority).alias("utm_source"),
+        F.when(marked, F.col("o_orderstatus")).alias("utm_campaign"),
+        F.when(marked & (number % 3 == 0), "ad_x").alias("utm_content"),
+        F.when(number % 4 == 0, "mobile").otherwise("desktop").alias("device_type"),
+        F.when(number % 5 != 0, "https://www.search.example").alias("http_referer"),
+    )
+
+
+def _volume_pageviews(lines: DataFrame) -> DataFrame:
     pages = ["/products", PRODUCT_PAGES[0], "/cart", "/shipping", "/billing", "/home"]
-    tables = {
-        "website_sessions": orders.select(
-            number.alias("website_session_id"),
-            F.col("o_orderdate").alias("created_at"),
-            F.col("o_custkey").alias("user_id"),
-            (number % 2).alias("is_repeat_session"),
-            F.when(marked, priority).alias("utm_source"),
-            F.when(marked, F.col("o_orderstatus")).alias("utm_campaign"),
-            F.when(marked & (number % 3 == 0), "ad_x").alias("utm_content"),
-            F.when(number % 4 == 0, "mobile").otherwise("desktop").alias("device_type"),
-            F.when(number % 5 != 0, "https://www.search.example").alias("http_referer"),
-        ),
-        "website_pageviews": lines.select(
-            F.col("line_id").alias("website_pageview_id"),
-            F.col("l_shipdate").alias("created_at"),
-            F.col("l_orderkey").alias("website_session_id"),
-            _choose(step, pages).alias("pageview_url"),
-        ),
-        "products": _products(spark, sf_dir),
-        "orders": orders.select(
-            number.alias("order_id"),
-            F.col("o_orderdate").alias("created_at"),
-            number.alias("website_session_id"),
-            F.col("o_custkey").alias("user_id"),
-            (number % PRODUCT_SPREAD).alias("primary_product_id"),
-            (1 + number % 3).alias("items_purchased"),
-            _dollars(F.col("cents")).alias("price_usd"),
-            _dollars(_cost(F.col("cents"))).alias("cogs_usd"),
-        ),
-        "order_items": lines.select(
-            F.col("line_id").alias("order_item_id"),
-            F.col("l_shipdate").alias("created_at"),
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_partkey").alias("product_id"),
-            F.when(F.col("l_linenumber") == 1, 1).otherwise(0).alias("is_primary_item"),
-            _dollars(F.col("cents")).alias("price_usd"),
-            _dollars(_cost(F.col("cents"))).alias("cogs_usd"),
-        ),
-        "order_item_refunds": lines.filter(F.col("l_returnflag") == "R").select(
-            F.col("line_id").alias("order_item_refund_id"),
-            (F.col("l_shipdate") + F.expr("interval 30 days")).alias("created_at"),
-            F.col("line_id").alias("order_item_id"),
-            F.col("l_orderkey").alias("order_id"),
-            _dollars(_div(F.col("cents"), 2)).alias("refund_amount_usd"),
-        ),
+    return lines.select(
+        F.col("line_id").alias("website_pageview_id"),
+        F.col("l_shipdate").alias("created_at"),
+        F.col("l_orderkey").alias("website_session_id"),
+        _choose(F.col("l_linenumber") % 6, pages).alias("pageview_url"),
+    )
+
+
+def _volume_orders(orders: DataFrame) -> DataFrame:
+    number, cents = F.col("o_orderkey"), _cents("o_totalprice")
+    return orders.select(
+        number.alias("order_id"),
+        F.col("o_orderdate").alias("created_at"),
+        number.alias("website_session_id"),
+        F.col("o_custkey").alias("user_id"),
+        (number % PRODUCT_SPREAD).alias("primary_product_id"),
+        (1 + number % 3).alias("items_purchased"),
+        _dollars(cents).alias("price_usd"),
+        _dollars(_cost(cents)).alias("cogs_usd"),
+    )
+
+
+def _volume_items(lines: DataFrame) -> DataFrame:
+    return lines.select(
+        F.col("line_id").alias("order_item_id"),
+        F.col("l_shipdate").alias("created_at"),
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_partkey").alias("product_id"),
+        F.when(F.col("l_linenumber") == 1, 1).otherwise(0).alias("is_primary_item"),
+        _dollars(F.col("cents")).alias("price_usd"),
+        _dollars(_cost(F.col("cents"))).alias("cogs_usd"),
+    )
+
+
+def _volume_refunds(lines: DataFrame) -> DataFrame:
+    return lines.filter(F.col("l_returnflag") == "R").select(
+        F.col("line_id").alias("order_item_refund_id"),
+        (F.col("l_shipdate") + F.expr("interval 30 days")).alias("created_at"),
+        F.col("line_id").alias("order_item_id"),
+        F.col("l_orderkey").alias("order_id"),
+        _dollars(_div(F.col("cents"), 2)).alias("refund_amount_usd"),
+    )
+
+
+def volume(spark: SparkSession, sf_dir: str) -> Tables:
+    entities = {
+        "website_sessions": lambda: _volume_sessions(_table(spark, sf_dir, "orders")),
+        "website_pageviews": lambda: _volume_pageviews(_volume_lines(spark, sf_dir)),
+        "products": lambda: _products(spark, sf_dir),
+        "orders": lambda: _volume_orders(_table(spark, sf_dir, "orders")),
+        "order_items": lambda: _volume_items(_volume_lines(spark, sf_dir)),
+        "order_item_refunds": lambda: _volume_refunds(_volume_lines(spark, sf_dir)),
     }
-    return {n: schemas.conform(tables[n], schemas.SOURCES[n]) for n in tables}
+    return mapped(LazyTables(entities), _conformed)
