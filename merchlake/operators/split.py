@@ -8,8 +8,9 @@ one task:
 
 * the valid side keeps rank 1 only. Spark then ranks inside every input partition first and
   shuffles at most one row per key and partition;
-* the rejected side needs every row. It ranks per (key, input partition), then ranks the
-  partition winners of a key against each other, and spreads the losers by partition.
+* the rejected side ranks only rows whose key occurs again. It ranks per (key, input partition),
+  then ranks the partition winners of a key against each other, and spreads the losers by
+  partition. Rows that break a rule are rejected without any ranking.
 """
 
 from __future__ import annotations
@@ -37,11 +38,20 @@ def _rank_order(df: DataFrame, key: str) -> list[Column]:
     return [F.col(c).asc_nulls_first() for c in df.columns if c != key and not c.startswith("_")]
 
 
+def with_slice(df: DataFrame) -> DataFrame:
+    """Adds the number of the input partition; a retried task sees the same partition."""
+    return df.withColumn("_slice", F.spark_partition_id())
+
+
 def flag_first(df: DataFrame, key: str, flag: str = "_first") -> DataFrame:
-    """Adds ``flag``: true on exactly one row per key value (NULL is a value too)."""
+    """Adds ``flag``: true on exactly one row per key value (NULL is a value too).
+
+    Slices must be cut before rows of a key are brought together, so a caller that shuffles by
+    the key first adds them with ``with_slice``.
+    """
     order = _rank_order(df, key)
-    # A retried task sees the same input partition, so the slice number is stable.
-    ranked = df.withColumn("_slice", F.spark_partition_id()).withColumn(
+    sliced = df if "_slice" in df.columns else with_slice(df)
+    ranked = sliced.withColumn(
         "_local", F.row_number().over(Window.partitionBy(key, "_slice").orderBy(*order))
     )
     finalists = F.when(F.col("_local") > 1, F.col("_slice")).otherwise(F.lit(-1))
@@ -64,45 +74,62 @@ class Split:
 
     @cached_property
     def valid(self) -> DataFrame:
-        columns = self.batch.columns
         rank = F.row_number().over(
             Window.partitionBy(self.key).orderBy(*_rank_order(self.batch, self.key))
         )
         kept = self.batch.withColumn("_rank", rank).filter(
             (F.col("_rank") == 1) & rules.all_of(self.row_rules)
         )
-        for member in self.memberships:
-            ids = member.reference.select(
-                F.col(member.reference_column).alias("_ref_id")
-            ).distinct()
-            kept = kept.join(ids, F.col(member.column) == F.col("_ref_id"), "left_semi")
-        return kept.select(*columns)
+        return self._with_known_members(kept).select(*self.batch.columns)
 
     @property
-    def flagged(self) -> DataFrame:
-        """The whole batch plus ``_valid``."""
-        df = flag_first(self.batch, self.key)
-        flags = []
+    def rejected(self) -> DataFrame:
+        return self._breaking_a_rule().unionByName(self._not_first())
+
+    def _breaking_a_rule(self) -> DataFrame:
+        df, passed = self.batch, list(self.row_rules)
         for number, member in enumerate(self.memberships):
             flag = f"_member_{number}"
             df = rules.add_member_flag(
                 df, member.column, member.reference, member.reference_column, flag
             )
-            flags.append(flag)
-        verdict = rules.all_of([F.col("_first"), *self.row_rules, *map(F.col, flags)])
-        return df.withColumn("_valid", verdict).drop("_first", *flags)
+            passed.append(F.col(flag))
+        return df.filter(~rules.all_of(passed)).select(*self.batch.columns)
+
+    def _not_first(self) -> DataFrame:
+        """Rows that pass every rule but the uniqueness of their key."""
+        repeated = (
+            self.batch.groupBy(F.col(self.key).alias("_key"))
+            .agg(F.count("*").alias("_rows"))
+            .filter("_rows > 1")
+        )
+        again = with_slice(self.batch).join(
+            repeated, F.col(self.key).eqNullSafe(F.col("_key")), "left_semi"
+        )
+        later = flag_first(again, self.key).filter(
+            ~F.col("_first") & rules.all_of(self.row_rules)
+        )
+        return self._with_known_members(later).select(*self.batch.columns)
 
-    @property
-    def rejected(self) -> DataFrame:
-        return self.flagged.filter(~F.col("_valid")).drop("_valid")
+    def _with_known_members(self, df: DataFrame) -> DataFrame:
+        for member in self.memberships:
+            ids = member.reference.select(
+                F.col(member.reference_column).alias("_ref_id")
+            ).distinct()
+            df = df.join(ids, F.col(member.column) == F.col("_ref_id"), "left_semi")
+        return df
 
     @property
     def counts(self) -> DataFrame:
         """One row: rows extracted, loaded and rejected."""
-        return self.flagged.agg(
-            F.count("*").alias("rows_extracted"),
-            F.count_if("_valid").alias("rows_loaded"),
-            F.count_if(~F.col("_valid")).alias("rows_rejected"),
+        sides = self.batch.select(F.lit(0).alias("_loaded")).unionByName(
+            self.valid.select(F.lit(1).alias("_loaded"))
+        )
+        extracted, loaded = F.count_if(F.col("_loaded") == 0), F.count_if(F.col("_loaded") == 1)
+        return sides.agg(
+            extracted.alias("rows_extracted"),
+            loaded.alias("rows_loaded"),
+            (extracted - loaded).alias("rows_rejected"),
         )
 
 

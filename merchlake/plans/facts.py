@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from merchlake import schemas
@@ -14,31 +14,42 @@ from merchlake.plans.lazy import LazyTables
 Tables = Mapping[str, DataFrame]
 
 
-def pageviews_by_session(pageviews: DataFrame) -> DataFrame:
-    """Visit path per session: page count, first and last page, time between them.
-
-    First and last are aggregates, combined before the shuffle, so a session of any size
-    reaches the reducer as one row per map task.
-    """
+def _path() -> list[Column]:
+    """Page count, first and last page, and the time between them."""
     position = F.struct("created_at", "website_pageview_id")
     elapsed = dates.micros(F.max("created_at")) - dates.micros(F.min("created_at"))
-    return pageviews.groupBy("website_session_id").agg(
+    return [
         F.count("*").cast("int").alias("pageview_count"),
         F.min_by("pageview_url", position).alias("landing_page_url"),
         F.max_by("pageview_url", position).alias("exit_page_url"),
         dates.rounded_seconds(elapsed).alias("duration_seconds"),
-    )
+    ]
 
 
-def page_steps_by_session(pageviews: DataFrame) -> DataFrame:
-    """Which funnel pages a session saw; independent flags, not a path."""
+def _steps() -> list[Column]:
+    """Which funnel pages were seen; independent flags, not an ordered path."""
     url = F.col("pageview_url")
-    return pageviews.groupBy("website_session_id").agg(
-        *[
-            F.bool_or(url.isin(pages)).alias(f"viewed_{step}")
-            for step, pages in labels.FUNNEL_PAGES.items()
-        ]
-    )
+    return [
+        F.bool_or(url.isin(pages)).alias(f"viewed_{step}")
+        for step, pages in labels.FUNNEL_PAGES.items()
+    ]
+
+
+# First, last and flags are aggregates, combined before the shuffle: a session of any size
+# reaches the reducer as one row per map task.
+
+
+def pageviews_by_session(pageviews: DataFrame) -> DataFrame:
+    return pageviews.groupBy("website_session_id").agg(*_path())
+
+
+def page_steps_by_session(pageviews: DataFrame) -> DataFrame:
+    return pageviews.groupBy("website_session_id").agg(*_steps())
+
+
+def session_visits(pageviews: DataFrame) -> DataFrame:
+    """Path and step flags in one pass over the largest table."""
+    return pageviews.groupBy("website_session_id").agg(*_path(), *_steps())
 
 
 def orders_by_session(orders: DataFrame) -> DataFrame:
@@ -92,14 +103,17 @@ def fact_sales(staged: Tables, dims: Tables) -> DataFrame:
     )
 
 
-def fact_sessions(staged: Tables, dims: Tables) -> DataFrame:
-    """One row per session with pageviews.
+def fact_sessions(
+    staged: Tables, dims: Tables, visits: DataFrame | None = None
+) -> DataFrame:
+    """One row per session with pageviews; ``visits`` is an already built ``session_visits``.
 
     Pageviews and orders are aggregated before the joins, so neither multiplies the other; both
     aggregates arrive partitioned by session, and the sessions shuffle on it once for both.
     """
     attributes = labels.MARKETING_ATTRIBUTES
-    visits = pageviews_by_session(staged["website_pageviews"])
+    if visits is None:
+        visits = pageviews_by_session(staged["website_pageviews"])
     purchases = orders_by_session(staged["orders"]).withColumn("_ordered", F.lit(True))
     marketing = dims["dim_marketing"].select(
         "marketing_key", *[F.col(a).alias(f"_{a}") for a in attributes]
@@ -134,10 +148,12 @@ def fact_sessions(staged: Tables, dims: Tables) -> DataFrame:
     )
 
 
-def build_facts(staged: Tables, dims: Tables) -> LazyTables:
+def build_facts(
+    staged: Tables, dims: Tables, visits: DataFrame | None = None
+) -> LazyTables:
     return LazyTables(
         {
             "fact_sales": lambda: fact_sales(staged, dims),
-            "fact_sessions": lambda: fact_sessions(staged, dims),
+            "fact_sessions": lambda: fact_sessions(staged, dims, visits),
         }
     )

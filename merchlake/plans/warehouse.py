@@ -52,6 +52,13 @@ class WarehouseBuilder:
         self.volumes[name] = written.get["rows"]
         return self.table(name).read(self.spark)
 
+    def _scratch(self, name: str, rows: DataFrame) -> DataFrame:
+        """Written intermediate result; only the newest version is kept."""
+        table = VersionedTable(f"{self.root}/scratch/{name}")
+        table.write(rows)
+        table.drop_old(self.spark, keep=1)
+        return table.read(self.spark)
+
     def _take_over(self, name: str, source: DataFrame, keys: list[str]) -> DataFrame:
         table = self.table(name)
         if self.mode == UPSERT and table.exists(self.spark):
@@ -62,9 +69,7 @@ class WarehouseBuilder:
         """Known members keep their key in both modes; facts may already refer to it."""
         key, business_key, digits = dimensions.KEYED[name]
         # Numbering reads its input twice, so the members are written out before it.
-        scratch = VersionedTable(f"{self.root}/members/{name}")
-        scratch.write(members)
-        members = scratch.read(self.spark)
+        members = self._scratch(name, members)
         require_unique(members, business_key)
         table = self.table(name)
         if table.exists(self.spark):
@@ -72,7 +77,6 @@ class WarehouseBuilder:
             state = upsert(known, members, business_key, key, digits)
         else:
             state = surrogate.assign(members, business_key, key, digits)
-        scratch.drop_old(self.spark, keep=1)
         return self._write(name, state)
 
     def dimensions(self, staged: Tables) -> dict[str, DataFrame]:
@@ -82,10 +86,14 @@ class WarehouseBuilder:
             dims[name] = self._keyed_dimension(name, members)
         return dims
 
-    def facts(self, staged: Tables, dims: Tables) -> dict[str, DataFrame]:
+    def visits(self, staged: Tables) -> DataFrame:
+        """Per-session digest of the pageviews, for the session facts and for the funnel."""
+        return self._scratch("session_visits", facts.session_visits(staged["website_pageviews"]))
+
+    def facts(self, staged: Tables, dims: Tables, visits: DataFrame) -> dict[str, DataFrame]:
         return {
             name: self._take_over(name, rows, [FACT_KEYS[name]])
-            for name, rows in facts.build_facts(staged, dims).items()
+            for name, rows in facts.build_facts(staged, dims, visits).items()
         }
 
     def marts(self, warehouse: Tables, page_steps: DataFrame) -> dict[str, DataFrame]:
@@ -101,10 +109,10 @@ def build_warehouse(
     """Builds everything in dependency order. A failed reconciliation stops before the marts."""
     builder = WarehouseBuilder(spark, root, mode)
     dims = builder.dimensions(staged)
-    fact_tables = builder.facts(staged, dims)
+    visits = builder.visits(staged)
+    fact_tables = builder.facts(staged, dims, visits)
     checks = reconciliation.require_reconciled(reconciliation.reconcile(staged, fact_tables))
-    steps = facts.page_steps_by_session(staged["website_pageviews"])
-    builder.marts({**dims, **fact_tables}, steps)
+    builder.marts({**dims, **fact_tables}, visits)
     return WarehouseResult(builder.volumes, checks)
 
 
