@@ -31,7 +31,8 @@ from merchlake.operators import (
     watermarks,
 )
 from merchlake.operators.keyset import Watermark
-from merchlake.plans import analyses, dimensions, facts, marts, reconciliation, staging
+from merchlake.plans import analyses, dimensions, facts, reconciliation, staging
+from merchlake.plans.shop import open_shop
 from merchlake.session import configure
 from merchlake.sources import files, supplied
 
@@ -83,19 +84,6 @@ def web_staged(spark: SparkSession, sf_dir: str) -> Tables:
     return staging.transform_all(supplied.web(spark, sf_dir))
 
 
-def volume_staged(spark: SparkSession, sf_dir: str) -> Tables:
-    return staging.stage(supplied.volume(spark, sf_dir))
-
-
-def star(staged: Tables) -> Tables:
-    dims = dimensions.build_dimensions(staged)
-    return dims | facts.build_facts(staged, dims)
-
-
-def page_steps(staged: Tables) -> DataFrame:
-    return facts.page_steps_by_session(staged["website_pageviews"])
-
-
 # --- sources, keyset and order service -----------------------------------------------------
 
 
@@ -347,7 +335,7 @@ def _(spark, sf_dir):
 
 @register("page_steps_by_session")
 def _(spark, sf_dir):
-    return page_steps(web_staged(spark, sf_dir))
+    return facts.page_steps_by_session(web_staged(spark, sf_dir)["website_pageviews"])
 
 
 @register("orders_by_session")
@@ -361,19 +349,19 @@ def _(spark, sf_dir):
     return facts.refunds_by_item(refunds).drop("is_refunded")
 
 
-def _register_star(suffix: str, staged_of: Callable[[SparkSession, str], Tables]) -> None:
-    """Facts, gate and marts over one entity set."""
+def _register_star(suffix: str, entity_set: str) -> None:
+    """Facts, gate and marts of one shop."""
 
     @register(f"fact_sales{suffix}", "product_key", "customer_key")
     def _(spark, sf_dir):
-        tables = star(staged_of(spark, sf_dir))
+        tables = open_shop(spark, sf_dir, entity_set).warehouse
         products = tables["dim_product"].select("product_key", "product_id")
         customers = tables["dim_customer"].select("customer_key", "user_id")
         return tables["fact_sales"].join(products, "product_key").join(customers, "customer_key")
 
     @register(f"fact_sessions{suffix}", "customer_key", "marketing_key", "device_key", "is_direct")
     def _(spark, sf_dir):
-        tables = star(staged_of(spark, sf_dir))
+        tables = open_shop(spark, sf_dir, entity_set).warehouse
         customers = tables["dim_customer"].select("customer_key", "user_id")
         devices = tables["dim_device"].select("device_key", "device_type")
         return (
@@ -385,48 +373,33 @@ def _register_star(suffix: str, staged_of: Callable[[SparkSession, str], Tables]
 
     @register(f"reconciliation{suffix}")
     def _(spark, sf_dir):
-        staged = staged_of(spark, sf_dir)
-        return reconciliation.reconcile(staged, star(staged))
-
-    @register(f"daily_performance{suffix}")
-    def _(spark, sf_dir):
-        return marts.daily_performance(star(staged_of(spark, sf_dir)))
-
-    @register(f"marketing_performance{suffix}", "marketing_key")
-    def _(spark, sf_dir):
-        return marts.marketing_performance(star(staged_of(spark, sf_dir)))
+        shop = open_shop(spark, sf_dir, entity_set)
+        return reconciliation.reconcile(shop.staged, shop.facts)
 
-    @register(f"product_performance{suffix}", "product_key")
-    def _(spark, sf_dir):
-        return marts.product_performance(star(staged_of(spark, sf_dir)))
+    def add_mart(mart: str, *hidden: str) -> None:
+        @register(f"{mart}{suffix}", *hidden)
+        def _(spark, sf_dir):
+            return open_shop(spark, sf_dir, entity_set).marts[mart]
 
-    @register(f"customer_summary{suffix}", "customer_key")
-    def _(spark, sf_dir):
-        return marts.customer_summary(star(staged_of(spark, sf_dir)))
+    add_mart("daily_performance")
+    add_mart("marketing_performance", "marketing_key")
+    add_mart("product_performance", "product_key")
+    add_mart("customer_summary", "customer_key")
+    add_mart("funnel_performance")
+    add_mart("refunds_performance", "product_key")
 
-    @register(f"funnel_performance{suffix}")
-    def _(spark, sf_dir):
-        staged = staged_of(spark, sf_dir)
-        return marts.funnel_performance(star(staged), page_steps(staged))
 
-    @register(f"refunds_performance{suffix}", "product_key")
-    def _(spark, sf_dir):
-        return marts.refunds_performance(star(staged_of(spark, sf_dir)))
-
-
-_register_star("", web_staged)
-_register_star("_volume", volume_staged)
+_register_star("", "web")
+_register_star("_volume", "volume")
 
 
 @register("warehouse_volumes")
 def _(spark, sf_dir):
     """Rows of every warehouse table and mart."""
-    staged = web_staged(spark, sf_dir)
-    tables = star(staged)
-    tables = tables | marts.build_marts(tables, page_steps(staged))
+    shop = open_shop(spark, sf_dir, "web")
     parts = [
         rows.agg(F.count("*").alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
-        for n, rows in tables.items()
+        for n, rows in (shop.warehouse | shop.marts).items()
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -435,8 +408,7 @@ def _(spark, sf_dir):
 
 
 def _web_analyses(spark: SparkSession, sf_dir: str) -> Tables:
-    staged = web_staged(spark, sf_dir)
-    return analyses.build_analyses(marts.build_marts(star(staged), page_steps(staged)))
+    return open_shop(spark, sf_dir, "web").analyses
 
 
 def _register_analysis(name: str, key: str) -> None:

@@ -64,11 +64,16 @@ class VersionedTable:
         return spark.createDataFrame([], schema)
 
     def write(self, df: DataFrame, partition_by: list[str] | None = None) -> int:
-        """Writes the next version; small partitions are merged and large ones cut on the way."""
+        """Writes the next version.
+
+        With partition columns the rows are first brought together by them: small partitions
+        are merged, large ones cut, so that a task does not write a sliver of every partition.
+        """
         done = self.versions(df.sparkSession)
         number = done[-1] + 1 if done else 1
-        balanced = df.hint("rebalance", *(partition_by or []))
-        writer = balanced.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        if partition_by:
+            df = df.hint("rebalance", *partition_by)
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{self.root}/v={number}")

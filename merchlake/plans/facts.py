@@ -103,17 +103,13 @@ def fact_sales(staged: Tables, dims: Tables) -> DataFrame:
     )
 
 
-def fact_sessions(
-    staged: Tables, dims: Tables, visits: DataFrame | None = None
-) -> DataFrame:
-    """One row per session with pageviews; ``visits`` is an already built ``session_visits``.
+def fact_sessions(staged: Tables, dims: Tables, visits: DataFrame) -> DataFrame:
+    """One row per session with pageviews; ``visits`` holds their path by session.
 
     Pageviews and orders are aggregated before the joins, so neither multiplies the other; both
     aggregates arrive partitioned by session, and the sessions shuffle on it once for both.
     """
     attributes = labels.MARKETING_ATTRIBUTES
-    if visits is None:
-        visits = pageviews_by_session(staged["website_pageviews"])
     purchases = orders_by_session(staged["orders"]).withColumn("_ordered", F.lit(True))
     marketing = dims["dim_marketing"].select(
         "marketing_key", *[F.col(a).alias(f"_{a}") for a in attributes]
@@ -148,12 +144,15 @@ def fact_sessions(
     )
 
 
-def build_facts(
-    staged: Tables, dims: Tables, visits: DataFrame | None = None
-) -> LazyTables:
+def build_digests(staged: Tables) -> LazyTables:
+    """Intermediate results that a fact and a mart share."""
+    return LazyTables({"session_visits": lambda: session_visits(staged["website_pageviews"])})
+
+
+def build_facts(staged: Tables, dims: Tables, digests: Tables) -> LazyTables:
     return LazyTables(
         {
             "fact_sales": lambda: fact_sales(staged, dims),
-            "fact_sessions": lambda: fact_sessions(staged, dims, visits),
+            "fact_sessions": lambda: fact_sessions(staged, dims, digests["session_visits"]),
         }
     )

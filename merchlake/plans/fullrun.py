@@ -22,9 +22,22 @@ from merchlake.operators.runlog import RunCounters
 from merchlake.operators.split import Split
 from merchlake.operators.tables import VersionedTable
 from merchlake.operators.transforms import TRANSFORMS, transform_orders
+from merchlake.plans.staging import split_of
 from merchlake.plans.warehouse import UPSERT, build_warehouse
 
 
+# Step names by source, in launch order.
+STEP_NAMES = {
+    "website_sessions": "staging_sessions",
+    "website_pageviews": "staging_pageviews",
+    "products": "staging_products",
+    "orders": "staging_orders",
+    "order_items": "staging_order_items",
+    "order_item_refunds": "staging_refunds",
+}
+WAREHOUSE_STEP = "warehouse_et_marts"
+
+
 @dataclass(frozen=True)
 class RunSources:
     """Source batches; orders are asked for from a checkpoint on."""
@@ -99,9 +112,9 @@ class FullRun:
             self._record(done, loaded.get["rows"], rejected)
         return self.staged_table(source).read(self.spark, schemas.STAGED[source])
 
-    def _load_orders(self, orders_after: Callable[[Watermark], DataFrame]) -> DataFrame:
+    def _load_orders(self, step_name: str, orders_after: Callable[[Watermark], DataFrame]) -> DataFrame:
         """Takes over the orders behind the checkpoint; both advance together or not at all."""
-        with self._step("staging_orders") as done:
+        with self._step(step_name) as done:
             increment = orders_after(self.orders.watermark(self.spark))
             parts = validators.validate_orders(increment)
             rejected = quarantine(parts.rejected, "orders", self.run_id, f"{self.root}/rejected")
@@ -116,31 +129,13 @@ class FullRun:
             counters.record(loaded + rejected, loaded, rejected)
 
     def _stage(self, sources: RunSources) -> dict[str, DataFrame]:
-        staged = {}
-        staged["website_sessions"] = self._load(
-            "staging_sessions", "website_sessions",
-            validators.validate_sessions(sources.website_sessions),
-        )
-        staged["website_pageviews"] = self._load(
-            "staging_pageviews", "website_pageviews",
-            validators.validate_pageviews(sources.website_pageviews),
-        )
-        staged["products"] = self._load(
-            "staging_products", "products", validators.validate_products(sources.products)
-        )
-        staged["orders"] = self._load_orders(sources.orders_after)
-        staged["order_items"] = self._load(
-            "staging_order_items", "order_items",
-            validators.validate_order_items(
-                sources.order_items, staged["orders"], staged["products"]
-            ),
-        )
-        staged["order_item_refunds"] = self._load(
-            "staging_refunds", "order_item_refunds",
-            validators.validate_refunds(
-                sources.order_item_refunds, staged["order_items"], staged["orders"]
-            ),
-        )
+        raw = {name: getattr(sources, name) for name in STEP_NAMES if name != "orders"}
+        staged: dict[str, DataFrame] = {}
+        for name, step_name in STEP_NAMES.items():
+            if name == "orders":
+                staged[name] = self._load_orders(step_name, sources.orders_after)
+            else:
+                staged[name] = self._load(step_name, name, split_of(name, raw, staged))
         return staged
 
     def run(self, sources: RunSources) -> str:
@@ -148,7 +143,7 @@ class FullRun:
         self._log_run(runlog.STARTED)
         try:
             staged = self._stage(sources)
-            with self._step("warehouse_et_marts") as done:
+            with self._step(WAREHOUSE_STEP) as done:
                 result = build_warehouse(self.spark, staged, self.root, self.mode)
                 done.rows_loaded = sum(result.volumes.values())
         except Exception as error:

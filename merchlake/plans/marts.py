@@ -294,14 +294,16 @@ def refunds_performance(warehouse: Tables) -> DataFrame:
     )
 
 
-def build_marts(warehouse: Tables, page_steps: DataFrame) -> LazyTables:
+def build_marts(warehouse: Tables, digests: Tables) -> LazyTables:
     return LazyTables(
         {
             "daily_performance": lambda: daily_performance(warehouse),
             "marketing_performance": lambda: marketing_performance(warehouse),
             "product_performance": lambda: product_performance(warehouse),
             "customer_summary": lambda: customer_summary(warehouse),
-            "funnel_performance": lambda: funnel_performance(warehouse, page_steps),
+            "funnel_performance": lambda: funnel_performance(
+                warehouse, digests["session_visits"]
+            ),
             "refunds_performance": lambda: refunds_performance(warehouse),
         }
     )

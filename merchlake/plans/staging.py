@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 
@@ -14,34 +14,48 @@ from merchlake.plans.lazy import LazyTables, mapped
 Tables = Mapping[str, DataFrame]
 
 
-def validate_all(raw: Tables, staged_orders: DataFrame | None = None) -> dict[str, Split]:
-    """Splits of the six sources.
+def split_of(name: str, raw: Tables, known: Tables) -> Split:
+    """Valid and rejected rows of one source.
 
-    Items refer to every staged order and to this batch's valid products, refunds to this
-    batch's valid items. ``staged_orders`` defaults to the batch's own valid orders.
+    ``known`` holds what references may point to: all staged orders, and this run's valid
+    products and items.
     """
-    products = validators.validate_products(raw["products"])
-    orders = validators.validate_orders(raw["orders"])
-    known_orders = orders.valid if staged_orders is None else staged_orders
-    items = validators.validate_order_items(raw["order_items"], known_orders, products.valid)
-    return {
-        "website_sessions": validators.validate_sessions(raw["website_sessions"]),
-        "website_pageviews": validators.validate_pageviews(raw["website_pageviews"]),
-        "products": products,
-        "orders": orders,
-        "order_items": items,
-        "order_item_refunds": validators.validate_refunds(
-            raw["order_item_refunds"], items.valid, known_orders
-        ),
+    rows = raw[name]
+    if name == "order_items":
+        return validators.validate_order_items(rows, known["orders"], known["products"])
+    if name == "order_item_refunds":
+        return validators.validate_refunds(rows, known["order_items"], known["orders"])
+    simple = {
+        "website_sessions": validators.validate_sessions,
+        "website_pageviews": validators.validate_pageviews,
+        "products": validators.validate_products,
+        "orders": validators.validate_orders,
     }
+    return simple[name](rows)
+
+
+def valid_rows(raw: Tables) -> LazyTables:
+    """Valid rows per source; references point to the valid rows of the same batch."""
+    valid = LazyTables({n: (lambda n=n: split_of(n, raw, valid).valid) for n in raw})
+    return valid
+
+
+def validate_all(raw: Tables) -> dict[str, Split]:
+    known = valid_rows(raw)
+    return {name: split_of(name, raw, known) for name in raw}
 
 
 def transform_all(valid: Tables) -> LazyTables:
     return mapped(valid, lambda name, rows: TRANSFORMS[name](rows))
 
 
-def stage(raw: Tables) -> LazyTables:
-    """Valid, normalised rows of every source."""
-    splits = validate_all(raw)
-    valid = LazyTables({name: (lambda n=name: splits[n].valid) for name in splits})
-    return transform_all(valid)
+def stage(raw: Tables, settle: Callable[[str, DataFrame], DataFrame]) -> LazyTables:
+    """Staged tables. ``settle`` writes one and reads it back, so that later sources refer to
+    written ids instead of validating the earlier sources again."""
+    staged = LazyTables(
+        {
+            name: (lambda n=name: settle(n, TRANSFORMS[n](split_of(n, raw, staged).valid)))
+            for name in raw
+        }
+    )
+    return staged

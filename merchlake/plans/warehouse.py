@@ -86,20 +86,20 @@ class WarehouseBuilder:
             dims[name] = self._keyed_dimension(name, members)
         return dims
 
-    def visits(self, staged: Tables) -> DataFrame:
+    def digests(self, staged: Tables) -> dict[str, DataFrame]:
         """Per-session digest of the pageviews, for the session facts and for the funnel."""
-        return self._scratch("session_visits", facts.session_visits(staged["website_pageviews"]))
+        return {n: self._scratch(n, rows) for n, rows in facts.build_digests(staged).items()}
 
-    def facts(self, staged: Tables, dims: Tables, visits: DataFrame) -> dict[str, DataFrame]:
+    def facts(self, staged: Tables, dims: Tables, digests: Tables) -> dict[str, DataFrame]:
         return {
             name: self._take_over(name, rows, [FACT_KEYS[name]])
-            for name, rows in facts.build_facts(staged, dims, visits).items()
+            for name, rows in facts.build_facts(staged, dims, digests).items()
         }
 
-    def marts(self, warehouse: Tables, page_steps: DataFrame) -> dict[str, DataFrame]:
+    def marts(self, warehouse: Tables, digests: Tables) -> dict[str, DataFrame]:
         return {
             name: self._take_over(name, rows, marts.MART_KEYS[name])
-            for name, rows in marts.build_marts(warehouse, page_steps).items()
+            for name, rows in marts.build_marts(warehouse, digests).items()
         }
 
 
@@ -109,10 +109,10 @@ def build_warehouse(
     """Builds everything in dependency order. A failed reconciliation stops before the marts."""
     builder = WarehouseBuilder(spark, root, mode)
     dims = builder.dimensions(staged)
-    visits = builder.visits(staged)
-    fact_tables = builder.facts(staged, dims, visits)
+    digests = builder.digests(staged)
+    fact_tables = builder.facts(staged, dims, digests)
     checks = reconciliation.require_reconciled(reconciliation.reconcile(staged, fact_tables))
-    builder.marts({**dims, **fact_tables}, visits)
+    builder.marts({**dims, **fact_tables}, digests)
     return WarehouseResult(builder.volumes, checks)
 
 

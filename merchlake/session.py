@@ -6,6 +6,8 @@ adjusted in place; memory, cores and the checkpoint folder stay the cluster's bu
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -13,6 +15,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # Bad dates, overflows and divisions by zero raise instead of turning into NULL.
     "spark.sql.ansi.enabled": "true",
+    # Call sites of every column expression are a debugging aid that costs round trips.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Run-time re-planning: coalesce small shuffles, split skewed ones, and broadcast a join
     # side only when its measured size is below the threshold (sort-merge otherwise).
     "spark.sql.adaptive.enabled": "true",
@@ -30,6 +34,25 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_WORK: dict[str, str] = {}
+
+
+def work_folder(spark: SparkSession) -> str:
+    """Folder for written intermediate tables of this session.
+
+    It lies in the shared folder the cluster names in ``spark.checkpoint.dir``. Only a local
+    session may go without; it gets a temporary folder.
+    """
+    session_id = spark.sparkContext.applicationId
+    if session_id not in _WORK:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("Set spark.checkpoint.dir to a folder all executors can reach")
+        base = shared or tempfile.mkdtemp(prefix="merchlake-")
+        _WORK[session_id] = f"{base.rstrip('/')}/merchlake-{session_id}"
+    return _WORK[session_id]
+
+
 def local_session(cores: str = "8", app: str = "merchlake") -> SparkSession:
     """Single-machine session for tests and the bench."""
     builder = (

@@ -278,7 +278,7 @@ def sources(spark, tables):
     )
 
 
-STEPS = [
+STEPS = [  # launch order
     "staging_sessions", "staging_pageviews", "staging_products", "staging_orders",
     "staging_order_items", "staging_refunds", "warehouse_et_marts",
 ]
