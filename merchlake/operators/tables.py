@@ -26,9 +26,10 @@ def ensure(spark: SparkSession, path: str, schema: StructType) -> None:
     spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
 
 
-def export_csv(df: DataFrame, path: str) -> None:
-    """One CSV file with a header. For analysis results only: a handful of aggregated rows."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """CSV with a header. ``single_file`` is for results of a known small number of rows."""
+    rows = df.coalesce(1) if single_file else df
+    rows.write.mode("overwrite").option("header", True).csv(path)
 
 
 def _finished(spark: SparkSession, pattern: str) -> list[str]:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from merchlake.functions import dates, labels
 from merchlake.functions.numeric import plain_ratio
+from merchlake.operators.tables import export_csv
 from merchlake.plans.lazy import LazyTables
 
 Tables = Mapping[str, DataFrame]
@@ -121,6 +122,20 @@ def build_analyses(marts: Tables) -> LazyTables:
     )
 
 
+# Analyses with a fixed number of rows (segments, stages) or one per month.
+_BOUNDED = {"sales_monthly", "customer_segments", "funnel_overall"}
+
+
+def export_analyses(analyses: Tables, folder: str) -> None:
+    """Every analysis as CSV under ``folder/<name>``.
+
+    Bounded ones become one file. Channels and products grow with the shop, so they are written
+    in parallel; the numbered part files follow the sort order.
+    """
+    for name, rows in analyses.items():
+        export_csv(rows, f"{folder}/{name}", single_file=name in _BOUNDED)
+
+
 def channel_labels(channels: DataFrame) -> DataFrame:
     """Chart labels of the channel analysis."""
     label = labels.channel_label(F.col("utm_source"), F.col("utm_campaign"), F.col("is_direct"))

@@ -308,6 +308,16 @@ def test_full_run_twice(spark, folder):
     assert found["top_product"][0] == "Bear"
 
 
+def test_analyses_are_exported(spark, built, tmp_path):
+    _, _, root = built
+    built_analyses = analyses.build_analyses(warehouse.load_marts(spark, root))
+    analyses.export_analyses(built_analyses, str(tmp_path))
+    assert sorted(p.name for p in tmp_path.iterdir()) == sorted(built_analyses)
+    assert len(list((tmp_path / "funnel_overall").glob("*.csv"))) == 1
+    products = spark.read.option("header", True).csv(str(tmp_path / "product_performance"))
+    assert [r.product_name for r in products.collect()] == ["Bear", "Panda"]
+
+
 def test_failed_run_is_logged(spark, folder):
     tables = shop(spark)
     tables["products"] = tables["products"].filter("product_id = 99")
