@@ -130,7 +130,7 @@ def _register_entity(entity: str, short: str) -> None:
 
     @register(f"validate_{short}")
     def _(spark, sf_dir):
-        parts = staging.validate_all(supplied.dirty(spark, sf_dir))[entity]
+        parts = open_shop(spark, sf_dir, "dirty").split(entity)
         valid = parts.valid.withColumn("is_valid", F.lit(True))
         return valid.unionByName(parts.rejected.withColumn("is_valid", F.lit(False)))
 
@@ -160,27 +160,20 @@ def _(spark, sf_dir):
     return pageviews.select("website_pageview_id", "pageview_url", passed)
 
 
-def _counts(raw: Tables) -> DataFrame:
-    parts = [
-        splits.counts.select(F.lit(name).alias("source_name"), "*")
-        for name, splits in staging.validate_all(raw).items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
-
-
-@register("validation_counts")
-def _(spark, sf_dir):
-    return _counts(supplied.dirty(spark, sf_dir))
-
-
-@register("validation_counts_clean")
-def _(spark, sf_dir):
-    return _counts(supplied.web(spark, sf_dir))
+def _register_counts(suffix: str, entity_set: str) -> None:
+    @register(f"validation_counts{suffix}")
+    def _(spark, sf_dir):
+        shop = open_shop(spark, sf_dir, entity_set)
+        parts = [
+            shop.split(name).counts.select(F.lit(name).alias("source_name"), "*")
+            for name in shop.raw
+        ]
+        return reduce(DataFrame.unionByName, parts)
 
 
-@register("validation_counts_volume")
-def _(spark, sf_dir):
-    return _counts(supplied.volume(spark, sf_dir))
+_register_counts("", "dirty")
+_register_counts("_clean", "web")
+_register_counts("_volume", "volume")
 
 
 @register("quarantine_rows")

@@ -11,9 +11,10 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from merchlake.operators.split import Split
 from merchlake.plans import analyses, dimensions, facts, marts
-from merchlake.plans.lazy import LazyTables, mapped
-from merchlake.plans.staging import stage, transform_all
+from merchlake.plans.lazy import LazyTables, mapped, side_by_side
+from merchlake.plans.staging import STAGING_LAYERS, split_of, stage, transform_all
 from merchlake.session import work_folder
 from merchlake.sources import supplied
 
@@ -34,6 +35,7 @@ def written(tables: Mapping[str, DataFrame], folder: str) -> LazyTables:
 
 class Shop:
     def __init__(self, raw: Mapping[str, DataFrame], folder: str, validated: bool) -> None:
+        self.raw = raw
         staging = f"{folder}/staging"
         if validated:
             self.staged = stage(raw, _writer(staging))
@@ -49,21 +51,28 @@ class Shop:
         self.marts = marts.build_marts(self.warehouse, self.digests)
         self.analyses = analyses.build_analyses(written(self.marts, f"{folder}/marts"))
 
+    def split(self, name: str) -> Split:
+        """Valid and rejected rows of a source; its references point to the written staging."""
+        return split_of(name, self.raw, self.staged)
+
     def build(self) -> None:
         """Writes staging, dimensions and facts."""
-        for tables in (self.staged, self.dims, self.digests, self.facts):
-            list(tables.values())
+        for layer in STAGING_LAYERS:
+            side_by_side(self.staged.__getitem__, layer)
+        for tables in (self.dims | self.digests, self.facts):
+            side_by_side(tables.__getitem__, tables)
 
 
+_ENTITY_SETS = {"web": supplied.web, "dirty": supplied.dirty, "volume": supplied.volume}
 _OPEN: dict[tuple[str, str, str], Shop] = {}
 
 
 def open_shop(spark: SparkSession, sf_dir: str, entity_set: str) -> Shop:
-    """``web`` is clean and only normalised; ``volume`` goes through the rules."""
+    """``web`` is clean and only normalised; ``dirty`` and ``volume`` go through the rules."""
     key = (spark.sparkContext.applicationId, sf_dir, entity_set)
     if key not in _OPEN:
         number = sum(k[0] == key[0] for k in _OPEN)
         folder = f"{work_folder(spark)}/shop-{number}-{entity_set}"
-        raw = {"web": supplied.web, "volume": supplied.volume}[entity_set](spark, sf_dir)
-        _OPEN[key] = Shop(raw, folder, validated=entity_set == "volume")
+        raw = _ENTITY_SETS[entity_set](spark, sf_dir)
+        _OPEN[key] = Shop(raw, folder, validated=entity_set != "web")
     return _OPEN[key]

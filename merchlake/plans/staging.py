@@ -14,6 +14,14 @@ from merchlake.plans.lazy import LazyTables, mapped
 Tables = Mapping[str, DataFrame]
 
 
+# Sources of one layer are independent; a layer refers to the ones before it.
+STAGING_LAYERS = [
+    ["website_sessions", "website_pageviews", "products", "orders"],
+    ["order_items"],
+    ["order_item_refunds"],
+]
+
+
 def split_of(name: str, raw: Tables, known: Tables) -> Split:
     """Valid and rejected rows of one source.
 
@@ -40,8 +48,9 @@ def valid_rows(raw: Tables) -> LazyTables:
     return valid
 
 
-def validate_all(raw: Tables) -> dict[str, Split]:
-    known = valid_rows(raw)
+def validate_all(raw: Tables, known: Tables | None = None) -> dict[str, Split]:
+    """Splits of all sources; without ``known`` references stay within the batch."""
+    known = valid_rows(raw) if known is None else known
     return {name: split_of(name, raw, known) for name in raw}
 
 

@@ -17,6 +17,7 @@ from merchlake.operators import surrogate
 from merchlake.operators.tables import VersionedTable
 from merchlake.operators.upsert import require_unique, upsert
 from merchlake.plans import dimensions, facts, marts, reconciliation
+from merchlake.plans.lazy import side_by_side
 
 Tables = Mapping[str, DataFrame]
 
@@ -81,26 +82,30 @@ class WarehouseBuilder:
 
     def dimensions(self, staged: Tables) -> dict[str, DataFrame]:
         calendar = dimensions.build_dim_date_from_staging(staged)
-        dims = {"dim_date": self._take_over("dim_date", calendar, ["date_key"])}
-        for name, members in dimensions.members(staged).items():
-            dims[name] = self._keyed_dimension(name, members)
-        return dims
+        members = dimensions.members(staged)
+
+        def build(name: str) -> DataFrame:
+            if name == "dim_date":
+                return self._take_over(name, calendar, ["date_key"])
+            return self._keyed_dimension(name, members[name])
+
+        return side_by_side(build, ["dim_date", *members])
 
     def digests(self, staged: Tables) -> dict[str, DataFrame]:
         """Per-session digest of the pageviews, for the session facts and for the funnel."""
         return {n: self._scratch(n, rows) for n, rows in facts.build_digests(staged).items()}
 
     def facts(self, staged: Tables, dims: Tables, digests: Tables) -> dict[str, DataFrame]:
-        return {
-            name: self._take_over(name, rows, [FACT_KEYS[name]])
-            for name, rows in facts.build_facts(staged, dims, digests).items()
-        }
+        tables = facts.build_facts(staged, dims, digests)
+        return side_by_side(
+            lambda name: self._take_over(name, tables[name], [FACT_KEYS[name]]), tables
+        )
 
     def marts(self, warehouse: Tables, digests: Tables) -> dict[str, DataFrame]:
-        return {
-            name: self._take_over(name, rows, marts.MART_KEYS[name])
-            for name, rows in marts.build_marts(warehouse, digests).items()
-        }
+        tables = marts.build_marts(warehouse, digests)
+        return side_by_side(
+            lambda name: self._take_over(name, tables[name], marts.MART_KEYS[name]), tables
+        )
 
 
 def build_warehouse(
@@ -112,8 +117,9 @@ def build_warehouse(
     digests = builder.digests(staged)
     fact_tables = builder.facts(staged, dims, digests)
     checks = reconciliation.require_reconciled(reconciliation.reconcile(staged, fact_tables))
-    builder.marts({**dims, **fact_tables}, digests)
-    return WarehouseResult(builder.volumes, checks)
+    mart_tables = builder.marts({**dims, **fact_tables}, digests)
+    in_order = [*dims, *fact_tables, *mart_tables]
+    return WarehouseResult({name: builder.volumes[name] for name in in_order}, checks)
 
 
 def number_facts(spark: SparkSession, root: str, name: str) -> DataFrame:
