@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.readwriter import DataStreamReader
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from merchlake import schemas
 
@@ -13,17 +13,39 @@ DEFAULT_PAGE_SIZE = 1000
 MAX_PAGE_SIZE = 5000
 
 
-def _csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    # The header check and FAILFAST turn a malformed export into an error at the first action;
-    # a missing path already fails here.
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("mode", "FAILFAST")
-        .csv(path)
+# Texts the exports use for a missing value.
+MISSING_TEXTS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]
+
+# The header must name the expected columns in order, and broken lines raise at the first
+# action; a missing path already fails when the reader is built.
+_CSV_OPTIONS = {"header": "true", "enforceSchema": "false", "mode": "FAILFAST"}
+
+
+def _as_text(schema: StructType) -> StructType:
+    return StructType([StructField(f.name, StringType()) for f in schema.fields])
+
+
+def _typed(text_rows: DataFrame, schema: StructType) -> DataFrame:
+    """Missing texts become NULL, the rest is cast; unreadable values raise."""
+    columns = {f.name: F.col(f.name) for f in schema.fields}
+    return text_rows.select(
+        *[
+            F.when(~columns[f.name].isin(MISSING_TEXTS), columns[f.name])
+            .cast(f.dataType)
+            .alias(f.name)
+            for f in schema.fields
+        ]
     )
 
 
+def _csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    text_rows = spark.read.schema(_as_text(schema)).options(**_CSV_OPTIONS).csv(path)
+    return _typed(text_rows, schema)
+
+
 def read_sessions(spark: SparkSession, path: str) -> DataFrame:
     return _csv(spark, path, schemas.SESSIONS)
 
@@ -37,12 +59,8 @@ def stream_pageviews(spark: SparkSession, folder: str, files_per_batch: int = 1)
     """Pageview exports as a stream, ``files_per_batch`` files at a time."""
     if files_per_batch <= 0:
         raise ValueError("files_per_batch must be greater than zero")
-    return (
-        _stream(spark, schemas.PAGEVIEWS, files_per_batch)
-        .option("header", True)
-        .option("mode", "FAILFAST")
-        .csv(folder)
-    )
+    reader = _stream(spark, _as_text(schemas.PAGEVIEWS), files_per_batch)
+    return _typed(reader.options(**_CSV_OPTIONS).csv(folder), schemas.PAGEVIEWS)
 
 
 def read_products(spark: SparkSession, path: str) -> DataFrame:

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from merchlake import schemas
 
+Bounds = tuple[int, int]
+
 
 def jdbc_options(
-    url: str, table: str, key: str, bounds: tuple[int, int], partitions: int, fetch_size: int
+    url: str, table: str, key: str, bounds: Bounds, partitions: int, fetch_size: int = 10_000
 ) -> dict[str, str]:
     low, high = bounds
     if low > high:
@@ -28,35 +31,37 @@ def jdbc_options(
     }
 
 
-def _read(spark: SparkSession, schema, options: dict[str, str], extra: dict[str, str]) -> DataFrame:
-    return schemas.conform(
-        spark.read.format("jdbc").options(**options, **extra).load(), schema
-    )
+def key_bounds(spark: SparkSession, url: str, table: str, key: str, **extra: str) -> Bounds:
+    """Smallest and largest key, computed by the database (one row)."""
+    query = f"SELECT MIN({key}) AS low, MAX({key}) AS high FROM {table}"
+    row = spark.read.format("jdbc").options(url=url, query=query, **extra).load().first()
+    return (row[0], row[1]) if row[0] is not None else (0, 0)
 
 
-def read_order_items(
+def _read(
     spark: SparkSession,
     url: str,
-    bounds: tuple[int, int],
+    source: tuple[str, str, StructType],
     partitions: int,
-    fetch_size: int = 10_000,
-    **extra: str,
+    bounds: Bounds | None,
+    extra: dict[str, str],
 ) -> DataFrame:
-    options = jdbc_options(
-        url, "source.order_items", "order_item_id", bounds, partitions, fetch_size
-    )
-    return _read(spark, schemas.ORDER_ITEMS, options, extra)
+    table, key, schema = source
+    bounds = bounds or key_bounds(spark, url, table, key, **extra)
+    options = jdbc_options(url, table, key, bounds, partitions) | extra
+    return schemas.conform(spark.read.format("jdbc").options(**options).load(), schema)
+
+
+def read_order_items(
+    spark: SparkSession, url: str, partitions: int, bounds: Bounds | None = None, **extra: str
+) -> DataFrame:
+    """``extra``: further reader options such as user, password, driver, fetchsize."""
+    source = ("source.order_items", "order_item_id", schemas.ORDER_ITEMS)
+    return _read(spark, url, source, partitions, bounds, extra)
 
 
 def read_refunds(
-    spark: SparkSession,
-    url: str,
-    bounds: tuple[int, int],
-    partitions: int,
-    fetch_size: int = 10_000,
-    **extra: str,
+    spark: SparkSession, url: str, partitions: int, bounds: Bounds | None = None, **extra: str
 ) -> DataFrame:
-    options = jdbc_options(
-        url, "source.order_item_refunds", "order_item_refund_id", bounds, partitions, fetch_size
-    )
-    return _read(spark, schemas.REFUNDS, options, extra)
+    source = ("source.order_item_refunds", "order_item_refund_id", schemas.REFUNDS)
+    return _read(spark, url, source, partitions, bounds, extra)

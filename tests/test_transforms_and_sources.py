@@ -82,6 +82,22 @@ def test_csv_round_trip_keeps_types(spark, folder):
     assert sorted(tuple(r) for r in read.collect()) == rows
 
 
+def test_csv_missing_texts_and_wrong_header(spark, tmp_path):
+    columns = ",".join(schemas.SESSIONS.fieldNames())
+    good, bad = tmp_path / "good.csv", tmp_path / "bad.csv"
+    good.write_text(f"{columns}\n1,2024-01-01 08:00:00,NULL,0,NULL,n/a,,mobile,nan\n")
+    row = files.read_sessions(spark, str(good)).first()
+    assert tuple(row) == (1, datetime(2024, 1, 1, 8), None, 0, None, None, None, "mobile", None)
+    swapped = columns.replace("utm_source,utm_campaign", "utm_campaign,utm_source")
+    bad.write_text(f"{swapped}\n1,2024-01-01 08:00:00,1,0,a,b,c,mobile,d\n")
+    with pytest.raises(Exception, match="header"):
+        files.read_sessions(spark, str(bad)).collect()
+    broken = tmp_path / "broken.csv"
+    broken.write_text(f"{columns}\nx,2024-01-01 08:00:00,1,0,a,b,c,mobile,d\n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        files.read_sessions(spark, str(broken)).collect()
+
+
 def test_missing_csv_fails_at_once(spark, folder):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         files.read_sessions(spark, f"{folder}/nowhere.csv")
