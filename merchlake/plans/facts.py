@@ -70,19 +70,27 @@ def refunds_by_item(refunds: DataFrame) -> DataFrame:
 
 
 def fact_sales(staged: Tables, dims: Tables) -> DataFrame:
-    """One row per order item; the refund total of an item is dated by its last refund."""
-    orders = staged["orders"].select("order_id", "website_session_id", "user_id")
-    products = dims["dim_product"].select("product_id", "product_key")
+    """One row per order item; the refund total of an item is dated by its last refund.
+
+    Customers are looked up per order, so items never shuffle by user. The item key comes last:
+    it is also the key of the table, so an upsert finds the rows partitioned by it.
+    """
     customers = dims["dim_customer"].select("user_id", "customer_key")
+    orders = (
+        staged["orders"]
+        .select("order_id", "website_session_id", "user_id")
+        .join(customers, "user_id")
+        .drop("user_id")
+    )
+    products = dims["dim_product"].select("product_id", "product_key")
 
     refund = numeric.zero_if_null(F.col("refund_amount_usd"), schemas.MONEY)
     price, profit = F.col("price_usd"), F.col("gross_profit")
     joined = (
         staged["order_items"]
         .join(products, "product_id")
-        .join(refunds_by_item(staged["order_item_refunds"]), "order_item_id", "left")
         .join(orders, "order_id")
-        .join(customers, "user_id")
+        .join(refunds_by_item(staged["order_item_refunds"]), "order_item_id", "left")
     )
     return joined.select(
         "order_item_id",
@@ -106,8 +114,9 @@ def fact_sales(staged: Tables, dims: Tables) -> DataFrame:
 def fact_sessions(staged: Tables, dims: Tables, visits: DataFrame) -> DataFrame:
     """One row per session with pageviews; ``visits`` holds their path by session.
 
-    Pageviews and orders are aggregated before the joins, so neither multiplies the other; both
-    aggregates arrive partitioned by session, and the sessions shuffle on it once for both.
+    Pageviews and orders are aggregated before the joins, so neither multiplies the other.
+    Texts are exchanged for keys before the sessions shuffle, once by user and once by session
+    for both aggregates; the result is partitioned by its own key.
     """
     attributes = labels.MARKETING_ATTRIBUTES
     purchases = orders_by_session(staged["orders"]).withColumn("_ordered", F.lit(True))
@@ -115,13 +124,18 @@ def fact_sessions(staged: Tables, dims: Tables, visits: DataFrame) -> DataFrame:
         "marketing_key", *[F.col(a).alias(f"_{a}") for a in attributes]
     )
     same_channel = [labels.or_member(a) == F.col(f"_{a}") for a in attributes]
-    joined = (
+    keyed = (
         staged["website_sessions"]
-        .join(visits, "website_session_id")
-        .join(purchases, "website_session_id", "left")
         .join(dims["dim_device"].select("device_type", "device_key"), "device_type")
         .join(marketing, same_channel)
         .join(dims["dim_customer"].select("user_id", "customer_key"), "user_id")
+        .select(
+            "website_session_id", "created_at", "is_repeat_session",
+            "device_key", "marketing_key", "customer_key",
+        )
+    )
+    joined = keyed.join(visits, "website_session_id").join(
+        purchases, "website_session_id", "left"
     )
     return joined.select(
         "website_session_id",

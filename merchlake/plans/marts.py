@@ -183,8 +183,7 @@ def customer_summary(warehouse: Tables) -> DataFrame:
         _count().alias("session_count"),
         _count(F.col("is_repeat_session")).alias("repeat_session_count"),
     )
-    # Sales meet their date before the aggregation; the calendar is one row per day.
-    days = F.broadcast(warehouse["dim_date"].select("date_key", "date"))
+    days = warehouse["dim_date"].select("date_key", "date")
     bought = (
         warehouse["fact_sales"]
         .join(days, "date_key")
@@ -258,10 +257,8 @@ def refunds_performance(warehouse: Tables) -> DataFrame:
         _count().alias("items_sold"),
         _money("price_usd").alias("gross_revenue_usd"),
     )
-    refund_days = F.broadcast(
-        warehouse["dim_date"].select(
-            F.col("date_key").alias("refund_date_key"), F.col("date").alias("refund_date")
-        )
+    refund_days = warehouse["dim_date"].select(
+        F.col("date_key").alias("refund_date_key"), F.col("date").alias("refund_date")
     )
     refunded = (
         sales.filter("is_refunded")
