@@ -48,7 +48,3 @@ def iso_text(moment: Column) -> Column:
     fraction = F.date_format(moment, ".SSSSSS")
     return F.concat(whole, F.when(fraction == ".000000", "").otherwise(fraction))
 
-
-def as_utc_naive(moment: Column) -> Column:
-    """Zoned timestamp → UTC wall-clock time (session time zone is UTC)."""
-    return moment.cast("timestamp").cast("timestamp_ntz")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import UTC, datetime
@@ -22,8 +22,9 @@ from merchlake.operators.runlog import RunCounters
 from merchlake.operators.split import Split
 from merchlake.operators.tables import VersionedTable
 from merchlake.operators.transforms import TRANSFORMS, transform_orders
+from merchlake.plans import analyses
 from merchlake.plans.staging import split_of
-from merchlake.plans.warehouse import UPSERT, build_warehouse
+from merchlake.plans.warehouse import UPSERT, build_warehouse, load_marts
 
 
 # Step names by source, in launch order.
@@ -147,11 +148,22 @@ class FullRun:
                 result = build_warehouse(self.spark, staged, self.root, self.mode)
                 done.rows_loaded = sum(result.volumes.values())
         except Exception as error:
-            self._log_run(runlog.FAILED, str(error))
+            self._finish(runlog.FAILED, str(error))
             raise
-        self._log_run(runlog.SUCCESS)
+        self._finish(runlog.SUCCESS)
         return self.run_id
 
+    def _finish(self, status: str, error: str | None = None) -> None:
+        runlog.require_final(status)
+        self._log_run(status, error)
+
+
+def report(spark: SparkSession, root: str, folder: str) -> Mapping[str, DataFrame]:
+    """Analyses of the written marts, exported as CSV under ``folder``."""
+    results = analyses.build_analyses(load_marts(spark, root))
+    analyses.export_analyses(results, folder)
+    return results
+
 
 def run_log(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(schemas.RUN_LOG).parquet(f"{root}/control/pipeline_runs")

@@ -42,18 +42,6 @@ def split_of(name: str, raw: Tables, known: Tables) -> Split:
     return simple[name](rows)
 
 
-def valid_rows(raw: Tables) -> LazyTables:
-    """Valid rows per source; references point to the valid rows of the same batch."""
-    valid = LazyTables({n: (lambda n=n: split_of(n, raw, valid).valid) for n in raw})
-    return valid
-
-
-def validate_all(raw: Tables, known: Tables | None = None) -> dict[str, Split]:
-    """Splits of all sources; without ``known`` references stay within the batch."""
-    known = valid_rows(raw) if known is None else known
-    return {name: split_of(name, raw, known) for name in raw}
-
-
 def transform_all(valid: Tables) -> LazyTables:
     return mapped(valid, lambda name, rows: TRANSFORMS[name](rows))
 

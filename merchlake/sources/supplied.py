@@ -16,18 +16,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merchlake import schemas
+from merchlake.functions import labels
 from merchlake.plans.lazy import LazyTables, mapped
 
 Tables = Mapping[str, DataFrame]
 
 EPOCH = "2024-01-01"
 PRODUCT_SPREAD = 200
-PRODUCT_PAGES = [
-    "/the-original-mr-fuzzy",
-    "/the-forever-love-bear",
-    "/the-birthday-sugar-panda",
-    "/the-hudson-river-mini-bear",
-]
+PRODUCT_PAGES = labels.FUNNEL_PAGES["product_detail"]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

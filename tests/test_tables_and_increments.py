@@ -72,7 +72,8 @@ def test_late_orders_are_reported(spark):
 
 
 def test_upsert_inserts_overwrites_and_keeps(spark):
-    state = upsert(staged(spark, (1, T1, 1.0), (2, T1, 2.0)), staged(spark, (2, T2, 5.0), (3, T2, 6.0)), ["order_id"])
+    target, source = [(1, T1, 1.0), (2, T1, 2.0)], [(2, T2, 5.0), (3, T2, 6.0)]
+    state = upsert(staged(spark, *target), staged(spark, *source), ["order_id"])
     assert prices(state) == {1: 1.0, 2: 5.0, 3: 6.0}
 
 
@@ -115,7 +116,8 @@ def test_versions_publish_only_complete_writes(spark, folder):
     assert table.read(spark, schemas.PRODUCTS).count() == 0
     assert table.write(spark.range(3).toDF("a")) == 1
     assert table.write(table.read(spark).filter("a > 0")) == 2
-    spark.range(9).toDF("a").write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{folder}/t/v=3")
+    unmarked = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
+    spark.range(9).toDF("a").write.options(**unmarked).parquet(f"{folder}/t/v=3")
     assert sorted(r.a for r in table.read(spark).collect()) == [1, 2]
     assert table.write(spark.range(1).toDF("a")) == 3
     assert table.drop_old(spark, keep=1) == [1, 2]
@@ -285,7 +287,8 @@ def marks(spark, *rows):
 
 
 def test_watermark_table(spark):
-    table = watermarks.set_watermarks(marks(spark, ("orders", T1, 1)), marks(spark, ("orders", T2, 5), ("x", T1, 2)))
+    before, updates = marks(spark, ("orders", T1, 1)), marks(spark, ("orders", T2, 5), ("x", T1, 2))
+    table = watermarks.set_watermarks(before, updates)
     assert watermarks.get_watermark(table, "orders") == Watermark(T2, 5)
     assert watermarks.get_watermark(table, "nothing").is_empty
     with pytest.raises(Exception, match="requires both"):

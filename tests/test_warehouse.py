@@ -240,7 +240,8 @@ def test_segments(spark):
 
 
 def test_funnel(spark):
-    columns = "sessions bigint, product_list_sessions bigint, product_detail_sessions bigint, cart_sessions bigint, shipping_sessions bigint, billing_sessions bigint, order_sessions bigint"
+    steps = ["product_list", "product_detail", "cart", "shipping", "billing", "order"]
+    columns = ", ".join(["sessions bigint", *[f"{s}_sessions bigint" for s in steps]])
     rows = analyses.analyse_funnel(
         frame(spark, columns, (200, 100, 80, 40, 30, 20, 10), (200, 100, 80, 40, 30, 20, 10))
     ).collect()
@@ -252,7 +253,10 @@ def test_funnel(spark):
 
 
 def test_channels_keep_missing_groups(spark):
-    columns = "utm_source string, utm_campaign string, is_direct boolean, sessions bigint, orders bigint, net_revenue_usd double, net_profit_usd double"
+    columns = (
+        "utm_source string, utm_campaign string, is_direct boolean, sessions bigint, "
+        "orders bigint, net_revenue_usd double, net_profit_usd double"
+    )
     rows = analyses.analyse_marketing(
         frame(
             spark,
@@ -310,8 +314,7 @@ def test_full_run_twice(spark, folder):
 
 def test_analyses_are_exported(spark, built, tmp_path):
     _, _, root = built
-    built_analyses = analyses.build_analyses(warehouse.load_marts(spark, root))
-    analyses.export_analyses(built_analyses, str(tmp_path))
+    built_analyses = fullrun.report(spark, root, str(tmp_path))
     assert sorted(p.name for p in tmp_path.iterdir()) == sorted(built_analyses)
     assert len(list((tmp_path / "funnel_overall").glob("*.csv"))) == 1
     products = spark.read.option("header", True).csv(str(tmp_path / "product_performance"))
