@@ -20,7 +20,7 @@ from merchlake import schemas
 from merchlake.operators import keyset, watermarks
 from merchlake.operators.keyset import Watermark
 from merchlake.operators.runlog import PIPELINE_NAME
-from merchlake.operators.tables import finished_numbers
+from merchlake.operators.tables import delete_folder, finished_numbers
 
 SOURCE_NAME = "orders"
 KEY = "order_id"
@@ -55,16 +55,27 @@ class OrderStore:
         runs = self._runs(spark)
         return runs[-1] + 1 if runs else 0
 
+    def _bases(self, spark: SparkSession) -> list[int]:
+        return finished_numbers(spark, f"{self.root}/base", "upto")
+
+    def _base_and_newer(self, spark: SparkSession, runs: list[int]) -> tuple[str, list[int]]:
+        """Folder to start from (the last compaction or the first run) and the runs after it."""
+        bases = self._bases(spark)
+        if bases:
+            return f"base/upto={bases[-1]}", [r for r in runs if r > bases[-1]]
+        return f"data/run={runs[0]}", runs[1:]
+
+    def open_runs(self, spark: SparkSession) -> int:
+        """Runs that a read merges into the base."""
+        runs = self._runs(spark)
+        return len(self._base_and_newer(spark, runs)[1]) if runs else 0
+
     def read(self, spark: SparkSession) -> DataFrame:
         """Current state of the staged orders."""
         runs = self._runs(spark)
         if not runs:
             return spark.createDataFrame([], schemas.STAGED_ORDERS)
-        compacted = finished_numbers(spark, f"{self.root}/base", "upto")
-        if compacted:
-            start, newer = f"base/upto={compacted[-1]}", [r for r in runs if r > compacted[-1]]
-        else:
-            start, newer = f"data/run={runs[0]}", runs[1:]
+        start, newer = self._base_and_newer(spark, runs)
         base = spark.read.schema(schemas.STAGED_ORDERS).parquet(f"{self.root}/{start}")
         if not newer:
             return base
@@ -110,10 +121,21 @@ class OrderStore:
         return position
 
     def compact(self, spark: SparkSession) -> int | None:
-        """Folds all committed runs into one base; later reads start there."""
+        """Folds all committed runs into one base; later reads start there.
+
+        Rows under the base before this one are deleted, since the previous base still serves
+        readers that planned earlier. Commits stay: they carry the run numbers and checkpoints.
+        """
         runs = self._runs(spark)
-        if not runs:
+        if not runs or not self.open_runs(spark):
             return None
+        bases = self._bases(spark)
         path = f"{self.root}/base/upto={runs[-1]}"
         self.read(spark).hint("rebalance").write.mode("overwrite").parquet(path)
+        if bases:
+            for number in finished_numbers(spark, f"{self.root}/data", "run"):
+                if number <= bases[-1]:
+                    delete_folder(spark, f"{self.root}/data/run={number}")
+            for number in bases[:-1]:
+                delete_folder(spark, f"{self.root}/base/upto={number}")
         return runs[-1]

@@ -44,6 +44,15 @@ def finished_numbers(spark: SparkSession, root: str, prefix: str) -> list[int]:
     return sorted(int(p.rsplit("=", 1)[1]) for p in _finished(spark, f"{root}/{prefix}=*"))
 
 
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+# The version in use and the one before it, for readers that planned earlier.
+KEPT_VERSIONS = 2
+
+
 @dataclass(frozen=True)
 class VersionedTable:
     root: str
@@ -80,12 +89,11 @@ class VersionedTable:
         writer.parquet(f"{self.root}/v={number}")
         return number
 
-    def drop_old(self, spark: SparkSession, keep: int = 2) -> list[int]:
+    def drop_old(self, spark: SparkSession, keep: int = KEPT_VERSIONS) -> list[int]:
         """Deletes all but the newest ``keep`` complete versions."""
         if keep < 1:
             raise ValueError("keep must be at least 1")
         old = self.versions(spark)[:-keep]
         for number in old:
-            path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/v={number}")
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            delete_folder(spark, f"{self.root}/v={number}")
         return old

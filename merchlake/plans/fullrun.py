@@ -36,6 +36,8 @@ STEP_NAMES = {
     "order_items": "staging_order_items",
     "order_item_refunds": "staging_refunds",
 }
+# Increments merged on read before they are folded into one base.
+COMPACT_AFTER = 30
 WAREHOUSE_STEP = "warehouse_et_marts"
 
 
@@ -110,6 +112,7 @@ class FullRun:
             loaded = Observation()
             rows = TRANSFORMS[source](parts.valid).observe(loaded, F.count("*").alias("rows"))
             self.staged_table(source).write(rows)
+            self.staged_table(source).drop_old(self.spark)
             self._record(done, loaded.get["rows"], rejected)
         return self.staged_table(source).read(self.spark, schemas.STAGED[source])
 
@@ -123,6 +126,8 @@ class FullRun:
             valid = transform_orders(parts.valid).observe(loaded, F.count("*").alias("rows"))
             self.orders.append(valid)
             self._record(done, loaded.get["rows"], rejected)
+            if self.orders.open_runs(self.spark) >= COMPACT_AFTER:
+                self.orders.compact(self.spark)
         return self.orders.read(self.spark)
 
     def _record(self, step: RunCounters, loaded: int, rejected: int) -> None:

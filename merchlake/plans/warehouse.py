@@ -50,6 +50,7 @@ class WarehouseBuilder:
     def _write(self, name: str, state: DataFrame) -> DataFrame:
         written = Observation()
         self.table(name).write(state.observe(written, F.count("*").alias("rows")))
+        self.table(name).drop_old(self.spark)
         self.volumes[name] = written.get["rows"]
         return self.table(name).read(self.spark)
 

@@ -196,10 +196,25 @@ def test_compaction_changes_nothing_but_the_files(spark, folder):
     assert store.compact(spark) == 2
     assert prices(store.read(spark)) == expected
     assert store.watermark(spark) == Watermark(T3, 3)
+    assert store.compact(spark) is None
     store.append(staged(spark, (1, T3 + timedelta(days=1), 7.0)))
+    assert store.open_runs(spark) == 1
     assert prices(store.read(spark)) == {1: 7.0, 2: 4.0, 3: 5.0}
 
 
+def test_second_compaction_drops_what_the_first_one_folded(spark, folder):
+    store = OrderStore(folder)
+    for day in range(6):
+        store.append(staged(spark, (1, T1 + timedelta(days=day), float(day)), (10 + day, T1, 1.0)))
+        if day in (2, 4):
+            store.compact(spark)
+    assert tables.finished_numbers(spark, f"{folder}/data", "run") == [3, 4, 5]
+    assert tables.finished_numbers(spark, f"{folder}/base", "upto") == [2, 4]
+    expected = {1: 5.0} | {10 + day: 1.0 for day in range(6)}
+    assert prices(store.read(spark)) == expected
+    assert store.next_run(spark) == 6
+
+
 def test_replayed_micro_batch_replaces_itself(spark, folder):
     store, rejected = OrderStore(f"{folder}/o"), f"{folder}/r"
     batch = raw(spark, (1, T1, 1.0), (2, T1, -2.0))
