@@ -15,8 +15,6 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # Bad dates, overflows and divisions by zero raise instead of turning into NULL.
     "spark.sql.ansi.enabled": "true",
-    # Call sites of every column expression are a debugging aid that costs round trips.
-    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Run-time re-planning: coalesce small shuffles, split skewed ones, and broadcast a join
     # side only when its measured size is below the threshold (sort-merge otherwise).
     "spark.sql.adaptive.enabled": "true",
@@ -61,6 +59,8 @@ def local_session(cores: str = "8", app: str = "merchlake") -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
+        # Call sites of every column expression are a debugging aid that costs round trips.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.warehouse.dir", "/tmp/merchlake-spark-warehouse")
     )
     for name, value in SETTINGS.items():
