@@ -48,6 +48,14 @@ HEADLINE = [
 ]
 
 
+def _scale(sf_dir: str) -> float | str:
+    name = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
+    try:
+        return float(name)
+    except ValueError:
+        return name
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = local_session(os.environ.get("BENCH_CPUS", "8"), "merchlake-bench")
@@ -78,7 +86,7 @@ def main() -> None:
                 "value": round(sum(timings.values()), 3),
                 "unit": "sec",
                 "queries": timings,
-                "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
+                "sf": _scale(sf_dir),
             }
         )
     )
