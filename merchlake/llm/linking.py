@@ -1,7 +1,7 @@
 """Similarity components from sketches: banding, estimates, exact checks, union-find.
 
-Works on nodes (id long, bands array<long>, sig binary), one per distinct set, and on their bodies
-(id long, body binary). Used by the document and the line near-duplicate operators.
+Works on nodes (id long, sig binary), one per distinct set, on their bands (id, band long), and on
+their bodies (id long, body binary). Used by the document and the line near-duplicate operators.
 
 How large buckets are kept cheap without losing a link between different sets:
 
@@ -37,6 +37,7 @@ def link(
     spark: SparkSession,
     scratch: Scratch,
     nodes: DataFrame,
+    banded: DataFrame,
     bodies: Callable[[DataFrame], DataFrame],
     similar: Callable[[bytes, bytes], bool],
     threshold: float,
@@ -47,7 +48,6 @@ def link(
     ``bodies`` gives (id, body) for a table of wanted ids; ``similar`` decides a pair exactly;
     estimates under ``floor`` rule a pair out.
     """
-    banded = nodes.select("id", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.min("id").alias("center"), F.count("*").alias("n")).filter("n > 1")
     members = scratch.keep(banded.join(shared, "band"), "members")
     sigs = nodes.select("id", "sig")

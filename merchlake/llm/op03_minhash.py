@@ -92,8 +92,8 @@ def near_duplicates(
 
     bins = ROWS * BANDS
     roots = link(
-        spark, scratch, classes.select("id", "bands", "sig"), bodies, _similar(percent, words), percent / 100,
-        sketch.cut(percent / 100, bins),
+        spark, scratch, classes.select("id", "sig"), classes.select("id", F.explode("bands").alias("band")), bodies,
+        _similar(percent, words), percent / 100, sketch.cut(percent / 100, bins),
     )
     owned = classes.select("id", "set_key", "owner").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     smallest = owned.groupBy("root").agg(F.min("owner").alias("component"))
