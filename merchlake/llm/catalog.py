@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from merchlake.llm import op03_minhash, op04_lines, op06_substrings
+from merchlake.llm import op03_minhash, op04_lines, op06_substrings, op08_fertility, op10_pieces
 
-_MODULES = (op03_minhash, op04_lines, op06_substrings)
+_MODULES = (op03_minhash, op04_lines, op06_substrings, op08_fertility, op10_pieces)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 SQL = {name: sql for module in _MODULES for name, sql in module.SQL.items()}
