@@ -51,22 +51,20 @@ def link(
     shared = banded.groupBy("band").agg(F.min("id").alias("center"), F.count("*").alias("n")).filter("n > 1")
     members = scratch.keep(banded.join(shared, "band"), "members")
     sigs = nodes.select("id", "sig")
-    wanted = members.select("id").distinct()
-    texts = scratch.keep(bodies(wanted), "bodies")
 
     pairs = members.filter("id <> center").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
     stars = scratch.keep(_estimated(pairs, sigs, floor), "stars")
-    links = _checked(scratch, _best(stars), texts, similar)
+    links = _checked(scratch, _best(stars), bodies, similar)
     roots = scratch.keep(components(scratch, links), "roots")
 
     more = _across(stars.filter(F.col("est") >= threshold - (threshold - floor) / 2), roots)
-    links = links.union(_checked(scratch, more, texts, similar))
+    links = links.union(_checked(scratch, more, bodies, similar))
     roots = scratch.keep(components(scratch, links), "roots")
 
     rest = scratch.keep(_blocks(members, roots, sigs, floor), "rest")
-    links = links.union(_checked(scratch, _best(rest), texts, similar))
+    links = links.union(_checked(scratch, _best(rest), bodies, similar))
     roots = scratch.keep(components(scratch, links), "roots")
-    links = links.union(_checked(scratch, _across(rest, roots), texts, similar))
+    links = links.union(_checked(scratch, _across(rest, roots), bodies, similar))
     return scratch.keep(components(scratch, links), "roots")
 
 
@@ -106,8 +104,13 @@ def _estimated(pairs: DataFrame, sigs: DataFrame, floor: float) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long, est double")
 
 
-def _checked(scratch: Scratch, pairs: DataFrame, texts: DataFrame, similar: Callable[[bytes, bytes], bool]) -> DataFrame:
-    """The pairs that are similar by their whole bodies."""
+def _checked(
+    scratch: Scratch,
+    pairs: DataFrame,
+    bodies: Callable[[DataFrame], DataFrame],
+    similar: Callable[[bytes, bytes], bool],
+) -> DataFrame:
+    """The pairs that are similar by their whole bodies. Only the bodies of these pairs are fetched."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -115,6 +118,9 @@ def _checked(scratch: Scratch, pairs: DataFrame, texts: DataFrame, similar: Call
             keep = pa.array([similar(left, right) for left, right in pairs_of], pa.bool_())
             yield batch.select(["a", "b"]).filter(keep)
 
+    pairs = scratch.keep(pairs, "pairs")
+    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    texts = scratch.keep(bodies(wanted), "bodies")
     of_a = texts.select(F.col("id").alias("a"), F.col("body").alias("body_a"))
     of_b = texts.select(F.col("id").alias("b"), F.col("body").alias("body_b"))
     joined = pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "body_a", "body_b")

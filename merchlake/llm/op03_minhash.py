@@ -16,6 +16,8 @@ from merchlake.llm.linking import link
 
 WORDS = 5
 PERCENT = 75
+#: Bins of a sketch; the first ROWS * BANDS of them are banded, all of them estimate similarity.
+BINS = 640
 ROWS = 6
 BANDS = 40
 
@@ -90,10 +92,9 @@ def near_duplicates(
         )
         return texts.select("id", "set_key", "text").mapInArrow(_confirmed(words), "id long, body binary")
 
-    bins = ROWS * BANDS
     roots = link(
         spark, scratch, classes.select("id", "sig"), classes.select("id", F.explode("bands").alias("band")), bodies,
-        _similar(percent, words), percent / 100, sketch.cut(percent / 100, bins),
+        _similar(percent, words), percent / 100, sketch.cut(percent / 100, BINS),
     )
     owned = classes.select("id", "set_key", "owner").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     smallest = owned.groupBy("root").agg(F.min("owner").alias("component"))
@@ -119,8 +120,8 @@ def _sketches(rows: DataFrame, words: int) -> DataFrame:
                 sets = [shingler.of(x) for x in texts[start:stop]]
                 sizes = np.array([len(x) for x in sets])
                 filled = sizes > 0
-                sketches = sketch.sketch(np.concatenate(sets), sizes, ROWS * BANDS)
-                hashes, sig = sketch.bands(sketches, ROWS), sketch.short(sketches)
+                sketches = sketch.sketch(np.concatenate(sets), sizes, BINS)
+                hashes, sig = sketch.bands(sketches[:, : ROWS * BANDS], ROWS), sketch.short(sketches)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(start, stop - start),

@@ -24,20 +24,28 @@ def sketch(elements: np.ndarray, sizes: np.ndarray, bins: int) -> np.ndarray:
     """
     count = len(sizes)
     table = np.full(count * bins, EMPTY, np.uint64)
+    by_set = table.reshape(count, bins)
     owner = np.repeat(np.arange(count, dtype=np.int64), sizes)
-    values = elements
-    width = np.uint64(bins)
-    for i in range(2 * bins):
-        if not len(values):
-            break
-        h = mix(values + np.uint64((i + 1) * int(ODD) & 0xFFFFFFFFFFFFFFFF))
-        place = ((h >> _HALF) * width >> _HALF).astype(np.int64) if i < bins else np.int64(i - bins)
-        np.minimum.at(table, owner * bins + place, (h & _LOW) | np.uint64(i << 32))
-        filled = (table.reshape(count, bins) != EMPTY).all(axis=1)
-        active = ~filled[owner]
-        if not active.all():
-            values, owner = values[active], owner[active]
-    return table.reshape(count, bins)
+    values, live = elements, np.flatnonzero(sizes)
+    i = 0
+    while len(live) and i < 2 * bins:
+        # Small leftovers take many rounds; these are done together. A bin still keeps the value of
+        # the earliest round, which stands in the upper half.
+        rounds = np.arange(i, min(i + max(1, 8192 // len(values)), bins if i < bins else 2 * bins), dtype=np.uint64)[:, None]
+        h = mix(values[None, :] + (rounds + np.uint64(1)) * ODD)
+        if i < bins:
+            place = ((h >> _HALF) * np.uint64(bins) >> _HALF).astype(np.int64)
+        else:
+            place = rounds.astype(np.int64) - bins
+        np.minimum.at(table, (owner[None, :] * bins + place).ravel(), ((h & _LOW) | (rounds << _HALF)).ravel())
+        full = (by_set[live] != EMPTY).all(axis=1)
+        if full.any():
+            done = np.zeros(count, bool)
+            done[live[full]] = True
+            left = ~done[owner]
+            values, owner, live = values[left], owner[left], live[~full]
+        i += len(rounds)
+    return by_set
 
 
 def bands(table: np.ndarray, rows: int) -> np.ndarray:
