@@ -36,30 +36,28 @@ STREAMED = 2048
 
 
 def anchors(hashes: np.ndarray, window: int, size: int) -> np.ndarray:
-    """For each window of a text, the place of its anchor."""
-    runs = mix(windows(hashes, size))
-    per_window = window - size + 1
-    if len(runs) < per_window:
-        return np.zeros(0, np.int64)
-    return np.lib.stride_tricks.sliding_window_view(runs, per_window).argmin(axis=1) + np.arange(len(runs) - per_window + 1)
+    """For each window of a text, its anchor: the smallest hash of its runs of ``size`` words."""
+    smallest, length = mix(windows(hashes, size)), 1
+    wanted = window - size + 1
+    while length < wanted and len(smallest):
+        step = min(length, wanted - length)
+        smallest = np.minimum(smallest[:-step], smallest[step:])
+        length += step
+    return smallest.view(np.int64)
 
 
 def _anchor_rows(rows: DataFrame, window: int) -> DataFrame:
+    """anchor, doc_id: the distinct anchors of each text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
         for batch in batches:
             ids, texts = batch.column(0).to_numpy(), bytes_of(batch.column(1))
-            found, owners = [], []
-            for doc, text in zip(ids, texts, strict=True):
-                h = hashes.of(text.split())
-                places = anchors(h, window, ANCHOR)
-                if len(places):
-                    distinct = np.unique(windows(h, ANCHOR)[places])
-                    found.append(distinct.view(np.int64))
-                    owners.append(np.full(len(distinct), doc, np.int64))
+            found = [np.unique(anchors(hashes.of(text.split()), window, ANCHOR)) for text in texts]
             if found:
+                owners = np.repeat(ids, [len(x) for x in found])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(found)), pa.array(np.concatenate(owners))], ["anchor", "doc_id"]
+                    [pa.array(np.concatenate(found)), pa.array(owners, pa.int64())], ["anchor", "doc_id"]
                 )
 
     return rows.mapInArrow(run, "anchor long, doc_id long")
@@ -126,7 +124,7 @@ def _first_fragments(texts: DataFrame, window: int) -> DataFrame:
                 part = slice(offsets[i], offsets[i + 1])
                 words = text.split()
                 h = hashes.of(words)
-                own = windows(h, ANCHOR)[anchors(h, window, ANCHOR)].view(np.int64)
+                own = anchors(h, window, ANCHOR)
                 order = np.argsort(anchor[part])
                 known = anchor[part][order]
                 place = np.minimum(np.searchsorted(known, own), len(known) - 1)
@@ -241,7 +239,7 @@ def remove_repeats(
     known = rows.filter("doc_id IS NOT NULL AND text IS NOT NULL")
     copies = F.ceil(F.col("n") / STREAMED).cast("int").alias("copies")
 
-    occurrences = _anchor_rows(known, window)
+    occurrences = scratch.keep(_anchor_rows(known, window), "occurrences")
     shared = scratch.keep(
         occurrences.groupBy("anchor")
         .agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
