@@ -2,9 +2,27 @@
 
 from __future__ import annotations
 
-from merchlake.llm import op03_minhash, op04_lines, op06_substrings, op08_fertility, op09_covertree, op10_pieces
+from merchlake.llm import (
+    op02_urls,
+    op03_minhash,
+    op04_lines,
+    op06_substrings,
+    op07_mixing,
+    op08_fertility,
+    op09_covertree,
+    op10_pieces,
+)
 
-_MODULES = (op03_minhash, op04_lines, op06_substrings, op08_fertility, op09_covertree, op10_pieces)
+_MODULES = (
+    op02_urls,
+    op03_minhash,
+    op04_lines,
+    op06_substrings,
+    op07_mixing,
+    op08_fertility,
+    op09_covertree,
+    op10_pieces,
+)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 SQL = {name: sql for module in _MODULES for name, sql in module.SQL.items()}

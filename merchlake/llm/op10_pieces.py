@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import os
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from merchlake.llm.common import bytes_of, lists, slices, table
 from merchlake.llm.transducer import SPACE, Transducer
@@ -109,9 +112,10 @@ def encode(
     """
     spark = docs.sparkSession
     compiled = spark.sparkContext.broadcast(Transducer.load(model))
+    call = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(compiled)
+        codec = _codec(call, compiled)
         for batch in batches:
             texts = [x or b"" for x in bytes_of(batch.column(batch.schema.get_field_index(text_column)))]
             for start, stop in slices([len(x) for x in texts], 1 << 20):
@@ -122,18 +126,19 @@ def encode(
                 )
 
     rest = docs.drop(ids_column)
-    return rest.mapInArrow(run, rest.schema.add(ids_column, "array<int>"))
+    shape = T.StructType([*rest.schema.fields, T.StructField(ids_column, T.ArrayType(T.IntegerType()))])
+    return rest.mapInArrow(run, shape)
 
 
-_CODECS: dict[int, Codec] = {}
+_CODECS: dict[str, Codec] = {}
 
 
-def _codec(compiled) -> Codec:
-    """The worker's codec of a broadcast transducer; only the latest is kept."""
-    if compiled.id not in _CODECS:
+def _codec(call: str, compiled: Broadcast) -> Codec:
+    """The worker's codec of one call's transducer, kept for its next tasks; only the latest is."""
+    if call not in _CODECS:
         _CODECS.clear()
-        _CODECS[compiled.id] = Codec(compiled.value)
-    return _CODECS[compiled.id]
+        _CODECS[call] = Codec(compiled.value)
+    return _CODECS[call]
 
 
 def decode(
@@ -145,9 +150,10 @@ def decode(
     like ``text_column`` is replaced; all others pass through.
     """
     compiled = docs.sparkSession.sparkContext.broadcast(Transducer.load(model))
+    call = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(compiled)
+        codec = _codec(call, compiled)
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(ids_column))
             counts = np.nan_to_num(column.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
@@ -157,7 +163,7 @@ def decode(
             )
 
     rest = docs.drop(text_column)
-    return rest.mapInArrow(run, rest.schema.add(text_column, "string"))
+    return rest.mapInArrow(run, T.StructType([*rest.schema.fields, T.StructField(text_column, T.StringType())]))
 
 
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
