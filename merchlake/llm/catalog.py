@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from merchlake.llm import (
+    op01_quality,
     op02_urls,
     op03_minhash,
     op04_lines,
+    op05_language,
     op06_substrings,
     op07_mixing,
     op08_fertility,
@@ -14,9 +16,11 @@ from merchlake.llm import (
 )
 
 _MODULES = (
+    op01_quality,
     op02_urls,
     op03_minhash,
     op04_lines,
+    op05_language,
     op06_substrings,
     op07_mixing,
     op08_fertility,
