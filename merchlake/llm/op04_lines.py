@@ -9,6 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from merchlake.llm import sketch
 from merchlake.llm.common import ODD, Scratch, bytes_of, mix, slices, table, within
@@ -59,9 +60,14 @@ def _similar(percent: int, size: int):
 
 
 def deduplicate_lines(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", chars: int = CHARS, percent: int = PERCENT
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    chars: int = CHARS,
+    percent: int = PERCENT,
+    carry: list[str] | None = None,
 ) -> DataFrame:
-    """doc_id, text, n_lines, n_removed for each row of ``docs``.
+    """doc_id, text, n_lines, n_removed and the columns ``carry`` for each row of ``docs``.
 
     Lines are the parts between newlines. Two lines are alike when 100 * |intersection| >=
     percent * |union| of their sets of ``chars``-character shingles. Of each group of lines that are
@@ -70,13 +76,19 @@ def deduplicate_lines(
 
     Edge cases: lines without a visible character always stay and are like nothing. A null text
     stays null and has 0 lines. A row without id stays as it is and is compared with nothing. Rows
-    that repeat an id count as one document: equal lines at the same place share one fate. Other
-    columns are ignored, whatever their names. An empty table gives an empty result.
+    that repeat an id count as one document: equal lines at the same place share one fate. Columns that
+    are not carried are ignored, whatever their names. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "lines")
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    known = rows.filter("doc_id IS NOT NULL AND text IS NOT NULL")
+    # Carried columns travel as one, under a name of its own.
+    carried = F.struct(*(F.col(c) for c in carry)) if carry else F.lit(0)
+    rows = docs.select(
+        F.col(id_column).cast("long").alias("doc_id"),
+        F.col(text_column).cast("string").alias("text"),
+        carried.alias("carried"),
+    )
+    known = rows.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
     lines = scratch.keep(_lines(known, chars), "lines")
     classes = scratch.keep(
         lines.groupBy("h1", "h2")
@@ -118,7 +130,8 @@ def deduplicate_lines(
         .agg(F.collect_set(F.struct("pos", "h1")).alias("removed"))
     )
     removed = scratch.keep(removed, "removed")
-    return _rebuilt(rows, removed)
+    rebuilt = _rebuilt(rows, removed)
+    return rebuilt.select("doc_id", "text", "n_lines", "n_removed", *(F.col(f"carried.`{c}`").alias(c) for c in carry or []))
 
 
 def _rebuilt(rows: DataFrame, removed: DataFrame) -> DataFrame:
@@ -126,11 +139,18 @@ def _rebuilt(rows: DataFrame, removed: DataFrame) -> DataFrame:
     touched = within(rows, "doc_id", removed.select("doc_id")).join(removed, "doc_id")
     whole = rows.join(removed.select("doc_id"), "doc_id", "left_anti")
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1)))
-    return touched.select("doc_id", "text", "removed").mapInArrow(
-        _without, "doc_id long, text string, n_lines long, n_removed long"
-    ).unionByName(
-        whole.select("doc_id", "text", n_lines.cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_removed"))
+    columns = ["doc_id", "text", "n_lines", "n_removed", "carried"]
+    shape = T.StructType(
+        [
+            T.StructField("doc_id", T.LongType()),
+            T.StructField("text", T.StringType()),
+            T.StructField("n_lines", T.LongType()),
+            T.StructField("n_removed", T.LongType()),
+            rows.schema["carried"],
+        ]
     )
+    whole = whole.withColumn("n_lines", n_lines.cast("long")).withColumn("n_removed", F.lit(0).cast("long"))
+    return touched.select("doc_id", "text", "removed", "carried").mapInArrow(_without, shape).unionByName(whole.select(*columns))
 
 
 def _key(line: bytes) -> bytes:
@@ -219,8 +239,9 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(texts, pa.binary()).cast(pa.string()),
                 pa.array(n_lines, pa.int64()),
                 pa.array(n_removed, pa.int64()),
+                batch.column(3),
             ],
-            ["doc_id", "text", "n_lines", "n_removed"],
+            ["doc_id", "text", "n_lines", "n_removed", "carried"],
         )
 
 
