@@ -739,7 +739,7 @@ def _catalog_sql() -> dict[str, str]:
             f"FROM orders WHERE {condition} GROUP BY ALL"
         )
 
-    sql["watermark_upsert"] = f"""WITH fresh AS ({positions("o_orderpriority < '3'")}),
+    sql["watermark_upsert"] = f"""WITH fresh AS ({positions("true")}),
         early AS ({positions(f"o_orderdate < TIMESTAMP '{catalog.KNOWN_CUSTOMERS_UNTIL}'")})
         SELECT 'ecommerce_analytics' AS pipeline_name, source_name,
             top.moment AS last_created_at, top.id AS last_id

@@ -255,7 +255,7 @@ def _(spark, sf_dir):
 
 @register("watermark_upsert")
 def _(spark, sf_dir):
-    """Checkpoints per order priority: one from the early orders, then from the open ones."""
+    """Checkpoints per order priority: one from the early orders, then from all orders."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
 
     def positions(rows: DataFrame) -> DataFrame:
@@ -268,9 +268,8 @@ def _(spark, sf_dir):
         )
 
     early = F.col("o_orderdate") < F.lit(KNOWN_CUSTOMERS_UNTIL).cast("timestamp_ntz")
-    urgent = F.col("o_orderpriority") < "3"
     return watermarks.set_watermarks(
-        positions(orders.filter(early)), positions(orders.filter(urgent))
+        positions(orders.filter(early)), positions(orders)
     )
 
 

@@ -19,6 +19,16 @@ def bucket_of(business_key: list[str], digits: int) -> Column:
     return F.substring(F.md5(joined), 1, digits)
 
 
+def _offsets(keys: DataFrame, business_key: list[str], digits: int) -> DataFrame:
+    """Rows in the buckets before each bucket: at most 16 ** digits rows, whatever the table size."""
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        keys.groupBy(bucket_of(business_key, digits).alias("_bucket"))
+        .agg(F.count("*").alias("_rows"))
+        .select("_bucket", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    )
+
+
 def assign(
     df: DataFrame,
     business_key: list[str],
@@ -28,20 +38,27 @@ def assign(
 ) -> DataFrame:
     """Adds ``name`` = start + 1, start + 2, … The business key must be unique."""
     bucketed = df.withColumn("_bucket", bucket_of(business_key, digits))
-    # At most 16 ** digits rows from here on, whatever the table size.
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        bucketed.groupBy("_bucket")
-        .agg(F.count("*").alias("_rows"))
-        .select(
-            "_bucket", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
-        )
-    )
     rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(*business_key))
     first = F.lit(0) if start is None else F.coalesce(start, F.lit(0))
     return (
         bucketed.withColumn("_rank", rank)
-        .join(F.broadcast(offsets), "_bucket")
+        .join(F.broadcast(_offsets(df.select(*business_key), business_key, digits)), "_bucket")
         .withColumn(name, (first + F.col("_offset") + F.col("_rank")).cast("bigint"))
         .select(name, *df.columns)
     )
+
+
+def fill(
+    df: DataFrame, unseen: DataFrame, business_key: list[str], name: str, digits: int, start: Column
+) -> DataFrame:
+    """Numbers the rows of ``df`` whose ``name`` is NULL; ``unseen`` has their business keys."""
+    is_new = F.col(name).isNull()
+    rank = F.row_number().over(Window.partitionBy("_bucket", is_new).orderBy(*business_key))
+    new_key = F.coalesce(start, F.lit(0)) + F.coalesce("_offset", F.lit(0)) + F.col("_rank")
+    return (
+        df.withColumn("_bucket", bucket_of(business_key, digits))
+        .withColumn("_rank", rank)
+        .join(F.broadcast(_offsets(unseen, business_key, digits)), "_bucket", "left")
+        .withColumn(name, F.coalesce(name, new_key).cast("bigint"))
+        .drop("_bucket", "_rank", "_offset")
+    )

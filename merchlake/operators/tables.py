@@ -89,6 +89,10 @@ class VersionedTable:
         writer.parquet(f"{self.root}/v={number}")
         return number
 
+    def take_back(self, spark: SparkSession, number: int) -> None:
+        """Deletes a version that must not be read."""
+        delete_folder(spark, f"{self.root}/v={number}")
+
     def drop_old(self, spark: SparkSession, keep: int = KEPT_VERSIONS) -> list[int]:
         """Deletes all but the newest ``keep`` complete versions."""
         if keep < 1:

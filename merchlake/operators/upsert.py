@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from merchlake.operators import quality, surrogate
@@ -12,14 +14,29 @@ class DuplicateKeyError(ValueError):
     """The same key occurs twice in one upsert."""
 
 
+class MissingKeyError(ValueError):
+    """A business key is NULL."""
+
+
+def require_known(source: DataFrame, keys: list[str]) -> None:
+    """Raises when a part of a key is NULL."""
+    if not source.filter(reduce(Column.__or__, (F.col(k).isNull() for k in keys))).isEmpty():
+        raise MissingKeyError(f"NULL in {', '.join(keys)}")
+
+
 def require_unique(source: DataFrame, keys: list[str]) -> None:
-    """Raises when a non-NULL key occurs twice (one pre-aggregated pass over the keys)."""
-    known = source.select(*keys).dropna(how="any")
-    duplicates = quality.duplicate_keys(known, keys).take(1)
+    """Raises when a key without NULL occurs twice (one pre-aggregated pass over the keys)."""
+    duplicates = quality.duplicate_keys(source.select(*keys).dropna(how="any"), keys).take(1)
     if duplicates:
         raise DuplicateKeyError(f"Key {duplicates[0].asDict()} occurs more than once")
 
 
+def require_keys(source: DataFrame, keys: list[str]) -> None:
+    """NOT NULL and UNIQUE: what a primary key demands."""
+    require_known(source, keys)
+    require_unique(source, keys)
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
@@ -27,10 +44,11 @@ def upsert(
     surrogate_key: str | None = None,
     digits: int = surrogate.LARGE,
 ) -> DataFrame:
-    """State of ``target`` after taking over ``source``; both must be unique on ``keys``.
+    """State of ``target`` after taking over ``source``; both must be unique on ``keys``, without NULL.
 
-    One full outer join: each side is evaluated and shuffled once, and unique keys cannot skew.
-    A surrogate key is kept for a known business key; new ones continue after the highest.
+    One full outer join on unique keys, which cannot skew. A surrogate key is kept for a known
+    business key; new ones continue after the highest. For them the keys alone, not the rows, are
+    compared once more: that gives the offset of each bucket of new keys.
     """
     columns = [c for c in target.columns if c != surrogate_key]
     ours, theirs = target.alias("t"), source.withColumn("_taken", F.lit(True)).alias("s")
@@ -43,9 +61,6 @@ def upsert(
     state = ours.join(theirs, same_key, "full").select(*kept_key, *merged)
     if not surrogate_key:
         return state
-    known = state.filter(F.col(surrogate_key).isNotNull())
-    unseen = state.filter(F.col(surrogate_key).isNull()).drop(surrogate_key)
+    unseen = source.select(*keys).join(target.select(*keys), keys, "left_anti")
     highest = target.agg(F.max(surrogate_key)).scalar()
-    return known.unionByName(
-        surrogate.assign(unseen, keys, surrogate_key, digits, start=highest)
-    ).select(*target.columns)
+    return surrogate.fill(state, unseen, keys, surrogate_key, digits, highest).select(*target.columns)

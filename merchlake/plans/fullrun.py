@@ -36,8 +36,6 @@ STEP_NAMES = {
     "order_items": "staging_order_items",
     "order_item_refunds": "staging_refunds",
 }
-# Increments merged on read before they are folded into one base.
-COMPACT_AFTER = 30
 WAREHOUSE_STEP = "warehouse_et_marts"
 
 
@@ -105,9 +103,20 @@ class FullRun:
     def staged_table(self, name: str) -> VersionedTable:
         return VersionedTable(f"{self.root}/staging/{name}")
 
-    def _load(self, step_name: str, source: str, parts: Split) -> DataFrame:
+    def _land(self, source: str, rows: DataFrame) -> DataFrame:
+        """Reads a source once, into a raw table; both sides of the split are cut from that table.
+
+        A live source may change between two reads, and a row would then be on both sides or none.
+        """
+        table = VersionedTable(f"{self.root}/landing/{source}")
+        table.write(rows)
+        table.drop_old(self.spark, keep=1)
+        return table.read(self.spark, rows.schema)
+
+    def _load(self, step_name: str, source: str, split: Callable[[], Split]) -> DataFrame:
         """Quarantines the rejected rows and replaces the staged table by the valid ones."""
         with self._step(step_name) as done:
+            parts = split()
             rejected = quarantine(parts.rejected, source, self.run_id, f"{self.root}/rejected")
             loaded = Observation()
             rows = TRANSFORMS[source](parts.valid).observe(loaded, F.count("*").alias("rows"))
@@ -119,15 +128,14 @@ class FullRun:
     def _load_orders(self, step_name: str, orders_after: Callable[[Watermark], DataFrame]) -> DataFrame:
         """Takes over the orders behind the checkpoint; both advance together or not at all."""
         with self._step(step_name) as done:
-            increment = orders_after(self.orders.watermark(self.spark))
+            increment = self._land("orders", orders_after(self.orders.watermark(self.spark)))
             parts = validators.validate_orders(increment)
             rejected = quarantine(parts.rejected, "orders", self.run_id, f"{self.root}/rejected")
             loaded = Observation()
             valid = transform_orders(parts.valid).observe(loaded, F.count("*").alias("rows"))
             self.orders.append(valid)
             self._record(done, loaded.get["rows"], rejected)
-            if self.orders.open_runs(self.spark) >= COMPACT_AFTER:
-                self.orders.compact(self.spark)
+            self.orders.compact_if_due(self.spark)
         return self.orders.read(self.spark)
 
     def _record(self, step: RunCounters, loaded: int, rejected: int) -> None:
@@ -141,7 +149,11 @@ class FullRun:
             if name == "orders":
                 staged[name] = self._load_orders(step_name, sources.orders_after)
             else:
-                staged[name] = self._load(step_name, name, split_of(name, raw, staged))
+                staged[name] = self._load(
+                    step_name,
+                    name,
+                    lambda name=name: split_of(name, {**raw, name: self._land(name, raw[name])}, staged),
+                )
         return staged
 
     def run(self, sources: RunSources) -> str:

@@ -4,22 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from threading import RLock
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
 class LazyTables(Mapping[str, DataFrame]):
-    """Plans nobody asks for are never built; a plan asked for twice is built once."""
+    """Plans nobody asks for are never built; a plan asked for twice, also by two threads, is built once."""
 
     def __init__(self, builders: Mapping[str, Callable[[], DataFrame]]) -> None:
         self._builders = dict(builders)
         self._built: dict[str, DataFrame] = {}
+        self._locks = {name: RLock() for name in self._builders}
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._built:
-            self._built[name] = self._builders[name]()
-        return self._built[name]
+        with self._locks[name]:
+            if name not in self._built:
+                self._built[name] = self._builders[name]()
+            return self._built[name]
 
     def __iter__(self) -> Iterator[str]:
         return iter(self._builders)

@@ -22,11 +22,11 @@ _MONEY, _RATE = schemas.MART_MONEY, schemas.RATE
 
 
 def _count(condition: Column | None = None) -> Column:
-    return (F.count("*") if condition is None else F.count_if(condition)).cast("int")
+    return F.count("*") if condition is None else F.count_if(condition)
 
 
 def _distinct(column: str) -> Column:
-    return F.count_distinct(column).cast("int")
+    return F.count_distinct(column)
 
 
 def _money(column: str) -> Column:

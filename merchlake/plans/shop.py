@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from merchlake.operators.split import Split
 from merchlake.plans import analyses, dimensions, facts, marts
 from merchlake.plans.lazy import LazyTables, mapped, side_by_side
-from merchlake.plans.staging import STAGING_LAYERS, split_of, stage, transform_all
+from merchlake.plans.staging import STAGING_LAYERS, split_of, stage
 from merchlake.session import work_folder
 from merchlake.sources import supplied
 
@@ -34,13 +34,10 @@ def written(tables: Mapping[str, DataFrame], folder: str) -> LazyTables:
 
 
 class Shop:
-    def __init__(self, raw: Mapping[str, DataFrame], folder: str, validated: bool) -> None:
+    def __init__(self, raw: Mapping[str, DataFrame], folder: str) -> None:
         self.raw = raw
         staging = f"{folder}/staging"
-        if validated:
-            self.staged = stage(raw, _writer(staging))
-        else:
-            self.staged = written(transform_all(raw), staging)
+        self.staged = stage(raw, _writer(staging))
         self.dims = written(dimensions.build_dimensions(self.staged), f"{folder}/warehouse")
         self.digests = written(facts.build_digests(self.staged), f"{folder}/scratch")
         self.facts = written(
@@ -68,11 +65,11 @@ _OPEN: dict[tuple[str, str, str], Shop] = {}
 
 
 def open_shop(spark: SparkSession, sf_dir: str, entity_set: str) -> Shop:
-    """``web`` is clean and only normalised; ``dirty`` and ``volume`` go through the rules."""
+    """Every set goes through the rules."""
     key = (spark.sparkContext.applicationId, sf_dir, entity_set)
     if key not in _OPEN:
         number = sum(k[0] == key[0] for k in _OPEN)
         folder = f"{work_folder(spark)}/shop-{number}-{entity_set}"
         raw = _ENTITY_SETS[entity_set](spark, sf_dir)
-        _OPEN[key] = Shop(raw, folder, validated=entity_set != "web")
+        _OPEN[key] = Shop(raw, folder)
     return _OPEN[key]

@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from merchlake.operators import surrogate
 from merchlake.operators.tables import VersionedTable
-from merchlake.operators.upsert import require_unique, upsert
+from merchlake.operators.upsert import MissingKeyError, require_keys, require_unique, upsert
 from merchlake.plans import dimensions, facts, marts, reconciliation
 from merchlake.plans.lazy import side_by_side
 
@@ -47,12 +48,26 @@ class WarehouseBuilder:
         schema = "marts" if name in marts.MART_KEYS else "warehouse"
         return VersionedTable(f"{self.root}/{schema}/{name}")
 
-    def _write(self, name: str, state: DataFrame) -> DataFrame:
+    def _write(self, name: str, state: DataFrame, keys: list[str]) -> DataFrame:
+        """Writes the next version; one that breaks its key is taken back before anything reads it.
+
+        NULL keys are counted by the write itself; uniqueness is checked on the written key columns.
+        """
         written = Observation()
-        self.table(name).write(state.observe(written, F.count("*").alias("rows")))
-        self.table(name).drop_old(self.spark)
+        nulls = F.count_if(reduce(Column.__or__, (F.col(k).isNull() for k in keys)))
+        table = self.table(name)
+        number = table.write(state.observe(written, F.count("*").alias("rows"), nulls.alias("nulls")))
+        rows = table.read(self.spark)
+        try:
+            if written.get["nulls"]:
+                raise MissingKeyError(f"{name}: NULL in {', '.join(keys)}")
+            require_unique(rows, keys)
+        except ValueError:
+            table.take_back(self.spark, number)
+            raise
+        table.drop_old(self.spark)
         self.volumes[name] = written.get["rows"]
-        return self.table(name).read(self.spark)
+        return rows
 
     def _scratch(self, name: str, rows: DataFrame) -> DataFrame:
         """Written intermediate result; only the newest version is kept."""
@@ -65,21 +80,21 @@ class WarehouseBuilder:
         table = self.table(name)
         if self.mode == UPSERT and table.exists(self.spark):
             source = upsert(table.read(self.spark), source, keys)
-        return self._write(name, source)
+        return self._write(name, source, keys)
 
     def _keyed_dimension(self, name: str, members: DataFrame) -> DataFrame:
         """Known members keep their key in both modes; facts may already refer to it."""
         key, business_key, digits = dimensions.KEYED[name]
         # Numbering reads its input twice, so the members are written out before it.
         members = self._scratch(name, members)
-        require_unique(members, business_key)
+        require_keys(members, business_key)
         table = self.table(name)
         if table.exists(self.spark):
             known = table.read(self.spark)
             state = upsert(known, members, business_key, key, digits)
         else:
             state = surrogate.assign(members, business_key, key, digits)
-        return self._write(name, state)
+        return self._write(name, state, business_key)
 
     def dimensions(self, staged: Tables) -> dict[str, DataFrame]:
         calendar = dimensions.build_dim_date_from_staging(staged)

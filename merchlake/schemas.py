@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
     DataType,
@@ -89,6 +90,9 @@ WATERMARKS = _schema(
     "pipeline_name string, source_name string, last_created_at timestamp_ntz, last_id bigint, "
     "updated_at timestamp_ntz"
 )
+ORDER_COMMITS = StructType(
+    [*WATERMARKS.fields, *_schema("run bigint, stream string, batch bigint").fields]
+)
 RUN_LOG = _schema(
     "run_id string, pipeline_name string, logged_at timestamp_ntz, status string, "
     "rows_extracted bigint, rows_loaded bigint, rows_rejected bigint, error_message string"
@@ -104,6 +108,12 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     missing = sorted(set(schema.fieldNames()) - set(df.columns))
     if missing:
         raise ValueError(f"Missing columns: {', '.join(missing)}")
-    return df.selectExpr(
-        *[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields]
-    )
+    return df.select(*[_cast(df, f) for f in schema.fields])
+
+
+def _cast(df: DataFrame, field: StructField) -> Column:
+    """Time texts with an offset are instants: they become UTC wall-clock times."""
+    column, source = F.col(field.name), df.schema[field.name].dataType
+    if isinstance(source, StringType) and isinstance(field.dataType, TimestampNTZType):
+        column = F.to_utc_timestamp(column.cast("timestamp"), "UTC")
+    return column.cast(field.dataType).alias(field.name)

@@ -1,12 +1,14 @@
 """Order increments as a file stream.
 
 Landed response pages are picked up as they arrive. Spark's checkpoint remembers which files are
-done; each micro-batch becomes the order store's run of the same number, so a batch replayed
-after a failure replaces its own run.
+done; each micro-batch is a run of the order store, found again by the stream's id and the batch's
+number, so a batch replayed after a failure is taken over once.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -18,13 +20,21 @@ from merchlake.operators.validators import validate_orders
 from merchlake.sources import files
 
 
-def take_over_batch(batch: DataFrame, number: int, store: OrderStore, rejected_folder: str) -> None:
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave this checkpoint; a new checkpoint is a new stream."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first().value)["id"]
+
+
+def take_over_batch(
+    batch: DataFrame, number: int, store: OrderStore, rejected_folder: str, stream: str
+) -> None:
     # Read once for the valid and the rejected side; spills to disk when it does not fit.
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         parts = validate_orders(batch)
-        quarantine(parts.rejected, "orders", f"batch-{number}", rejected_folder, replace=True)
-        store.append(transform_orders(parts.valid), run=number)
+        quarantine(parts.rejected, "orders", f"{stream}-{number}", rejected_folder, replace=True)
+        store.append(transform_orders(parts.valid), stream, number)
+        store.compact_if_due(batch.sparkSession)
     finally:
         batch.unpersist()
 
@@ -41,7 +51,9 @@ def stream_orders(
     pages = files.stream_order_pages(spark, pages_folder, files_per_batch)
     return (
         pages.writeStream.foreachBatch(
-            lambda batch, number: take_over_batch(batch, number, store, rejected_folder)
+            lambda batch, number: take_over_batch(
+                batch, number, store, rejected_folder, stream_id(spark, checkpoint)
+            )
         )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as contract
+from checks import oracle
 from checks.compare import connect, difference
+from merchlake import catalog
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, oracle.all_sql()
 
 
 @pytest.fixture(scope="module")

@@ -3,12 +3,13 @@ from datetime import UTC, datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, TimestampNTZType
 
 from merchlake import schemas
 from merchlake.operators import keyset, quality, quarantine, runlog, surrogate, tables, watermarks
 from merchlake.operators.increments import OrderStore
 from merchlake.operators.keyset import Watermark
-from merchlake.operators.upsert import DuplicateKeyError, require_unique, upsert
+from merchlake.operators.upsert import DuplicateKeyError, MissingKeyError, require_unique, upsert
 from merchlake.streaming import orders as order_stream
 from merchlake.streaming import pageviews as pageview_stream
 
@@ -219,11 +220,63 @@ def test_replayed_micro_batch_replaces_itself(spark, folder):
     store, rejected = OrderStore(f"{folder}/o"), f"{folder}/r"
     batch = raw(spark, (1, T1, 1.0), (2, T1, -2.0))
     for _ in range(2):
-        order_stream.take_over_batch(batch, 0, store, rejected)
+        order_stream.take_over_batch(batch, 0, store, rejected, "s")
     assert prices(store.read(spark)) == {1: 1.0}
     assert spark.read.option("header", True).csv(rejected).count() == 1
 
 
+def test_stream_batch_on_a_used_store_adds_to_it(spark, folder):
+    store, rejected = OrderStore(f"{folder}/o"), f"{folder}/r"
+    store.append(staged(spark, (1, T1, 1.0), (2, T1, 2.0)))
+    store.append(staged(spark, (3, T2, 3.0)))
+    order_stream.take_over_batch(raw(spark, (9, T3, 9.0)), 0, store, rejected, "s")
+    assert prices(store.read(spark)) == {1: 1.0, 2: 2.0, 3: 3.0, 9: 9.0}
+    assert store.watermark(spark) == Watermark(T3, 9)
+
+
+def test_new_stream_after_compaction_adds_to_it(spark, folder):
+    store, rejected = OrderStore(f"{folder}/o"), f"{folder}/r"
+    for number in range(3):
+        order_stream.take_over_batch(raw(spark, (number, T1, 1.0)), number, store, rejected, "old")
+    assert store.compact(spark) == 2
+    assert tables.finished_numbers(spark, f"{folder}/o/commits", "run") == []
+    order_stream.take_over_batch(raw(spark, (9, T2, 9.0)), 0, store, rejected, "new")
+    order_stream.take_over_batch(raw(spark, (2, T1, 1.0)), 2, store, rejected, "old")
+    order_stream.take_over_batch(raw(spark, (4, T1, 4.0)), 3, store, rejected, "old")
+    expected = {0: 1.0, 1: 1.0, 2: 1.0, 9: 9.0, 4: 4.0}
+    assert prices(store.read(spark)) == expected and store.next_run(spark) == 5
+    assert store.compact(spark) == 4
+    order_stream.take_over_batch(raw(spark, (2, T3, 5.0)), 2, store, rejected, "old")
+    assert prices(store.read(spark)) == expected
+    assert store.watermark(spark) == Watermark(T2, 9)
+
+
+def test_late_orders_do_not_move_the_checkpoint_back(spark, folder):
+    store = OrderStore(folder)
+    store.append(staged(spark, (5, T2, 1.0)))
+    assert store.append(staged(spark, (2, T1, 2.0))) == Watermark(T2, 5)
+    assert store.watermark(spark) == Watermark(T2, 5)
+    assert prices(store.read(spark)) == {5: 1.0, 2: 2.0}
+
+
+def test_replay_that_turned_empty_changes_nothing(spark, folder):
+    store = OrderStore(folder)
+    store.append(staged(spark, (5, T2, 1.0)), "s", 0)
+    assert store.append(staged(spark), "s", 0) == Watermark(T2, 5)
+    assert prices(store.read(spark)) == {5: 1.0}
+
+
+def test_orders_without_key_raise(spark, folder):
+    with pytest.raises(MissingKeyError):
+        OrderStore(folder).append(staged(spark, (5, T2, 1.0)).withColumn("order_id", F.lit(None).cast("long")))
+
+
+def test_order_times_with_offset_are_instants(spark):
+    text = spark.createDataFrame([("2024-01-01T10:00:00+02:00",), ("2024-01-01T10:00:00",)], "created_at string")
+    schema = StructType([StructField("created_at", TimestampNTZType())])
+    assert [r.created_at.hour for r in schemas.conform(text, schema).collect()] == [8, 10]
+
+
 def test_order_stream(spark, tmp_path):
     pages = tmp_path / "pages"
     pages.mkdir()
