@@ -727,6 +727,16 @@ def _catalog_sql() -> dict[str, str]:
         SELECT {_ORDERS} FROM second UNION ALL
         SELECT {_ORDERS} FROM first WHERE order_id IS NULL
             OR order_id NOT IN (SELECT order_id FROM second WHERE order_id IS NOT NULL)"""
+    sql["order_store_runs"] = sql["orders_upsert"]
+    sql["order_stream_state"] = sql["source_order_pages"] = f"SELECT {_ORDERS} FROM v_raw_orders_web"
+    for entity, query in {
+        "website_sessions": "source_sessions_csv",
+        "website_pageviews": "source_pageviews_csv",
+        "products": "source_products_json",
+    }.items():
+        sql[query] = f"SELECT {wide(entity)} FROM v_raw_{entity}_web"
+    sql["pageview_stream_state"] = f"SELECT {wide('website_pageviews')} FROM v_st_website_pageviews_web"
+    sql["sink_replace_append"] = f"{sql['source_products_json']} UNION ALL {sql['source_products_json']}"
     sql["late_orders"] = f"""WITH staged AS ({judged_orders('true')}),
         p AS ({position.format('staged')})
         SELECT {_ORDERS} FROM v_raw_orders_dirty o

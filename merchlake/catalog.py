@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from datetime import datetime
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,16 +26,20 @@ from merchlake.operators import (
     runlog,
     split,
     surrogate,
+    tables,
     transforms,
     upsert,
     validators,
     watermarks,
 )
+from merchlake.operators.increments import OrderStore
 from merchlake.operators.keyset import Watermark
 from merchlake.plans import analyses, dimensions, facts, reconciliation, staging
 from merchlake.plans.shop import open_shop
-from merchlake.session import configure
+from merchlake.session import configure, work_folder
 from merchlake.sources import files, supplied
+from merchlake.streaming import orders as order_stream
+from merchlake.streaming import pageviews as pageview_stream
 
 Tables = Mapping[str, DataFrame]
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,6 +125,114 @@ def _(spark, sf_dir):
     return keyset.checkpoint(supplied.web(spark, sf_dir)["orders"])
 
 
+# --- files, tables and streams: written out of the supplied data, read back ------------------
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{work_folder(spark)}/round-trip-{uuid4().hex}/{name}"
+
+
+def _as_export(spark: SparkSession, rows: DataFrame, name: str) -> str:
+    """CSV export with its columns in another order, one column more, and quoted texts."""
+    path = _folder(spark, name)
+    texts = [F.col(c).cast("string").alias(c) for c in reversed(rows.columns)]
+    shuffled = rows.select(F.lit("line\nbreak").alias("note"), *texts)
+    spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    shuffled.write.options(header=True, quoteAll=True, escape='"', **spaces).csv(path)
+    return path
+
+
+@register("source_sessions_csv")
+def _(spark, sf_dir):
+    rows = supplied.web(spark, sf_dir)["website_sessions"]
+    return files.read_sessions(spark, _as_export(spark, rows, "sessions"))
+
+
+@register("source_pageviews_csv")
+def _(spark, sf_dir):
+    rows = supplied.web(spark, sf_dir)["website_pageviews"]
+    return files.read_pageviews(spark, _as_export(spark, rows, "pageviews"), multi_line=True)
+
+
+def _land_documents(spark: SparkSession, rows: DataFrame, key: str, name: str, document) -> str:
+    """JSON files of at most about a thousand rows each."""
+    path = _folder(spark, name)
+    paged = rows.withColumn("page", F.floor(F.col(key) / 1000).cast("long"))
+    text = document(F.collect_list(F.struct(*rows.columns))).alias("value")
+    paged.groupBy("page").agg(text).repartition("page").write.partitionBy("page").text(path)
+    return path
+
+
+@register("source_products_json")
+def _(spark, sf_dir):
+    rows = supplied.web(spark, sf_dir)["products"]
+    path = _land_documents(spark, rows, "product_id", "products", F.to_json)
+    return files.read_products(spark, path).drop("page")
+
+
+def _land_order_pages(spark: SparkSession, orders: DataFrame) -> str:
+    def page(rows):
+        total = F.size(rows).cast("long")
+        fields = [total.alias("total"), total.alias("limit"), F.lit(0).cast("long").alias("offset")]
+        return F.to_json(F.struct(*fields, rows.alias("orders")))
+
+    texts = orders.withColumn("created_at", dates.iso_text(F.col("created_at")))
+    return _land_documents(spark, texts, "order_id", "order-pages", page)
+
+
+@register("source_order_pages")
+def _(spark, sf_dir):
+    orders = supplied.web(spark, sf_dir)["orders"]
+    return files.read_order_pages(spark, _land_order_pages(spark, orders))
+
+
+@register("order_store_runs", "gross_profit")
+def _(spark, sf_dir):
+    """Two runs, a compaction between a micro-batch and its replay, and the merged state."""
+    orders = web_staged(spark, sf_dir)["orders"]
+    store = OrderStore(_folder(spark, "store"))
+    until, since = (F.lit(x).cast("timestamp_ntz") for x in (UPSERT_TARGET_UNTIL, UPSERT_SOURCE_FROM))
+    first = orders.filter(F.col("created_at") < until)
+    store.append(first, "batches", 0)
+    store.append(orders.filter(F.col("created_at") >= since).withColumn("price_usd", F.col("price_usd") + 1.0))
+    store.compact(spark)
+    store.append(first, "batches", 0)
+    return store.read(spark)
+
+
+@register("order_stream_state", "gross_profit")
+def _(spark, sf_dir):
+    """Landed pages taken over by the stream in micro-batches."""
+    folder = _folder(spark, "stream")
+    pages = _land_order_pages(spark, supplied.web(spark, sf_dir)["orders"])
+    store = OrderStore(f"{folder}/store")
+    order_stream.stream_orders(spark, pages, store, f"{folder}/rejected", f"{folder}/checkpoint").awaitTermination()
+    return store.read(spark)
+
+
+@register("pageview_stream_state")
+def _(spark, sf_dir):
+    folder = _folder(spark, "pageviews")
+    rows = supplied.web(spark, sf_dir)["website_pageviews"]
+    texts = rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns])
+    texts.repartition(4).write.option("header", True).csv(f"{folder}/exports")
+    pageview_stream.stream_pageviews(
+        spark, f"{folder}/exports", f"{folder}/staged", f"{folder}/rejected", f"{folder}/checkpoint", 2
+    ).awaitTermination()
+    return pageview_stream.staged_pageviews(spark, f"{folder}/staged")
+
+
+@register("sink_replace_append")
+def _(spark, sf_dir):
+    """Replaced twice, then extended once: every row twice."""
+    products = supplied.web(spark, sf_dir)["products"]
+    path = _folder(spark, "products")
+    tables.ensure(spark, path, products.schema)
+    for mode in ("replace", "replace", "append"):
+        tables.load(products, path, mode)
+    return spark.read.schema(products.schema).parquet(path)
+
+
 # --- transforms and rules ------------------------------------------------------------------
 
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.readwriter import DataStreamReader
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegralType, StringType, StructField, StructType
 
 from merchlake import schemas
 
@@ -19,47 +19,59 @@ MISSING_TEXTS = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
-# The header must name the expected columns in order, and broken lines raise at the first
-# action; a missing path already fails when the reader is built.
-_CSV_OPTIONS = {"header": "true", "enforceSchema": "false", "mode": "FAILFAST"}
+# Columns are found by the names in the header, which all files of an export share, and broken
+# lines raise at the first action; a missing path already fails when the reader is built.
+_CSV_OPTIONS = {"header": "true", "enforceSchema": "false", "mode": "FAILFAST", "escape": '"'}
+# Whole numbers as exported from columns that hold missing values.
+_WHOLE = r"^\s*([+-]?[0-9]+)\.0+\s*$"
 
 
-def _as_text(schema: StructType) -> StructType:
-    return StructType([StructField(f.name, StringType()) for f in schema.fields])
+def _typed(text_rows: DataFrame, schema: StructType) -> DataFrame:
+    """Missing texts become NULL, the rest is cast; missing columns and unreadable values raise."""
+    missing = sorted(set(schema.fieldNames()) - set(text_rows.columns))
+    if missing:
+        raise ValueError(f"Missing columns: {', '.join(missing)}")
 
+    def typed(field: StructField) -> Column:
+        text = F.col(field.name)
+        known = F.when(~text.isin(MISSING_TEXTS), text)
+        if isinstance(field.dataType, IntegralType):
+            known = F.regexp_replace(known, _WHOLE, "$1")
+        return known.cast(field.dataType).alias(field.name)
 
-def _typed(text_rows: DataFrame, schema: StructType) -> DataFrame:
-    """Missing texts become NULL, the rest is cast; unreadable values raise."""
-    columns = {f.name: F.col(f.name) for f in schema.fields}
-    return text_rows.select(
-        *[
-            F.when(~columns[f.name].isin(MISSING_TEXTS), columns[f.name])
-            .cast(f.dataType)
-            .alias(f.name)
-            for f in schema.fields
-        ]
-    )
+    return text_rows.select(*[typed(f) for f in schema.fields])
 
 
-def _csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    text_rows = spark.read.schema(_as_text(schema)).options(**_CSV_OPTIONS).csv(path)
-    return _typed(text_rows, schema)
+def _csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = True) -> DataFrame:
+    """Texts may hold line breaks inside quotes, so a file is read by one task; an export without
+    such texts can be read split by split with ``multi_line=False``."""
+    return _typed(spark.read.options(**_CSV_OPTIONS, multiLine=multi_line).csv(path), schema)
 
 
-def read_sessions(spark: SparkSession, path: str) -> DataFrame:
-    return _csv(spark, path, schemas.SESSIONS)
+def read_sessions(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    return _csv(spark, path, schemas.SESSIONS, multi_line)
 
 
-def read_pageviews(spark: SparkSession, path: str) -> DataFrame:
+def read_pageviews(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Whole pageview export; Spark reads it split by split, so memory stays bounded."""
-    return _csv(spark, path, schemas.PAGEVIEWS)
+    return _csv(spark, path, schemas.PAGEVIEWS, multi_line)
 
 
-def stream_pageviews(spark: SparkSession, folder: str, files_per_batch: int = 1) -> DataFrame:
-    """Pageview exports as a stream, ``files_per_batch`` files at a time."""
+def stream_pageviews(
+    spark: SparkSession, folder: str, files_per_batch: int = 1, bytes_per_batch: int | None = None
+) -> DataFrame:
+    """Pageview exports as a stream, ``files_per_batch`` files or about ``bytes_per_batch`` at a time.
+
+    The header of the exports that have landed names the columns.
+    """
     if files_per_batch <= 0:
         raise ValueError("files_per_batch must be greater than zero")
-    reader = _stream(spark, _as_text(schemas.PAGEVIEWS), files_per_batch)
+    landed = spark.read.options(**_CSV_OPTIONS).csv(folder).columns or schemas.PAGEVIEWS.fieldNames()
+    reader = spark.readStream.schema(StructType([StructField(c, StringType()) for c in landed]))
+    if bytes_per_batch is None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    else:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     return _typed(reader.options(**_CSV_OPTIONS).csv(folder), schemas.PAGEVIEWS)
 
 
