@@ -182,6 +182,8 @@ def fit(values: dict[str, np.ndarray], labels: np.ndarray) -> RuleModel:
     if len(np.unique(labels)) < 2:
         return RuleModel(base, [])
     rules = _Boosting(values, labels).run()
+    if not rules:
+        return RuleModel(base, [])
     held = np.column_stack([np.logical_and.reduce([c.holds(values) for c in rule]) for rule in rules]).astype(np.float64)
     support = held.mean(axis=0)
     scale = np.sqrt(np.maximum(support * (1 - support), 1e-4))
@@ -224,8 +226,8 @@ def classify(
 
     Edge cases: a null text counts as empty; empty texts have a score like all others. Rows without
     id are scored, not held out, and not learned from. Rows that repeat an id are scored one by one.
-    Null labels are left out. Without labels the score is 0.5 throughout, and with labels of one kind
-    it is their smoothed share. Other columns are ignored, whatever their names. An empty table gives
+    Null labels are left out. Without labels the score is 0.5 throughout; with labels of one kind, or
+    too few for a rule, it is their smoothed share. Other columns are ignored, whatever their names. An empty table gives
     an empty result.
     """
     scratch = Scratch(docs.sparkSession, "quality")
