@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -18,7 +19,6 @@ from merchlake.operators import runlog, validators
 from merchlake.operators.increments import OrderStore
 from merchlake.operators.keyset import Watermark
 from merchlake.operators.quarantine import quarantine
-from merchlake.operators.runlog import RunCounters
 from merchlake.operators.split import Split
 from merchlake.operators.tables import VersionedTable
 from merchlake.operators.transforms import TRANSFORMS, transform_orders
@@ -59,7 +59,8 @@ class FullRun:
     def __init__(self, spark: SparkSession, root: str, mode: str = UPSERT) -> None:
         self.spark, self.root, self.mode = spark, root, mode
         self.run_id = str(uuid4())
-        self.counters = RunCounters()
+        # Rows extracted, loaded and rejected over all sources.
+        self.rows: Counter[str] = Counter()
         self.orders = OrderStore(f"{root}/staging/orders")
         self._step_number = 0
 
@@ -70,10 +71,9 @@ class FullRun:
         row.coalesce(1).write.mode("append").parquet(f"{self.root}/control/{table}")
 
     def _log_run(self, status: str, error: str | None = None) -> None:
-        c = self.counters
         self._log(
             "pipeline_runs", schemas.RUN_LOG, self.run_id, runlog.PIPELINE_NAME, _now(), status,
-            c.rows_extracted, c.rows_loaded, c.rows_rejected, error,
+            self.rows["extracted"], self.rows["loaded"], self.rows["rejected"], error,
         )
 
     def _log_step(self, name: str, status: str, seconds=None, rows: int = 0, error=None) -> None:
@@ -83,10 +83,10 @@ class FullRun:
         )
 
     @contextmanager
-    def _step(self, name: str) -> Iterator[RunCounters]:
+    def _step(self, name: str) -> Iterator[Counter[str]]:
         self._step_number += 1
         self._log_step(name, runlog.STARTED)
-        done, started = RunCounters(), perf_counter()
+        done, started = Counter(), perf_counter()
 
         def seconds() -> Decimal:
             return Decimal(perf_counter() - started).quantize(Decimal("0.001"))
@@ -94,9 +94,9 @@ class FullRun:
         try:
             yield done
         except Exception as error:
-            self._log_step(name, runlog.FAILED, seconds(), done.rows_loaded, str(error))
+            self._log_step(name, runlog.FAILED, seconds(), done["loaded"], str(error))
             raise
-        self._log_step(name, runlog.SUCCESS, seconds(), done.rows_loaded)
+        self._log_step(name, runlog.SUCCESS, seconds(), done["loaded"])
 
     # staging
 
@@ -138,9 +138,9 @@ class FullRun:
             self.orders.compact_if_due(self.spark)
         return self.orders.read(self.spark)
 
-    def _record(self, step: RunCounters, loaded: int, rejected: int) -> None:
-        for counters in (step, self.counters):
-            counters.record(loaded + rejected, loaded, rejected)
+    def _record(self, step: Counter[str], loaded: int, rejected: int) -> None:
+        step.update(extracted=loaded + rejected, loaded=loaded, rejected=rejected)
+        self.rows.update(step)
 
     def _stage(self, sources: RunSources) -> dict[str, DataFrame]:
         raw = {name: getattr(sources, name) for name in STEP_NAMES if name != "orders"}
@@ -163,7 +163,7 @@ class FullRun:
             staged = self._stage(sources)
             with self._step(WAREHOUSE_STEP) as done:
                 result = build_warehouse(self.spark, staged, self.root, self.mode)
-                done.rows_loaded = sum(result.volumes.values())
+                done["loaded"] = sum(result.volumes.values())
         except Exception as error:
             self._finish(runlog.FAILED, str(error))
             raise

@@ -6,6 +6,8 @@ adjusted in place; memory, cores and the checkpoint folder stay the cluster's bu
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -48,9 +50,19 @@ def work_folder(spark: SparkSession) -> str:
             raise RuntimeError("Set spark.checkpoint.dir to a folder all executors can reach")
         base = shared or tempfile.mkdtemp(prefix="merchlake-")
         _WORK[session_id] = f"{base.rstrip('/')}/merchlake-{session_id}"
+        atexit.register(_clear, spark, _WORK[session_id], None if shared else base)
     return _WORK[session_id]
 
 
+def _clear(spark: SparkSession, folder: str, own: str | None) -> None:
+    """Removes the work folder when the program ends. A session stopped before leaves a shared one."""
+    if own is not None:
+        shutil.rmtree(own, ignore_errors=True)
+    elif spark.sparkContext._jsc is not None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def local_session(cores: str = "8", app: str = "merchlake") -> SparkSession:
     """Single-machine session for tests and the bench."""
     builder = (

@@ -395,12 +395,6 @@ def test_run_steps_keep_the_launch_order(spark):
     ]
 
 
-def test_run_counters():
-    counters = runlog.RunCounters()
-    counters.record(10, 8, 2)
-    counters.record(5, 5, 0)
-    assert counters == runlog.RunCounters(15, 13, 2)
-
 
 def test_constraint_checks(spark):
     child = spark.createDataFrame([(1, 1), (2, 9), (2, None)], "id int, ref int")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from merchlake import schemas
 from merchlake.operators import keyset, runlog
 from merchlake.operators.tables import VersionedTable
+from merchlake.operators.upsert import DuplicateKeyError, MissingKeyError
 from merchlake.plans import analyses, dimensions, facts, fullrun, marts, reconciliation, warehouse
 from merchlake.plans.fullrun import FullRun, RunSources
 from merchlake.plans.staging import transform_all
@@ -294,7 +295,7 @@ def test_full_run_twice(spark, folder):
     tables["orders"] = tables["orders"].unionByName(bad)
     first = FullRun(spark, folder)
     run_id = first.run(sources(spark, tables))
-    assert first.counters == runlog.RunCounters(19, 18, 1)
+    assert first.rows == {"extracted": 19, "loaded": 18, "rejected": 1}
     steps = runlog.run_steps(fullrun.step_log(spark, folder), run_id).collect()
     assert [s.step_name for s in steps] == STEPS
     assert {s.status for s in steps} == {"SUCCESS"}
@@ -302,7 +303,7 @@ def test_full_run_twice(spark, folder):
     second = FullRun(spark, folder)
     second.run(sources(spark, tables))
     # The orders are behind the checkpoint now, the rejected one included.
-    assert second.counters == runlog.RunCounters(16, 16, 0)
+    assert second.rows == {"extracted": 16, "loaded": 16, "rejected": 0}
     assert second.orders.read(spark).count() == 2
     loaded = warehouse.load_marts(spark, folder)
     headline = analyses.headline_metrics(analyses.build_analyses(loaded))
@@ -342,3 +343,21 @@ def test_shared_and_separate_visits_agree(spark):
     steps = facts.page_steps_by_session(pageviews)
     assert sorted(map(str, both.select(*path.columns).collect())) == sorted(map(str, path.collect()))
     assert sorted(map(str, both.select(*steps.columns).collect())) == sorted(map(str, steps.collect()))
+
+
+def test_broken_keys_are_refused_and_taken_back(spark, folder):
+    builder = warehouse.WarehouseBuilder(spark, folder)
+    for ids, error in (([1, None], MissingKeyError), ([1, 1], DuplicateKeyError)):
+        rows = spark.createDataFrame([(i, 5.0) for i in ids], "order_item_id long, price double")
+        with pytest.raises(error):
+            builder._take_over("fact_sales", rows, ["order_item_id"])
+        assert not builder.table("fact_sales").exists(spark)
+
+
+def test_product_without_id_stops_the_build(spark, folder):
+    tables = shop(spark)
+    kind = tables["products"].schema["product_id"].dataType
+    unnamed = tables["products"].limit(1).withColumn("product_id", F.lit(None).cast(kind))
+    tables["products"] = tables["products"].unionByName(unnamed)
+    with pytest.raises(MissingKeyError):
+        FullRun(spark, folder).run(sources(spark, tables))
