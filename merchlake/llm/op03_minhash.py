@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,14 +45,14 @@ def _similar(percent: int, words: int):
 
     def similar(left: bytes, right: bytes) -> bool:
         if not state:
-            state["shingler"] = Shingler(words)
-        sets = []
-        for side, text in (("left", left), ("right", right)):
-            if state.get(side, (None,))[0] != text:
-                state[side] = (text, state["shingler"].of(text))
-            sets.append(state[side][1])
-        common = len(np.intersect1d(*sets, assume_unique=True))
-        return 100 * common >= percent * (len(sets[0]) + len(sets[1]) - common)
+            # A text of a large group takes part in many pairs.
+            state["sets"] = functools.lru_cache(512)(Shingler(words).of)
+        a, b = state["sets"](left), state["sets"](right)
+        least, most = sorted((len(a), len(b)))
+        if 100 * least < percent * most:
+            return False
+        common = len(np.intersect1d(a, b, assume_unique=True))
+        return 100 * common >= percent * (len(a) + len(b) - common)
 
     return similar
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,8 +52,16 @@ def line_shingles(line: bytes, size: int) -> np.ndarray:
 
 
 def _similar(percent: int, size: int):
+    state: dict = {}
+
     def similar(left: bytes, right: bytes) -> bool:
-        a, b = line_shingles(left, size), line_shingles(right, size)
+        if not state:
+            # A line of a large group takes part in many pairs.
+            state["sets"] = functools.lru_cache(4096)(lambda line: line_shingles(line, size))
+        a, b = state["sets"](left), state["sets"](right)
+        least, most = sorted((len(a), len(b)))
+        if 100 * least < percent * most:
+            return False
         common = len(np.intersect1d(a, b, assume_unique=True))
         return 100 * common >= percent * (len(a) + len(b) - common)
 
