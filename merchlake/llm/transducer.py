@@ -244,7 +244,7 @@ class Transducer:
 
     def _weight(self, before: np.ndarray, arc: np.ndarray, cost: np.ndarray) -> np.ndarray:
         if not self.merges_only:
-            return np.where(arc >= 0, self.weights[arc], self.weights.max() + 10.0)
+            return np.where(arc >= 0, self.weights[np.maximum(arc, 0)], self.weights.max() + 10.0)
         weight = np.zeros(len(arc))
         ask = np.flatnonzero((before >= 0) & (arc >= 0) & np.isfinite(cost))
         weight[ask[~self._stable(before[ask], arc[ask])]] = np.inf

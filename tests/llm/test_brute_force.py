@@ -229,15 +229,16 @@ def test_language_model(spark):
         found = op05_language.score_texts(table).collect()
     finally:
         op05_language.FREQUENT = frequent
-    better = held = 0
+    gain = held = 0
     for r in found:
         x = texts[r.doc_id]
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 7 == 2)
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(x), sum(counts[w] > 0 for w in x), n)
         assert r.base_score == pytest.approx(sum(log10((counts[w] + 1) / (n + v + 1)) for w in x))
         held += r.held_out
-        better += r.held_out and r.score > r.base_score
-    assert better > 0.8 * held
+        gain += r.held_out * (r.score - r.base_score)
+    # Log10 probability gained per held-out document, from 170 training documents.
+    assert gain > 50 * held > 0
 
 
 def test_recurrent_model_is_a_distribution_and_learns():
