@@ -10,8 +10,9 @@ How large buckets are kept cheap without losing a link between different sets:
    is checked exactly and the links are contracted to components; then the other pairs that join two
    components are checked.
 2. Buckets that still hold several components are compared block by block: each node meets every
-   node of other components in its bucket, as sketches in numpy arrays of bounded size. Only pairs
-   that the sketches leave possible come out, and they are checked exactly, best ones first.
+   node of other components in its bucket, as sketches in numpy arrays of bounded size. Pairs that
+   the sketches leave possible are checked exactly, best ones first: where bodies are short, inside
+   the block, which then gives links only; else by joining the pairs with their bodies.
 
 Pairs inside one component need no check, since they can not change it.
 """
@@ -42,6 +43,7 @@ def link(
     similar: Callable[[bytes, bytes], bool],
     threshold: float,
     floor: float,
+    short_bodies: bool = False,
 ) -> DataFrame:
     """(id, root) of the nodes that are similar to another one, directly or through others.
 
@@ -61,7 +63,13 @@ def link(
     links = links.union(_checked(scratch, more, bodies, similar))
     roots = scratch.keep(components(scratch, links), "roots")
 
-    rest = scratch.keep(_blocks(members, roots, sigs, floor), "rest")
+    dealt = scratch.keep(_dealt(members, roots), "dealt")
+    if short_bodies:
+        texts = scratch.keep(bodies(dealt.select("id").distinct()), "bodies")
+        found = _blocks(dealt.join(texts, "id"), sigs, floor, similar)
+        links = links.union(scratch.keep(found.select("a", "b"), "links"))
+        return scratch.keep(components(scratch, links), "roots")
+    rest = scratch.keep(_blocks(dealt, sigs, floor, None), "rest")
     links = links.union(_checked(scratch, _best(rest), bodies, similar))
     roots = scratch.keep(components(scratch, links), "roots")
     links = links.union(_checked(scratch, _across(rest, roots), bodies, similar))
@@ -127,8 +135,8 @@ def _checked(
     return scratch.keep(joined.mapInArrow(run, "a long, b long"), "links")
 
 
-def _blocks(members: DataFrame, roots: DataFrame, sigs: DataFrame, floor: float) -> DataFrame:
-    """Possible pairs (a, b, est) of different components inside one bucket, compared in blocks.
+def _dealt(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Nodes of buckets with several components, once per pair of chunks (i, j) they take part in.
 
     A bucket of n nodes is dealt over ceil(n / BLOCK) chunks by the id's hash, and every pair of
     chunks is one group of rows; so no task ever holds a whole large bucket.
@@ -137,20 +145,26 @@ def _blocks(members: DataFrame, roots: DataFrame, sigs: DataFrame, floor: float)
     mixed = known.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
     chunks = F.ceil(F.col("n") / BLOCK)
     own = F.pmod(F.xxhash64("id"), chunks)
-    dealt = (
+    return (
         known.join(mixed.select("band"), "band")
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
-        .select(
-            "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "root"
-        )
-        .join(sigs, "id")
+        .select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "root")
     )
 
+
+def _blocks(dealt: DataFrame, sigs: DataFrame, floor: float, similar: Callable[[bytes, bytes], bool] | None) -> DataFrame:
+    """Possible pairs (a, b, est) of different components, compared in blocks.
+
+    With ``similar`` the rows have a body, and only links come out that join two components of the
+    block; a pair whose components have met by then needs no check.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_groups(batches, ["band", "i", "j"]):
-            ids, root, own = (group.column(k).to_numpy() for k in ("id", "root", "own"))
+            ids, root, own = (group.column(k).to_numpy().copy() for k in ("id", "root", "own"))
             rows = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint8).reshape(len(ids), -1)
+            body = group.column("body").to_pylist() if similar else None
             first, second = group.column("i")[0].as_py(), group.column("j")[0].as_py()
             left = np.flatnonzero(own == first)
             right = left if first == second else np.flatnonzero(own == second)
@@ -159,9 +173,13 @@ def _blocks(members: DataFrame, roots: DataFrame, sigs: DataFrame, floor: float)
                 others = right[root[right] != root[k]]
                 if first == second:
                     others = others[others > k]
-                est = estimate((rows[others] == rows[k]).mean(axis=1)) if len(others) else np.zeros(0)
-                near = est >= floor
-                if near.any():
+                if not len(others):
+                    continue
+                est = estimate((rows[others] == rows[k]).mean(axis=1))
+                near = np.flatnonzero(est >= floor)
+                if similar:
+                    near = np.array(_linked(k, others, near[np.argsort(-est[near])], root, body, similar), np.int64)
+                if len(near):
                     o = ids[others[near]]
                     found.append((np.minimum(o, ids[k]), np.maximum(o, ids[k]), est[near]))
             if found:
@@ -169,7 +187,18 @@ def _blocks(members: DataFrame, roots: DataFrame, sigs: DataFrame, floor: float)
                     [pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], ["a", "b", "est"]
                 )
 
-    placed = dealt.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").select(
-        "band", "i", "j", "own", "id", "root", "sig"
-    )
-    return placed.mapInArrow(run, "a long, b long, est double").groupBy("a", "b").agg(F.max("est").alias("est"))
+    columns = ["band", "i", "j", "own", "id", "root", "sig", *(["body"] if similar else [])]
+    placed = dealt.join(sigs, "id").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+    pairs = placed.select(*columns).mapInArrow(run, "a long, b long, est double")
+    return pairs.groupBy("a", "b").agg(F.max("est").alias("est"))
+
+
+def _linked(k: int, others: np.ndarray, near: np.ndarray, root: np.ndarray, body: list[bytes], similar) -> list[int]:
+    """Of the others that may be near, those that link k with one more component; root is updated."""
+    found = []
+    for m in near:
+        o = others[m]
+        if root[o] != root[k] and similar(body[k], body[o]):
+            root[root == root[o]] = root[k]
+            found.append(m)
+    return found

@@ -123,7 +123,7 @@ def deduplicate_lines(
     bins = ROWS * BANDS
     roots = link(
         spark, scratch, classes.select("id", "sig"), banded, bodies, _similar(percent, chars), percent / 100,
-        sketch.cut(percent / 100, bins),
+        sketch.cut(percent / 100, bins), short_bodies=True,
     )
     grouped = classes.join(roots, "id", "left").filter("n > 1 OR root IS NOT NULL")
     grouped = scratch.keep(
