@@ -8,8 +8,9 @@ reference document, and each document meets only the shards it can match.
    windows pick equal runs. Anchors in two documents or more are counted; the smallest id that has
    one owns it. Windows whose anchor is in one document only are unique.
 2. First round. The owner's text around its anchors is the reference shard; the other documents'
-   text around the same anchors is streamed against its automaton. A shard that many documents meet
-   is copied to several tasks, in proportion to their number, and the documents are dealt over them.
+   text around the same anchors is streamed against its automaton. A shard that much text meets is
+   copied whole to several tasks, one number of copies per owner, and what is streamed against it is
+   dealt over them.
 3. Second round. A window that its anchor's owner does not have may still be in another smaller
    document. Such windows are grouped by their own hash, whose smallest id is the exact owner, and
    streamed against automata of these owners' text.
@@ -31,8 +32,9 @@ from merchlake.llm.common import Hashes, Scratch, bytes_of, mix, sorted_groups,
 
 WINDOW = 13
 ANCHOR = 5
-#: Documents per copy of a shard.
+#: Fragments per copy of a shard, at most; a shard of much text takes in SHARE times its own anchors.
 STREAMED = 2048
+SHARE = 8
 
 
 def anchors(hashes: np.ndarray, window: int, size: int) -> np.ndarray:
@@ -89,18 +91,19 @@ class _Fragments:
     def add(
         self, doc: int, words: list[bytes], hashes: np.ndarray, at: np.ndarray, owners: np.ndarray, copies: np.ndarray, window: int
     ) -> None:
-        """``at``: windows of the text in order; ``owners``, ``copies``: of each of these windows."""
+        """``at``: windows of the text in order; ``owners``: of each of these windows; ``copies``: of each owner's shard."""
         order = np.lexsort((at, owners))
         at, owners, copies = at[order], owners[order], copies[order]
         cut = np.flatnonzero((np.diff(owners) != 0) | (np.diff(at) > window)) + 1
         for piece in np.split(np.arange(len(at)), cut):
             first, last, owner = int(at[piece[0]]), int(at[piece[-1]]), int(owners[piece[0]])
             text = b" ".join(words[first : last + window])
-            several = int(copies[piece].max())
+            several = int(copies[piece[0]])
             if owner == doc:
                 self.rows += [(owner, part, False, doc, first, text, [], []) for part in range(several)]
             else:
-                part = int(mix(np.array([doc], np.int64).view(np.uint64))[0] % np.uint64(several))
+                place = windows(np.array([doc, first], np.int64).view(np.uint64), 2)
+                part = int(mix(place)[0] % np.uint64(several))
                 self.rows.append((owner, part, True, doc, first, text, at[piece] - first, hashes[at[piece]]))
 
     def batch(self) -> pa.RecordBatch:
@@ -219,6 +222,17 @@ def _matched(fragments: DataFrame, window: int) -> DataFrame:
     return placed.mapInArrow(run, MATCHED)
 
 
+def _with_copies(scratch: Scratch, owned: DataFrame) -> DataFrame:
+    """Adds the copies of the owner's shard to its anchors or windows (owner, n, ...).
+
+    What occurs n times is in n - 1 streamed fragments at most.
+    """
+    streamed, own = F.sum("n") - F.count("*"), F.count("*")
+    several = owned.groupBy("owner").agg(F.ceil(streamed / F.greatest(F.lit(STREAMED), SHARE * own)).cast("int").alias("copies"))
+    several = scratch.keep(several.filter("copies > 1"), "copies")
+    return owned.join(several, "owner", "left").withColumn("copies", F.coalesce("copies", F.lit(1))).drop("n")
+
+
 def remove_repeats(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW
 ) -> DataFrame:
@@ -237,16 +251,16 @@ def remove_repeats(
     scratch = Scratch(spark, "repeats")
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     known = rows.filter("doc_id IS NOT NULL AND text IS NOT NULL")
-    copies = F.ceil(F.col("n") / STREAMED).cast("int").alias("copies")
 
     occurrences = scratch.keep(_anchor_rows(known, window), "occurrences")
     shared = scratch.keep(
         occurrences.groupBy("anchor")
         .agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
         .filter("owner < last")
-        .select("anchor", "owner", copies),
+        .select("anchor", "owner", "n"),
         "anchors",
     )
+    shared = _with_copies(scratch, shared)
     per_doc = scratch.keep(
         occurrences.join(shared, "anchor")
         .groupBy("doc_id")
@@ -264,9 +278,10 @@ def remove_repeats(
         open_windows.groupBy("hash")
         .agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
         .filter("owner < last")
-        .select("hash", "owner", copies),
+        .select("hash", "owner", "n"),
         "windows",
     )
+    again = _with_copies(scratch, again)
     per_fragment = (
         open_windows.join(again, "hash")
         .groupBy("doc_id", "start", "fragment")
