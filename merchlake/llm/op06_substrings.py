@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merchlake.llm.automaton import SuffixAutomaton, spans
-from merchlake.llm.common import Hashes, Scratch, bytes_of, mix, sorted_groups, table, windows, within
+from merchlake.llm.common import Hashes, Scratch, bytes_of, mix, table, windows, within
 
 WINDOW = 13
 ANCHOR = 5
@@ -171,55 +171,58 @@ MATCHED = (
 )
 
 
+def _matched_batch(rows: list[tuple]) -> pa.RecordBatch:
+    span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    doc, start, found, text, places, hashes = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(doc, pa.int64()),
+            pa.array(start, pa.int32()),
+            pa.array([[{"start": a, "end": b} for a, b in x] for x in found], span),
+            pa.array(text, pa.binary()),
+            pa.array(places, pa.list_(pa.int32())),
+            pa.array(hashes, pa.list_(pa.int64())),
+        ],
+        ["doc_id", "start", "found", "words", "places", "hashes"],
+    )
+
+
+def _streamed(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """Matches fragments as they come; only the automaton of the shard at hand is held."""
+    shard, automaton, rows = None, SuffixAutomaton(), []
+    seen: dict[bytes, list[int]] = {}
+    slim = (batch.slice(k, 500) for batch in batches for k in range(0, batch.num_rows, 500))
+    for batch in slim:
+        # Rows come by owner and part, the owner's own first.
+        for owner, part, follows, doc, start, text, places, hashes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (owner, part) != shard:
+                shard, automaton, seen = (owner, part), SuffixAutomaton(), {}
+            if not follows:
+                automaton.add(text.split())
+                continue
+            longest = seen.get(text)
+            if longest is None:
+                longest = automaton.matches(text.split())
+                if len(seen) < 1000:
+                    seen[text] = longest
+            found = [(start + a, start + b) for a, b in spans(longest, window)]
+            left = [k for k, p in enumerate(places) if longest[p + window - 1] < window]
+            rows.append(
+                (doc, start, found, text if left else None, [places[k] for k in left], [hashes[k] for k in left])
+            )
+        if rows:
+            yield _matched_batch(rows)
+            rows = []
+
+
 def _matched(fragments: DataFrame, window: int) -> DataFrame:
     """Streams each fragment against the automaton of its owner's fragments.
 
     found: the removed spans, in words of the document; places, hashes: windows that the owner does
     not have, in words of the fragment.
     """
-    span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in sorted_groups(batches, ["owner", "part"]):
-            streamed = group.column("streamed").to_pylist()
-            texts = group.column("words").to_pylist()
-            automaton = SuffixAutomaton()
-            for text, follows in zip(texts, streamed, strict=True):
-                if not follows:
-                    automaton.add(text.split())
-            rows = []
-            seen: dict[bytes, list[int]] = {}
-            for text, follows, doc, start, places, hashes in zip(
-                texts, streamed, *(group.column(k).to_pylist() for k in ("doc_id", "start", "windows", "hashes")), strict=True
-            ):
-                if not follows:
-                    continue
-                longest = seen.get(text)
-                if longest is None:
-                    longest = automaton.matches(text.split())
-                    if len(seen) < 1000:
-                        seen[text] = longest
-                found = [(start + a, start + b) for a, b in spans(longest, window)]
-                left = [k for k, p in enumerate(places) if longest[p + window - 1] < window]
-                rows.append(
-                    (doc, start, found, text if left else None, [places[k] for k in left], [hashes[k] for k in left])
-                )
-            for first in range(0, len(rows), 2000):
-                doc, start, found, text, places, hashes = zip(*rows[first : first + 2000], strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(doc, pa.int64()),
-                        pa.array(start, pa.int32()),
-                        pa.array([[{"start": a, "end": b} for a, b in x] for x in found], span),
-                        pa.array(text, pa.binary()),
-                        pa.array(places, pa.list_(pa.int32())),
-                        pa.array(hashes, pa.list_(pa.int64())),
-                    ],
-                    ["doc_id", "start", "found", "words", "places", "hashes"],
-                )
-
     placed = fragments.repartition("owner", "part").sortWithinPartitions("owner", "part", "streamed")
-    return placed.mapInArrow(run, MATCHED)
+    return placed.mapInArrow(lambda batches: _streamed(batches, window), MATCHED)
 
 
 def _with_copies(scratch: Scratch, owned: DataFrame) -> DataFrame:

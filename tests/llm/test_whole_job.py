@@ -2,6 +2,8 @@
 
 import random
 
+import pyarrow as pa
+
 from merchlake.llm import op06_substrings
 from tests.llm import docs as made
 
@@ -32,3 +34,25 @@ def test_repeats_of_copied_shards(spark, monkeypatch):
     monkeypatch.setattr(op06_substrings, "STREAMED", 2)
     found = op06_substrings.remove_repeats(made.frame(spark, rows)).collect()
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in found} == without_repeats(rows)
+
+
+def test_repeats_come_out_as_they_are_matched():
+    """One owner's shard: results leave before the whole group has been read."""
+    text = b" ".join(b"w%d" % k for k in range(20))
+    rows = [(0, 0, False, 0, 0, text, [], [])] + [(0, 0, True, k, 0, text, [0], [1]) for k in range(1, 40)]
+    read = 0
+
+    def batches():
+        nonlocal read
+        for k in range(0, len(rows), 4):
+            read += 1
+            columns = zip(*rows[k : k + 4], strict=True)
+            types = op06_substrings._FRAGMENT_TYPES
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, types, strict=True)], schema=types)
+
+    found, most = [], 0
+    for batch in op06_substrings._streamed(batches(), 13):
+        most = max(most, 4 * read - len(found) - batch.num_rows)
+        found += batch.to_pylist()
+    assert most <= 4
+    assert [(r["doc_id"], r["found"]) for r in found] == [(k, [{"start": 0, "end": 20}]) for k in range(1, 40)]
