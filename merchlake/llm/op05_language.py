@@ -6,9 +6,9 @@
 2. Words outside the vocabulary form one class of the model's softmax. Inside it a word's probability
    is its discounted count's share (absolute discounting); the discounts are the probability of
    unseen words, which count as one word, as they do in the base score.
-3. The recurrent model starts from the counts. Every SHARE-th training document, picked by hash, is
-   trained on, so the sample grows with the corpus: each shard of documents trains on its own for one
-   pass, and the weights are averaged over shards, twice.
+3. The recurrent model starts from the counts. All training documents are trained on, each in one of
+   ROUNDS rounds by its hash: in a round each shard of documents trains on its own for one pass, and
+   the weights are averaged over shards.
 4. Every text is scored as a whole in its partition. Counts of words that are not frequent are joined
    from the distributed table.
 """
@@ -34,7 +34,6 @@ VOCABULARY = 2046
 HIDDEN = 24
 CLASSES = 48
 LARGEST_CLASS = 96
-SHARE = 16
 ROUNDS = 2
 RATE = 0.1
 #: Training documents per shard.
@@ -208,7 +207,7 @@ def _learned(scratch: Scratch, training: DataFrame) -> tuple[Learned, DataFrame]
     )
     model = gru.Model.initial(np.concatenate([[int(rare.n)], model_counts]), HIDDEN, CLASSES, LARGEST_CLASS)
     learned = Learned(frequent, rare, model, whole.n, whole.distinct)
-    pick = F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(SHARE * ROUNDS))
+    pick = F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(ROUNDS))
     for k in range(ROUNDS):
         learned.model = _trained(training.filter(pick == k), learned)
     return learned, counts

@@ -1,10 +1,11 @@
 """Cases in which an operator once did less than the whole job."""
 
 import random
+import zlib
 
 import pyarrow as pa
 
-from merchlake.llm import op06_substrings
+from merchlake.llm import op05_language, op06_substrings
 from tests.llm import docs as made
 
 
@@ -56,3 +57,16 @@ def test_repeats_come_out_as_they_are_matched():
         found += batch.to_pylist()
     assert most <= 4
     assert [(r["doc_id"], r["found"]) for r in found] == [(k, [{"start": 0, "end": 20}]) for k in range(1, 40)]
+
+
+def test_language_model_trains_on_all_training_documents(spark, monkeypatch):
+    rows = [(k, " ".join(made.words(random.Random(k), 5))) for k in range(300)]
+    trained, inner = [], op05_language._trained
+
+    def recorded(docs, learned):
+        trained.extend(r.doc_id for r in docs.select("doc_id").collect())
+        return inner(docs, learned)
+
+    monkeypatch.setattr(op05_language, "_trained", recorded)
+    op05_language.score_texts(made.frame(spark, rows)).collect()
+    assert sorted(trained) == [k for k in range(300) if zlib.crc32(str(k).encode()) % 7 != 2]
