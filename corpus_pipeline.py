@@ -27,8 +27,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that repeat others; n_chars follows the text.
 
-    A document that has lost all its visible lines repeats others as a whole and goes; one that was
-    empty before stays.
+    A document that has lost all its visible lines goes: each line is linked to one kept elsewhere, in
+    the same or different documents, directly or by chain (character shingles, Jaccard 0.8). This is
+    looser than near_copies, which might have kept it. One that was empty before stays.
     """
     deduplicated = op04_lines.deduplicate_lines(docs, carry=[c for c in docs.columns if c not in ("doc_id", "text")])
     visible = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+", "")) > 0
