@@ -13,6 +13,9 @@ from merchlake.llm import (
     op08_fertility,
     op09_covertree,
     op10_pieces,
+    op11_alignment,
+    op12_search,
+    op13_secrets,
 )
 
 _MODULES = (
@@ -26,6 +29,9 @@ _MODULES = (
     op08_fertility,
     op09_covertree,
     op10_pieces,
+    op11_alignment,
+    op12_search,
+    op13_secrets,
 )
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
