@@ -815,6 +815,7 @@ def _catalog_sql() -> dict[str, str]:
     )
     sql.update(_analyses())
     sql.update(_quality())
+    sql.update(_loads())
     return sql
 
 
@@ -969,6 +970,22 @@ def _quality() -> dict[str, str]:
     }
 
 
+def _loads() -> dict[str, str]:
+    """Chunked loads and repeated builds."""
+    return {
+        "pageview_chunks": """WITH placed AS (
+                SELECT website_pageview_id, website_session_id, pageview_url, 2 * website_pageview_id AS place
+                FROM v_raw_website_pageviews_web
+                UNION ALL SELECT website_pageview_id, website_session_id, '/again', 2 * website_pageview_id + 301
+                FROM v_raw_website_pageviews_web WHERE website_pageview_id % 3 = 0),
+            numbered AS (SELECT *, place // 4000 AS number,
+                row_number() OVER (PARTITION BY place // 4000 ORDER BY place) AS row FROM placed),
+            first AS (SELECT *, (row - 1) // 500 AS chunk, row_number() OVER (
+                PARTITION BY number, (row - 1) // 500, website_pageview_id ORDER BY row) AS k FROM numbered)
+            SELECT website_pageview_id, website_session_id, pageview_url, chunk, row FROM first WHERE k = 1""",
+    }
+
+
 def all_sql() -> dict[str, str]:
     return {name: _merged(sql) for name, sql in _catalog_sql().items()}
 

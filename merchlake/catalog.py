@@ -52,6 +52,7 @@ FIRST_RUN_UNTIL = "2024-01-16 00:00:00"
 UPSERT_TARGET_UNTIL, UPSERT_SOURCE_FROM = "2024-01-20 00:00:00", "2024-01-10 00:00:00"
 KNOWN_CUSTOMERS_UNTIL = "1996-01-01 00:00:00"
 REJECTED_AT = datetime(2024, 1, 1)
+EXPORT_ROWS, CHUNK_ROWS, REPEATED_AFTER = 4000, 500, 150
 RUN_ID = "run-1"
 
 QUERIES: dict[str, Query] = {}
@@ -222,6 +223,28 @@ def _(spark, sf_dir):
     return pageview_stream.staged_pageviews(spark, f"{folder}/staged")
 
 
+@register("pageview_chunks")
+def _(spark, sf_dir):
+    """Exports of several files, each staged in chunks of rows: an id may come once per chunk."""
+    folder = _folder(spark, "chunks")
+    clean = supplied.web(spark, sf_dir)["website_pageviews"]
+    place = 2 * F.col("website_pageview_id")
+    again = clean.filter(F.col("website_pageview_id") % 3 == 0).withColumns(
+        {"pageview_url": F.lit("/again"), "place": place + 2 * REPEATED_AFTER + 1}
+    )
+    rows = clean.withColumn("place", place).unionByName(again).withColumn("number", F.floor(F.col("place") / EXPORT_ROWS))
+    texts = [F.col(c).cast("string").alias(c) for c in clean.columns]
+    in_order = rows.repartition("number").sortWithinPartitions("number", "place")
+    in_order.select("number", F.lit("line\nbreak").alias("note"), *texts).write.partitionBy("number").options(
+        header=True, quoteAll=True, escape='"'
+    ).csv(f"{folder}/exports")
+    pageview_stream.load_chunks(
+        spark, f"{folder}/exports", f"{folder}/staged", f"{folder}/rejected", RUN_ID, CHUNK_ROWS
+    )
+    staged = spark.read.parquet(f"{folder}/staged")
+    return staged.select("website_pageview_id", "website_session_id", "pageview_url", "chunk", "row")
+
+
 @register("sink_replace_append")
 def _(spark, sf_dir):
     """Replaced twice, then extended once: every row twice."""

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from merchlake import schemas
 from merchlake.functions.labels import DEVICE_TYPES
 from merchlake.operators.rules import (
     is_in_set,
@@ -36,6 +38,21 @@ def validate_pageviews(pageviews: DataFrame) -> Split:
     )
 
 
+def validate_pageview_chunks(chunks: DataFrame) -> Split:
+    """Pageviews with ``file``, ``row`` and ``chunk``: an id may come once per chunk, its first row counts."""
+    keyed = chunks.select(
+        "row", "file", "chunk", *schemas.PAGEVIEWS.fieldNames(),
+        F.struct("file", "chunk", "website_pageview_id").alias("_key_in_chunk"),
+    )
+    return split(
+        keyed,
+        "_key_in_chunk",
+        not_null("website_session_id"),
+        not_empty_string("pageview_url"),
+        not_null("created_at"),
+    )
+
+
 def validate_products(products: DataFrame) -> Split:
     return split(products, "product_id", not_empty_string("product_name"), not_null("created_at"))
 

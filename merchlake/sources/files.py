@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.readwriter import DataStreamReader
-from pyspark.sql.types import IntegralType, StringType, StructField, StructType
+from pyspark.sql.types import IntegralType, LongType, StringType, StructField, StructType
 
 from merchlake import schemas
+from merchlake.sources import quoted_csv
 
 DEFAULT_PAGE_SIZE = 1000
 MAX_PAGE_SIZE = 5000
+DEFAULT_CHUNK_SIZE = 100_000
 
 
 # Texts the exports use for a missing value.
@@ -33,7 +35,7 @@ def _typed(text_rows: DataFrame, schema: StructType) -> DataFrame:
         raise ValueError(f"Missing columns: {', '.join(missing)}")
 
     def typed(field: StructField) -> Column:
-        text = F.col(field.name)
+        text = F.col(field.name).cast("string")
         known = F.when(~text.isin(MISSING_TEXTS), text)
         if isinstance(field.dataType, IntegralType):
             known = F.regexp_replace(known, _WHOLE, "$1")
@@ -43,9 +45,11 @@ def _typed(text_rows: DataFrame, schema: StructType) -> DataFrame:
 
 
 def _csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = True) -> DataFrame:
-    """Texts may hold line breaks inside quotes, so a file is read by one task; an export without
-    such texts can be read split by split with ``multi_line=False``."""
-    return _typed(spark.read.options(**_CSV_OPTIONS, multiLine=multi_line).csv(path), schema)
+    """Texts may hold line breaks inside quotes; both ways read a file split by split, but an export
+    without such texts needs one scan only (``multi_line=False``)."""
+    if multi_line:
+        return _typed(quoted_csv.read(spark, path, _CSV_OPTIONS), schema)
+    return _typed(spark.read.options(**_CSV_OPTIONS).csv(path), schema)
 
 
 def read_sessions(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -57,6 +61,17 @@ def read_pageviews(spark: SparkSession, path: str, multi_line: bool = False) ->
     return _csv(spark, path, schemas.PAGEVIEWS, multi_line)
 
 
+def read_pageview_chunks(spark: SparkSession, path: str, chunk_size: int = DEFAULT_CHUNK_SIZE) -> DataFrame:
+    """Pageviews with their ``file``, their ``row`` in it and their ``chunk``: rows 1 to ``chunk_size``
+    of a file are chunk 0, the next ones chunk 1. No task reads more than a file split."""
+    if chunk_size <= 0:
+        raise ValueError("chunk_size must be greater than zero")
+    place = StructType([StructField(c, LongType()) for c in ("file", "row")])
+    rows = quoted_csv.read(spark, path, _CSV_OPTIONS)
+    typed = _typed(rows, StructType(place.fields + schemas.PAGEVIEWS.fields))
+    return typed.withColumn("chunk", F.floor((F.col("row") - 1) / chunk_size))
+
+
 def stream_pageviews(
     spark: SparkSession, folder: str, files_per_batch: int = 1, bytes_per_batch: int | None = None
 ) -> DataFrame:

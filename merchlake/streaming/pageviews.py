@@ -1,6 +1,7 @@
 """Pageviews in bounded batches: the first batch replaces the staged table, later ones extend it.
 
-Uniqueness is checked within a batch. Loading the export as a whole
+A stream's batches are whole files; ``load_chunks`` cuts files into chunks of rows. Uniqueness is
+checked within a batch or chunk. Loading the export as a whole
 (``sources.files.read_pageviews``) checks it over all rows.
 """
 
@@ -14,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from merchlake import schemas
 from merchlake.operators.quarantine import quarantine
 from merchlake.operators.transforms import transform_pageviews
-from merchlake.operators.validators import validate_pageviews
+from merchlake.operators.validators import validate_pageview_chunks, validate_pageviews
 from merchlake.sources import files
 
 
@@ -59,5 +60,39 @@ def stream_pageviews(
     )
 
 
+def load_chunks(
+    spark: SparkSession,
+    export: str,
+    folder: str,
+    rejected_folder: str,
+    run_id: str,
+    chunk_size: int = files.DEFAULT_CHUNK_SIZE,
+) -> DataFrame:
+    """Stages an export chunk by chunk in one job and returns the rows extracted, loaded and rejected
+    per chunk. The chunks together replace the staged table, so a repeated call changes nothing.
+    """
+    raw = f"{folder}-raw"
+    files.read_pageview_chunks(spark, export, chunk_size).write.mode("overwrite").parquet(raw)
+    chunks = spark.read.parquet(raw)
+    parts = validate_pageview_chunks(chunks)
+    (
+        transform_pageviews(parts.valid.drop("_key_in_chunk"))
+        .hint("rebalance", "file", "chunk")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("file", "chunk")
+        .parquet(folder)
+    )
+    rejected = parts.rejected.drop("_key_in_chunk")
+    quarantine(rejected, "website_pageviews", run_id, rejected_folder, replace=True)
+    sides = chunks.select("file", "chunk", F.lit(0).alias("n")).unionByName(
+        spark.read.parquet(folder).select(F.col("file").cast("long"), F.col("chunk").cast("long"), F.lit(1).alias("n"))
+    )
+    extracted, loaded = F.count_if(F.col("n") == 0), F.count_if(F.col("n") == 1)
+    return sides.groupBy("file", "chunk").agg(
+        extracted.alias("rows_extracted"), loaded.alias("rows_loaded"), (extracted - loaded).alias("rows_rejected")
+    )
+
+
 def staged_pageviews(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(folder).select(*schemas.PAGEVIEWS.fieldNames())
