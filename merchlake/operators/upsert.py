@@ -43,12 +43,14 @@ def upsert(
     keys: list[str],
     surrogate_key: str | None = None,
     digits: int = surrogate.LARGE,
+    highest: Column | None = None,
 ) -> DataFrame:
     """State of ``target`` after taking over ``source``; both must be unique on ``keys``, without NULL.
 
     One full outer join on unique keys, which cannot skew. A surrogate key is kept for a known
     business key; new ones continue after the highest. For them the keys alone, not the rows, are
-    compared once more: that gives the offset of each bucket of new keys.
+    compared once more: that gives the offset of each bucket of new keys. Where ``target`` is a part
+    of a table, ``highest`` is the highest surrogate key of the whole.
     """
     columns = [c for c in target.columns if c != surrogate_key]
     ours, theirs = target.alias("t"), source.withColumn("_taken", F.lit(True)).alias("s")
@@ -62,5 +64,6 @@ def upsert(
     if not surrogate_key:
         return state
     unseen = source.select(*keys).join(target.select(*keys), keys, "left_anti")
-    highest = target.agg(F.max(surrogate_key)).scalar()
+    if highest is None:
+        highest = target.agg(F.max(surrogate_key)).scalar()
     return surrogate.fill(state, unseen, keys, surrogate_key, digits, highest).select(*target.columns)

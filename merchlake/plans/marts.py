@@ -29,7 +29,7 @@ def _distinct(column: str) -> Column:
     return F.count_distinct(column)
 
 
-def _money(column: str) -> Column:
+def money(column: str) -> Column:
     return F.sum(column).cast(_MONEY)
 
 
@@ -49,7 +49,7 @@ def _net(amount: str) -> Column:
     return (F.col(amount) - F.col("refund_amount_usd")).cast(_MONEY)
 
 
-def _traffic(sessions: DataFrame, grain: str) -> DataFrame:
+def traffic(sessions: DataFrame, grain: str) -> DataFrame:
     return sessions.groupBy(grain).agg(
         _count().alias("sessions"),
         _distinct("customer_key").alias("unique_visitors"),
@@ -60,12 +60,12 @@ def _traffic(sessions: DataFrame, grain: str) -> DataFrame:
     )
 
 
-def _turnover(sales: DataFrame, grain: str, *more: Column) -> DataFrame:
+def turnover(sales: DataFrame, grain: str, *more: Column) -> DataFrame:
     return sales.groupBy(grain).agg(
         _distinct("order_id").alias("orders"),
         _count().alias("items_purchased"),
-        _money("price_usd").alias("gross_revenue_usd"),
-        _money("gross_profit_usd").alias("gross_profit_usd"),
+        money("price_usd").alias("gross_revenue_usd"),
+        money("gross_profit_usd").alias("gross_profit_usd"),
         *more,
     )
 
@@ -105,36 +105,45 @@ def _activity_measures(values: DataFrame) -> DataFrame:
     )
 
 
-def daily_performance(warehouse: Tables) -> DataFrame:
-    """Per day: traffic, turnover by sale date, refunds by refund date."""
-    sales = warehouse["fact_sales"]
-    refunds = (
+def refunds_by_day(sales: DataFrame) -> DataFrame:
+    return (
         sales.filter(F.col("refund_date_key").isNotNull())
         .groupBy(F.col("refund_date_key").alias("date_key"))
-        .agg(_money("refund_amount_usd").alias("refund_amount_usd"))
-    )
-    values = _hang(
-        warehouse["dim_date"].select("date_key", "date"),
-        "date_key",
-        _traffic(warehouse["fact_sessions"], "date_key"),
-        _turnover(sales, "date_key"),
-        refunds,
+        .agg(money("refund_amount_usd").alias("refund_amount_usd"))
     )
+
+
+# A mart's last step takes its aggregates from the facts, or from states that are kept (mart_states).
+
+
+def daily_of(days: DataFrame, traffic: DataFrame, turnover: DataFrame, refunds: DataFrame) -> DataFrame:
+    values = _hang(days.select("date_key", "date"), "date_key", traffic, turnover, refunds)
     return _activity_measures(values).select("date_key", "date", *_TRAFFIC_AND_TURNOVER)
 
 
+def daily_performance(warehouse: Tables) -> DataFrame:
+    """Per day: traffic, turnover by sale date, refunds by refund date."""
+    sales, sessions = warehouse["fact_sales"], warehouse["fact_sessions"]
+    return daily_of(
+        warehouse["dim_date"], traffic(sessions, "date_key"), turnover(sales, "date_key"), refunds_by_day(sales)
+    )
+
+
 def marketing_performance(warehouse: Tables) -> DataFrame:
     """Per channel: a sale, and its refund, belongs to the channel of its session."""
     sessions = warehouse["fact_sessions"]
     channels = sessions.select("website_session_id", "marketing_key")
     sales = warehouse["fact_sales"].join(channels, "website_session_id")
-    members = ["marketing_key", *labels.MARKETING_ATTRIBUTES, "is_direct"]
-    values = _hang(
-        warehouse["dim_marketing"].select(*members),
-        "marketing_key",
-        _traffic(sessions, "marketing_key"),
-        _turnover(sales, "marketing_key", _money("refund_amount_usd").alias("refund_amount_usd")),
+    return marketing_of(
+        warehouse["dim_marketing"],
+        traffic(sessions, "marketing_key"),
+        turnover(sales, "marketing_key", money("refund_amount_usd").alias("refund_amount_usd")),
     )
+
+
+def marketing_of(channels: DataFrame, traffic: DataFrame, turnover: DataFrame) -> DataFrame:
+    members = ["marketing_key", *labels.MARKETING_ATTRIBUTES, "is_direct"]
+    values = _hang(channels.select(*members), "marketing_key", traffic, turnover)
     return (
         _activity_measures(values)
         .withColumn("revenue_per_session_usd", _per("gross_revenue_usd", "sessions"))
@@ -150,12 +159,16 @@ def product_performance(warehouse: Tables) -> DataFrame:
         _count(primary).alias("primary_items"),
         _count(~primary).alias("secondary_items"),
         _count(F.col("is_refunded")).alias("refunded_items"),
-        _money("price_usd").alias("gross_revenue_usd"),
-        _money("cogs_usd").alias("cogs_usd"),
-        _money("gross_profit_usd").alias("gross_profit_usd"),
-        _money("refund_amount_usd").alias("refund_amount_usd"),
+        money("price_usd").alias("gross_revenue_usd"),
+        money("cogs_usd").alias("cogs_usd"),
+        money("gross_profit_usd").alias("gross_profit_usd"),
+        money("refund_amount_usd").alias("refund_amount_usd"),
     )
-    products = warehouse["dim_product"].withColumnRenamed("created_at", "product_created_at")
+    return product_of(warehouse["dim_product"], sold)
+
+
+def product_of(products: DataFrame, sold: DataFrame) -> DataFrame:
+    products = products.withColumnRenamed("created_at", "product_created_at")
     return (
         _hang(products, "product_key", sold)
         .withColumns(
@@ -192,15 +205,19 @@ def customer_summary(warehouse: Tables) -> DataFrame:
             _distinct("order_id").alias("order_count"),
             _count().alias("items_purchased"),
             F.max("date").alias("last_order_date"),
-            _money("price_usd").alias("gross_revenue_usd"),
-            _money("refund_amount_usd").alias("refund_amount_usd"),
-            _money("net_revenue_usd").alias("lifetime_revenue_usd"),
-            _money("net_profit_usd").alias("lifetime_profit_usd"),
+            money("price_usd").alias("gross_revenue_usd"),
+            money("refund_amount_usd").alias("refund_amount_usd"),
+            money("net_revenue_usd").alias("lifetime_revenue_usd"),
+            money("net_profit_usd").alias("lifetime_profit_usd"),
         )
     )
+    return customer_of(warehouse["dim_customer"], visits, bought)
+
+
+def customer_of(customers: DataFrame, visits: DataFrame, bought: DataFrame) -> DataFrame:
     first_days = F.datediff(F.to_date("first_order_at"), F.to_date("first_session_at"))
     return (
-        _hang(warehouse["dim_customer"], "customer_key", visits, bought)
+        _hang(customers, "customer_key", visits, bought)
         .withColumns(
             {
                 "customer_status": labels.customer_status(F.col("order_count")),
@@ -219,20 +236,26 @@ def customer_summary(warehouse: Tables) -> DataFrame:
     )
 
 
-def funnel_performance(warehouse: Tables, page_steps: DataFrame) -> DataFrame:
-    """Per day: sessions that saw each funnel page; flags per session first, then days."""
-    steps = list(labels.FUNNEL_PAGES)
-    daily = (
-        warehouse["fact_sessions"]
-        .select("website_session_id", "date_key", "is_converted")
+def steps_by_day(sessions: DataFrame, page_steps: DataFrame) -> DataFrame:
+    return (
+        sessions.select("website_session_id", "date_key", "is_converted")
         .join(page_steps, "website_session_id")
         .groupBy("date_key")
         .agg(
             _count().alias("sessions"),
-            *[_count(F.col(f"viewed_{s}")).alias(f"{s}_sessions") for s in steps],
+            *[_count(F.col(f"viewed_{s}")).alias(f"{s}_sessions") for s in labels.FUNNEL_PAGES],
             _count(F.col("is_converted")).alias("order_sessions"),
         )
     )
+
+
+def funnel_performance(warehouse: Tables, page_steps: DataFrame) -> DataFrame:
+    """Per day: sessions that saw each funnel page; flags per session first, then days."""
+    return funnel_of(warehouse["dim_date"], steps_by_day(warehouse["fact_sessions"], page_steps))
+
+
+def funnel_of(days: DataFrame, daily: DataFrame) -> DataFrame:
+    steps = list(labels.FUNNEL_PAGES)
     volumes = ["sessions", *[f"{s}_sessions" for s in steps], "order_sessions"]
     step_rates = [
         "product_view_rate", "product_click_rate", "cart_rate", "shipping_rate", "billing_rate",
@@ -244,7 +267,7 @@ def funnel_performance(warehouse: Tables, page_steps: DataFrame) -> DataFrame:
     }
     rates["conversion_rate"] = _rate("order_sessions", "sessions")
     return (
-        _hang(warehouse["dim_date"].select("date_key", "date"), "date_key", daily)
+        _hang(days.select("date_key", "date"), "date_key", daily)
         .withColumns(rates)
         .select("date_key", "date", *volumes, *rates)
     )
@@ -255,7 +278,7 @@ def refunds_performance(warehouse: Tables) -> DataFrame:
     sold = sales.groupBy("product_key").agg(
         _distinct("order_id").alias("orders"),
         _count().alias("items_sold"),
-        _money("price_usd").alias("gross_revenue_usd"),
+        money("price_usd").alias("gross_revenue_usd"),
     )
     refund_days = warehouse["dim_date"].select(
         F.col("date_key").alias("refund_date_key"), F.col("date").alias("refund_date")
@@ -268,10 +291,14 @@ def refunds_performance(warehouse: Tables) -> DataFrame:
             _count().alias("items_refunded"),
             F.min("refund_date").alias("first_refund_date"),
             F.max("refund_date").alias("last_refund_date"),
-            _money("refund_amount_usd").alias("refund_amount_usd"),
+            money("refund_amount_usd").alias("refund_amount_usd"),
         )
     )
-    products = warehouse["dim_product"].select("product_key", "product_id", "product_name")
+    return refunds_of(warehouse["dim_product"], sold, refunded)
+
+
+def refunds_of(products: DataFrame, sold: DataFrame, refunded: DataFrame) -> DataFrame:
+    products = products.select("product_key", "product_id", "product_name")
     return (
         _hang(products, "product_key", sold, refunded)
         .withColumns(
