@@ -38,6 +38,8 @@ _WHITE = r"\t\n\x0b\f\r "
 #: White space by which vocabularies' own splitting rules may go beyond the above: such a text is one unit.
 _RARE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _UNITS = re.compile(rf"(?<=[^{_WHITE}])(?= )")
+#: Units that can stand one behind the other in a text and be cut at the same places again.
+_PLAIN = re.compile(rf"(?s) .*[^{_WHITE}]\Z")
 
 
 def _byte_letters() -> dict[str, int]:
@@ -71,57 +73,90 @@ class Vocabularies:
         self.divisible = not any(re.search(f"[^{SPACE}]{SPACE}", self.b.id_to_piece(i)) for i in range(len(b)))
         self.space = self.b.piece_to_id(SPACE)
 
-    def encode(self, units: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of A and of B for units, each of which begins with the space that B puts in front."""
-        a = [x.ids for x in self.a.encode_batch_fast(units, add_special_tokens=False)]
-        b = self.b.encode([x[1:] for x in units], num_threads=1)
-        return a, [[self.space] if unit == " " else ids for unit, ids in zip(units, b, strict=True)]
+    def encode(self, units: list[str], plain: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of A and of B of all units one after the other, and each unit's numbers of both.
+
+        ``plain`` units begin with a space and end visibly: they are encoded as one text and cut at their bytes.
+        """
+        sides = self._joined(units) if plain else None
+        if sides is None:
+            a = [x.ids for x in self.a.encode_batch_fast(units, add_special_tokens=False)]
+            b = [[self.space] if x == " " else self.b.encode(x[1:]) for x in units]
+            sides = [(np.array([i for x in ids for i in x], np.int64), np.array([len(x) for x in ids], np.int64)) for ids in (a, b)]
+        return *sides[0], *sides[1]
+
+    def _joined(self, units: list[str]) -> list[tuple[np.ndarray, np.ndarray]] | None:
+        """As ``encode``, in one call per vocabulary; None if some unit's end is not the end of a token."""
+        text = "".join(units)
+        ends = np.cumsum([len(x.encode("utf-8", "surrogatepass")) for x in units])
+        sides = []
+        for ids, size in (
+            (self.a.encode(text, add_special_tokens=False).ids, self.a_size),
+            (self.b.encode(text[1:]), self.b_size),
+        ):
+            ids = np.array(ids, np.int64)
+            stops = np.cumsum(size[ids])
+            last = np.searchsorted(stops, ends)
+            if not len(stops) or stops[-1] != ends[-1] or (stops[last] != ends).any():
+                return None
+            sides.append((ids, np.diff(np.append(-1, last))))
+        return sides
 
 
 class Aligned:
     """Tokens, groups and links of units met lately, in flat arrays with a row per unit."""
 
     #: Units, and bytes in them, beyond which all are forgotten.
-    LIMIT, LIMIT_BYTES = 200_000, 16 << 20
+    LIMIT, LIMIT_BYTES = 300_000, 16 << 20
 
     def __init__(self, vocabularies: Vocabularies):
         self.vocabularies = vocabularies
+        #: How an id is written in a list of groups, with the sign behind it: code 4 * id + place.
+        n = max(len(vocabularies.a_bytes), len(vocabularies.b_bytes))
+        self.written = [f"{i}{sign}" for i in range(n) for sign in ",|,;"]
         self._clear()
 
     def _clear(self) -> None:
         self.rows: dict[str, int] = {}
         self.bytes = 0
-        self.text: list[str] = []
         #: Per unit: tokens of A, of B, groups, links, links within groups, and whether the bytes are right.
         self.counts = np.zeros((0, 6), np.int64)
         self.starts = np.zeros(1, np.int64)
-        self.link_a = self.link_b = np.zeros(0, np.int32)
+        self.link_a = self.link_b = self.codes = np.zeros(0, np.int32)
+        self.code_starts = np.zeros(1, np.int64)
 
     def learn(self, units: set[str]) -> None:
         if len(self.rows) > self.LIMIT or self.bytes > self.LIMIT_BYTES:
             self._clear()
-        new = sorted(x for x in units if x not in self.rows)
-        for start, stop in slices([len(x) for x in new], 1 << 18):
-            self._add(new[start:stop])
-
-    def _add(self, units: list[str]) -> None:
+        new = [x for x in units if x not in self.rows]
+        plain = [x for x in new if _PLAIN.match(x) and not _RARE.search(x)] if self.vocabularies.divisible else []
+        joined = set(plain)
+        other = [x for x in new if x not in joined]
+        for part in (plain, other):
+            for start, stop in slices([len(x) for x in part], 1 << 18):
+                self._add(part[start:stop], part is plain)
+
+    def _add(self, units: list[str], plain: bool) -> None:
         known = self.vocabularies
         raw = [x.encode("utf-8", "surrogatepass") for x in units]
-        a, b = known.encode(units)
-        right = [
-            b"".join(map(known.a_bytes.__getitem__, x)) == r and b"".join(map(known.b_bytes.__getitem__, y)) == r
-            for x, y, r in zip(a, b, raw, strict=True)
-        ]
-        a = [x if ok else [] for x, ok in zip(a, right, strict=True)]
-        b = [x if ok else [] for x, ok in zip(b, right, strict=True)]
-        counts, text, links = blocks(a, b, known.a_size, known.b_size)
+        a, n_a, b, n_b = known.encode(units, plain)
+        right = np.ones(len(units), bool)
+        whole = b"".join(raw)
+        if any(b"".join(map(spelled.__getitem__, ids.tolist())) != whole for spelled, ids in ((known.a_bytes, a), (known.b_bytes, b))):
+            for spelled, ids, n in ((known.a_bytes, a, n_a), (known.b_bytes, b, n_b)):
+                ends = np.append(0, np.cumsum(n)).tolist()
+                right &= [b"".join(map(spelled.__getitem__, ids[x:y].tolist())) == r for x, y, r in zip(ends[:-1], ends[1:], raw, strict=True)]
+            a, b = a[np.repeat(right, n_a)], b[np.repeat(right, n_b)]
+            n_a, n_b = n_a * right, n_b * right
+        counts, codes, links = blocks(a, n_a, b, n_b, known.a_size, known.b_size)
         self.rows.update(zip(units, range(len(self.rows), len(self.rows) + len(units)), strict=True))
-        self.bytes += sum(map(len, raw))
-        self.text += text
+        self.bytes += len(whole)
         self.counts = np.concatenate([self.counts, np.column_stack([counts, right])])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(counts[:, 3])])
+        self.code_starts = np.concatenate([self.code_starts, self.code_starts[-1] + np.cumsum(n_a + n_b)])
         self.link_a = np.concatenate([self.link_a, links[0].astype(np.int32)])
         self.link_b = np.concatenate([self.link_b, links[1].astype(np.int32)])
+        self.codes = np.concatenate([self.codes, codes.astype(np.int32)])
 
     def of(self, units: list[str]) -> tuple[np.ndarray, str, np.ndarray, np.ndarray]:
         """Counts, groups as text, and both ids of every link, of a text cut into ``units``."""
@@ -129,9 +164,16 @@ class Aligned:
         counts = self.counts[rows]
         if not counts[:, 5].all():
             return np.zeros(5, np.int64), "", self.link_a[:0], self.link_b[:0]
-        size = counts[:, 3]
-        at = np.repeat(self.starts[rows] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-        return counts[:, :5].sum(axis=0), ";".join(map(self.text.__getitem__, rows.tolist())), self.link_a[at], self.link_b[at]
+        at = _ranges(self.starts[rows], counts[:, 3])
+        codes = self.codes[_ranges(self.code_starts[rows], counts[:, 0] + counts[:, 1])]
+        text = "".join(map(self.written.__getitem__, codes.tolist()))[:-1]
+        return counts[:, :5].sum(axis=0), text, self.link_a[at], self.link_b[at]
+
+
+def _ranges(starts: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1, ... of each range, ``size`` of them."""
+    ends = np.cumsum(size)
+    return np.repeat(starts - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)
 
 
 @functools.cache
@@ -142,38 +184,31 @@ def _aligned(byte_level: bytes, pieces: bytes) -> Aligned:
 
 
 def blocks(
-    a: list[list[int]], b: list[list[int]], a_size: np.ndarray, b_size: np.ndarray
-) -> tuple[np.ndarray, list[str], tuple[np.ndarray, np.ndarray]]:
+    a_ids: np.ndarray, n_a: np.ndarray, b_ids: np.ndarray, n_b: np.ndarray, a_size: np.ndarray, b_size: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
     """Products of block-diagonal matrices, a block per unit.
 
-    ``a`` and ``b`` are each unit's ids, and cover the same bytes of it. Returned are each unit's
-    numbers of tokens, groups, links and links within groups, its groups as text, and the ids of all links.
+    Ids come one unit after the other, with each unit's numbers of them, and cover the same bytes.
+    Returned are each unit's numbers of tokens, groups, links and links within groups, its groups as
+    codes (ids in order of group, A before B, each with the sign behind it), and the ids of all links.
     """
-    n_a, n_b = (np.array([len(x) for x in side], np.int64) for side in (a, b))
-    a_ids, b_ids = (np.array([i for x in side for i in x], np.int64) for side in (a, b))
+    n_units = len(n_a)
     matrix_a, matrix_b = csr.covering(a_size[a_ids]), csr.covering(b_size[b_ids])
     parts = list(csr.products(matrix_a, csr.transposed(matrix_b)))
     link_i = np.concatenate([x[0] for x in parts]) if parts else np.zeros(0, np.int64)
     link_j = np.concatenate([x[1] for x in parts]) if parts else np.zeros(0, np.int64)
-    unit_a, unit_b = np.repeat(np.arange(len(a)), n_a), np.repeat(np.arange(len(b)), n_b)
+    unit_a = np.repeat(np.arange(n_units), n_a)
     ends_a, ends_b = matrix_a.starts[1:], matrix_b.starts[1:]
-    cuts = np.intersect1d(ends_a, ends_b)
+    cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
     group_a, group_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
     shared = csr.row_sums(csr.members(group_a, len(cuts)), csr.transposed(csr.members(group_b, len(cuts))))
-    last_a = np.isin(ends_a, cuts)
-    n_groups = np.bincount(unit_a[last_a], minlength=len(a))
-    n_links = np.bincount(unit_a[link_i], minlength=len(a))
-    n_shared = np.bincount(unit_a, weights=shared, minlength=len(a)).astype(np.int64)
-    # Ids in order of group, A before B, each with the sign that follows it.
-    follows_a = np.where(last_a, "|", ",")
-    follows_b = np.where(np.isin(ends_b, cuts), ";", ",")
+    last_a, last_b = cuts[group_a] == ends_a, cuts[group_b] == ends_b
+    n_groups = np.bincount(unit_a[last_a], minlength=n_units)
+    n_links = np.bincount(unit_a[link_i], minlength=n_units)
+    n_shared = np.bincount(unit_a, weights=shared, minlength=n_units).astype(np.int64)
     order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
-    ids = np.concatenate([a_ids, b_ids])[order].tolist()
-    signs = np.concatenate([follows_a, follows_b])[order].tolist()
-    pieces = [f"{i}{s}" for i, s in zip(ids, signs, strict=True)]
-    bounds = np.append(0, np.cumsum(n_a + n_b)).tolist()
-    text = ["".join(pieces[x:y])[:-1] for x, y in zip(bounds[:-1], bounds[1:], strict=True)]
-    return np.column_stack([n_a, n_b, n_groups, n_links, n_shared]), text, (a_ids[link_i], b_ids[link_j])
+    codes = np.concatenate([4 * a_ids + last_a, 4 * b_ids + 2 + last_b])[order]
+    return np.column_stack([n_a, n_b, n_groups, n_links, n_shared]), codes, (a_ids[link_i], b_ids[link_j])
 
 
 COLUMNS = (
