@@ -816,6 +816,7 @@ def _catalog_sql() -> dict[str, str]:
     sql.update(_analyses())
     sql.update(_quality())
     sql.update(_loads())
+    sql.update(_two_runs(sql))
     return sql
 
 
@@ -970,9 +971,78 @@ def _quality() -> dict[str, str]:
     }
 
 
+# Fixed value: the first of two runs knows what was created before.
+_UNTIL = "TIMESTAMP '1997-03-10 00:00:00'"
+
+
+def _two_runs(sql: dict[str, str]) -> dict[str, str]:
+    """Two runs end where one would; both runs' rows come from the whole tables."""
+    stars = [
+        "fact_sales", "fact_sessions", "daily_performance", "marketing_performance", "product_performance",
+        "customer_summary", "funnel_performance", "refunds_performance",
+    ]
+    found = {f"{name}_two_builds": sql[f"{name}_volume"] for name in stars}
+    known = f"""SELECT 'fact_sales' AS table_name, f.order_item_id AS id, f.date_key // 100 AS month,
+            i.created_at < {_UNTIL} AND o.created_at < {_UNTIL} AS known
+        FROM v_fact_sales_volume f JOIN v_st_order_items_volume i USING (order_item_id)
+        JOIN v_st_orders_volume o ON o.order_id = i.order_id
+        UNION ALL SELECT 'fact_sessions', f.website_session_id, f.date_key // 100,
+            s.created_at < {_UNTIL} AND EXISTS (SELECT 1 FROM v_st_website_pageviews_volume p
+                WHERE p.website_session_id = f.website_session_id AND p.created_at < {_UNTIL})
+        FROM v_fact_sessions_volume f JOIN v_st_website_sessions_volume s USING (website_session_id)"""
+    found["fact_keys_two_builds"] = f"""SELECT table_name, count(*) AS n_rows, count(*) AS n_keys, 1::BIGINT AS least,
+        count(*) AS greatest, count(*) FILTER (known) AS n_kept FROM ({known}) GROUP BY table_name"""
+    # A month is written again if a row is new in it or some input of a row has changed since.
+    changed = f"""SELECT 'fact_sales' AS table_name, order_item_id AS id FROM v_st_order_items_volume
+            WHERE order_id IN (SELECT order_id FROM v_st_order_items_volume WHERE created_at >= {_UNTIL}
+                UNION SELECT order_id FROM v_st_orders_volume WHERE created_at >= {_UNTIL}
+                UNION SELECT i.order_id FROM v_st_order_items_volume i JOIN v_st_order_item_refunds_volume r
+                    USING (order_item_id) WHERE r.created_at >= {_UNTIL})
+        UNION ALL SELECT 'fact_sessions', website_session_id FROM v_st_website_sessions_volume
+            WHERE created_at >= {_UNTIL} OR website_session_id IN (
+                SELECT website_session_id FROM v_st_website_pageviews_volume WHERE created_at >= {_UNTIL}
+                UNION SELECT website_session_id FROM v_st_orders_volume WHERE created_at >= {_UNTIL})"""
+    dated = """SELECT 'fact_sales' AS table_name, order_item_id AS id,
+            CAST(strftime(created_at, '%Y%m') AS BIGINT) AS month FROM v_st_order_items_volume
+        UNION ALL SELECT 'fact_sessions', website_session_id, CAST(strftime(created_at, '%Y%m') AS BIGINT)
+            FROM v_st_website_sessions_volume"""
+    found["fact_months_two_builds"] = f"""WITH known AS ({known}), touched AS (
+            SELECT DISTINCT table_name, month FROM ({changed}) JOIN ({dated}) USING (table_name, id))
+        SELECT k.table_name, k.month::BIGINT AS month, count(*) AS n_rows,
+            (k.table_name, k.month) IN (SELECT (table_name, month) FROM touched) AS second_run
+        FROM known k GROUP BY k.table_name, k.month"""
+    return found
+
+
 def _loads() -> dict[str, str]:
-    """Chunked loads and repeated builds."""
+    """Chunked loads, mergeable counts and digests, constraints."""
+    counts = " UNION ALL ".join(
+        f"SELECT '{measure}' AS measure, '{grain}' AS grain, CAST({expression} AS VARCHAR) AS member, "
+        f"count(DISTINCT {counted}) AS n FROM {table} GROUP BY ALL"
+        for measure, grain, expression, counted, table in (
+            ("visitors", "date_key", "date_key", "user_id", "v_fact_sessions_web"),
+            ("visitors", "month", "date_key // 100", "user_id", "v_fact_sessions_web"),
+            ("visitors", "channel", f"concat_ws('/', {_ATTRIBUTES})", "user_id", "v_fact_sessions_web"),
+            ("orders", "date_key", "date_key", "order_id", "v_fact_sales_web"),
+            ("orders", "month", "date_key // 100", "order_id", "v_fact_sales_web"),
+        )
+    )
+    broken = " UNION ALL ".join(
+        f"SELECT '{name}' AS broken, count(*) AS n_rows FROM v_raw_order_items_dirty WHERE {condition}"
+        for name, condition in (
+            ("NULL in order_item_id", "order_item_id IS NULL"),
+            ("NULL in product_id", "product_id IS NULL"),
+            ("NULL in cogs_usd", "cogs_usd IS NULL"),
+            ("unknown order_id", "order_id IS NOT NULL AND order_id NOT IN "
+             "(SELECT order_id FROM v_raw_orders_dirty WHERE order_id IS NOT NULL)"),
+            ("unknown product_id", "product_id IS NOT NULL AND product_id NOT IN "
+             "(SELECT product_id FROM v_raw_products_dirty WHERE product_id IS NOT NULL)"),
+        )
+    )
     return {
+        "distinct_counts_by_bitmap": counts,
+        "constraints_at_write": broken,
+        "session_visits_in_parts": "SELECT * FROM v_path_web JOIN v_steps_web USING (website_session_id)",
         "pageview_chunks": """WITH placed AS (
                 SELECT website_pageview_id, website_session_id, pageview_url, 2 * website_pageview_id AS place
                 FROM v_raw_website_pageviews_web

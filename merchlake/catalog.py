@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, DateType, DecimalType, IntegerType, ShortType
 
-from merchlake.functions import dates
+from merchlake.functions import dates, labels
 from merchlake.operators import (
     increments,
     keyset,
@@ -32,9 +32,11 @@ from merchlake.operators import (
     validators,
     watermarks,
 )
+from merchlake.operators.constraints import ForeignKey, guard
 from merchlake.operators.increments import OrderStore
 from merchlake.operators.keyset import Watermark
-from merchlake.plans import analyses, dimensions, facts, reconciliation, staging
+from merchlake.plans import analyses, dimensions, facts, mart_states, reconciliation, staging
+from merchlake.plans.monthly_facts import FLAGS, MonthlyFacts
 from merchlake.plans.shop import open_shop
 from merchlake.session import configure, work_folder
 from merchlake.sources import files, supplied
@@ -52,6 +54,8 @@ FIRST_RUN_UNTIL = "2024-01-16 00:00:00"
 UPSERT_TARGET_UNTIL, UPSERT_SOURCE_FROM = "2024-01-20 00:00:00", "2024-01-10 00:00:00"
 KNOWN_CUSTOMERS_UNTIL = "1996-01-01 00:00:00"
 REJECTED_AT = datetime(2024, 1, 1)
+FIRST_BUILD_UNTIL = "1997-03-10 00:00:00"
+FACT_ROWS = {"fact_sales": ("order_item_id", "sales_key"), "fact_sessions": ("website_session_id", "session_key")}
 EXPORT_ROWS, CHUNK_ROWS, REPEATED_AFTER = 4000, 500, 150
 RUN_ID = "run-1"
 
@@ -521,6 +525,150 @@ _register_star("", "web")
 _register_star("_volume", "volume")
 
 
+class _TwoRuns:
+    """Monthly facts and mart states of one shop: a run until a date, then one over everything."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        shop = open_shop(spark, sf_dir, "volume")
+        until = F.lit(FIRST_BUILD_UNTIL).cast("timestamp_ntz")
+        early = {n: rows if n == "products" else rows.filter(F.col("created_at") < until) for n, rows in shop.staged.items()}
+        self.facts, self.dims = MonthlyFacts(spark, _folder(spark, "monthly")), shop.dims
+        self.states = mart_states.MartStates(spark, self.facts)
+        self._run(early, facts.session_visits(early["website_pageviews"]))
+        self.first = {}
+        for name, (business, key) in FACT_ROWS.items():
+            path = _folder(spark, f"first-{name}")
+            self.facts.read(name).select(business, F.col(key).alias("first_key")).write.parquet(path)
+            self.first[name] = spark.read.parquet(path)
+        self._run(shop.staged, shop.digests["session_visits"])
+        self.marts = self.states.marts(shop.dims)
+
+    def _run(self, staged: Tables, visits: DataFrame) -> None:
+        sales = self.facts.refresh_sales(staged, self.dims)
+        self.states.refresh(sales, self.facts.refresh_sessions(staged, self.dims, visits), visits)
+
+
+_TWICE: dict[tuple[str, str], _TwoRuns] = {}
+
+
+def _two_runs(spark: SparkSession, sf_dir: str) -> _TwoRuns:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TWICE:
+        _TWICE[key] = _TwoRuns(spark, sf_dir)
+    return _TWICE[key]
+
+
+@register("fact_sales_two_builds", "product_key", "customer_key", "sales_key", "month", *FLAGS)
+def _(spark, sf_dir):
+    runs = _two_runs(spark, sf_dir)
+    products = runs.dims["dim_product"].select("product_key", "product_id")
+    customers = runs.dims["dim_customer"].select("customer_key", "user_id")
+    return runs.facts.read("fact_sales").join(products, "product_key").join(customers, "customer_key")
+
+
+@register("fact_sessions_two_builds", "customer_key", "marketing_key", "device_key", "is_direct", "session_key", "month")
+def _(spark, sf_dir):
+    runs = _two_runs(spark, sf_dir)
+    return (
+        runs.facts.read("fact_sessions")
+        .join(runs.dims["dim_customer"].select("customer_key", "user_id"), "customer_key")
+        .join(runs.dims["dim_device"].select("device_key", "device_type"), "device_key")
+        .join(runs.dims["dim_marketing"], "marketing_key")
+    )
+
+
+@register("fact_keys_two_builds")
+def _(spark, sf_dir):
+    """Row keys after the second run: without gaps, and how many rows have the key of the first run."""
+    runs = _two_runs(spark, sf_dir)
+    parts = []
+    for name, (business, key) in FACT_ROWS.items():
+        both = runs.facts.read(name).join(runs.first[name], business, "left")
+        measures = [
+            F.count("*").alias("n_rows"),
+            F.count_distinct(key).alias("n_keys"),
+            F.min(key).alias("least"),
+            F.max(key).alias("greatest"),
+            F.count_if(F.col("first_key") == F.col(key)).alias("n_kept"),
+        ]
+        parts.append(both.agg(*measures).select(F.lit(name).alias("table_name"), "*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("fact_months_two_builds")
+def _(spark, sf_dir):
+    """Per fact and month its rows, and whether the second run has written it."""
+    runs = _two_runs(spark, sf_dir)
+    found = [
+        (name, month, m.rows, m.run == 2) for name in FACT_ROWS for month, m in runs.facts.table(name).months(spark).items()
+    ]
+    return spark.createDataFrame(found, "table_name string, month int, n_rows long, second_run boolean")
+
+
+def _register_marts_two_builds(mart: str, *hidden: str) -> None:
+    @register(f"{mart}_two_builds", *hidden)
+    def _(spark, sf_dir):
+        return _two_runs(spark, sf_dir).marts[mart]
+
+
+_register_marts_two_builds("daily_performance")
+_register_marts_two_builds("marketing_performance", "marketing_key")
+_register_marts_two_builds("product_performance", "product_key")
+_register_marts_two_builds("customer_summary", "customer_key")
+_register_marts_two_builds("funnel_performance")
+_register_marts_two_builds("refunds_performance", "product_key")
+
+
+@register("distinct_counts_by_bitmap")
+def _(spark, sf_dir):
+    """Visitors per day, month and channel out of one table of bitmaps, and orders per day and month out of another."""
+    shop = open_shop(spark, sf_dir, "web")
+    month = F.floor(F.col("date_key") / 100).cast("int")
+    seen = shop.facts["fact_sessions"].withColumn("month", month)
+    sold = shop.facts["fact_sales"].withColumn("month", month)
+    folder = _folder(spark, "bitmaps")
+    mart_states.bitmaps(seen, ["marketing_key", "date_key", "month"], "customer_key").write.parquet(f"{folder}/visitors")
+    mart_states.bitmaps(sold, ["date_key", "month"], "order_id").write.parquet(f"{folder}/orders")
+    visitors, orders = (spark.read.parquet(f"{folder}/{n}") for n in ("visitors", "orders"))
+    channels = shop.dims["dim_marketing"].withColumn("channel", F.concat_ws("/", *labels.MARKETING_ATTRIBUTES))
+    named = visitors.join(channels.select("marketing_key", "channel"), "marketing_key")
+
+    def counted(parts: DataFrame, measure: str, grain: str) -> DataFrame:
+        found = mart_states.bitmap_counts(parts, [grain], "n")
+        return found.select(F.lit(measure).alias("measure"), F.lit(grain).alias("grain"), F.col(grain).cast("string").alias("member"), "n")
+
+    parts = [counted(visitors, "visitors", g) for g in ("date_key", "month")]
+    parts.append(counted(named, "visitors", "channel"))
+    parts += [counted(orders, "orders", g) for g in ("date_key", "month")]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("session_visits_in_parts")
+def _(spark, sf_dir):
+    """Page paths of sessions out of the states of three chunks, each read once."""
+    pageviews = web_staged(spark, sf_dir)["website_pageviews"]
+    folder = _folder(spark, "visits")
+    for part in range(3):
+        chunk = pageviews.filter(F.col("website_pageview_id") % 3 == part)
+        pageview_stream.add_visit_states(chunk, folder, f"chunk-{part}")
+    return pageview_stream.visits(spark, folder)
+
+
+@register("constraints_at_write")
+def _(spark, sf_dir):
+    """Rows per constraint of the dirty items that break it, as counted by the write."""
+    raw = supplied.dirty(spark, sf_dir)
+    items = raw["order_items"]
+    products = raw["products"].select("product_id").dropna().distinct()
+    orders = raw["orders"].select("order_id").dropna().distinct()
+    keys = [ForeignKey("order_id", orders, "order_id"), ForeignKey("product_id", products, "product_id")]
+    guarded = guard(items, "order_items", ["order_item_id", "product_id", "cogs_usd"], keys)
+    guarded.rows.write.parquet(_folder(spark, "items"))
+    names = ["NULL in order_item_id", "NULL in product_id", "NULL in cogs_usd", "unknown order_id", "unknown product_id"]
+    found = [(name, guarded.seen.get[f"broken_{k}"]) for k, name in enumerate(names)]
+    return spark.createDataFrame(found, "broken string, n_rows long")
+
+
 @register("warehouse_volumes")
 def _(spark, sf_dir):
     """Rows of every warehouse table and mart."""

@@ -52,6 +52,38 @@ def session_visits(pageviews: DataFrame) -> DataFrame:
     return pageviews.groupBy("website_session_id").agg(*_path(), *_steps())
 
 
+# The digest of a session in parts: any cut of the pageviews gives partial states, and merging the
+# states of all parts gives the same digest as one pass over all pageviews.
+
+
+def visit_states(pageviews: DataFrame, *part: str) -> DataFrame:
+    """Per session (and ``part`` columns): count, first and last page with their positions, and step flags."""
+    position = F.struct("created_at", "website_pageview_id", "pageview_url")
+    return pageviews.groupBy("website_session_id", *part).agg(
+        F.count("*").alias("pages"), F.min(position).alias("first"), F.max(position).alias("last"), *_steps()
+    )
+
+
+def merged_states(states: DataFrame) -> DataFrame:
+    steps = [F.bool_or(f"viewed_{s}").alias(f"viewed_{s}") for s in labels.FUNNEL_PAGES]
+    return states.groupBy("website_session_id").agg(
+        F.sum("pages").alias("pages"), F.min("first").alias("first"), F.max("last").alias("last"), *steps
+    )
+
+
+def visits_of(states: DataFrame) -> DataFrame:
+    """``session_visits`` out of partial states."""
+    elapsed = dates.micros(F.col("last.created_at")) - dates.micros(F.col("first.created_at"))
+    return merged_states(states).select(
+        "website_session_id",
+        F.col("pages").cast("int").alias("pageview_count"),
+        F.col("first.pageview_url").alias("landing_page_url"),
+        F.col("last.pageview_url").alias("exit_page_url"),
+        dates.rounded_seconds(elapsed).alias("duration_seconds"),
+        *[f"viewed_{s}" for s in labels.FUNNEL_PAGES],
+    )
+
+
 def orders_by_session(orders: DataFrame) -> DataFrame:
     return orders.groupBy("website_session_id").agg(
         F.count("*").cast("int").alias("order_count"),

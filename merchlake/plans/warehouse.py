@@ -19,12 +19,14 @@ from merchlake.operators.tables import VersionedTable
 from merchlake.operators.upsert import MissingKeyError, require_keys, require_unique, upsert
 from merchlake.plans import dimensions, facts, marts, reconciliation
 from merchlake.plans.lazy import side_by_side
+from merchlake.plans.mart_states import MartStates
+from merchlake.plans.monthly_facts import FLAGS, MonthlyFacts
 
 Tables = Mapping[str, DataFrame]
 
 FACT_KEYS = {"fact_sales": "order_item_id", "fact_sessions": "website_session_id"}
 FACT_SURROGATES = {"fact_sales": "sales_key", "fact_sessions": "session_key"}
-UPSERT, REBUILD = "upsert", "rebuild"
+UPSERT, REBUILD, MONTHLY = "upsert", "rebuild", "monthly"
 
 
 @dataclass(frozen=True)
@@ -36,11 +38,12 @@ class WarehouseResult:
 
 
 class WarehouseBuilder:
-    """``upsert`` keeps rows that left the sources, ``rebuild`` drops them."""
+    """``upsert`` keeps rows that left the sources, ``rebuild`` drops them. ``monthly`` keeps them too, but
+    rewrites only the facts' months that have changed, and builds the marts from states kept per month."""
 
     def __init__(self, spark: SparkSession, root: str, mode: str = UPSERT) -> None:
-        if mode not in (UPSERT, REBUILD):
-            raise ValueError(f"mode must be {UPSERT!r} or {REBUILD!r}")
+        if mode not in (UPSERT, REBUILD, MONTHLY):
+            raise ValueError(f"mode must be {UPSERT!r}, {REBUILD!r} or {MONTHLY!r}")
         self.spark, self.root, self.mode = spark, root, mode
         self.volumes: dict[str, int] = {}
 
@@ -78,7 +81,7 @@ class WarehouseBuilder:
 
     def _take_over(self, name: str, source: DataFrame, keys: list[str]) -> DataFrame:
         table = self.table(name)
-        if self.mode == UPSERT and table.exists(self.spark):
+        if self.mode != REBUILD and table.exists(self.spark):
             source = upsert(table.read(self.spark), source, keys)
         return self._write(name, source, keys)
 
@@ -117,6 +120,22 @@ class WarehouseBuilder:
             lambda name: self._take_over(name, tables[name], [FACT_KEYS[name]]), tables
         )
 
+    def monthly_facts(self, staged: Tables, dims: Tables, digests: Tables) -> tuple[dict[str, DataFrame], MartStates]:
+        """Both facts, without the columns that only serve their upkeep, and the states of the marts."""
+        kept = MonthlyFacts(self.spark, self.root)
+        visits = digests["session_visits"]
+        sales, sessions = kept.refresh_sales(staged, dims), kept.refresh_sessions(staged, dims, visits)
+        states = MartStates(self.spark, kept)
+        states.refresh(sales, sessions, visits)
+        for name in FACT_KEYS:
+            kept.table(name).drop_old(self.spark)
+            self.volumes[name] = sum(m.rows for m in kept.table(name).months(self.spark).values())
+        return {n: kept.read(n).drop(*FLAGS, "month", FACT_SURROGATES[n]) for n in FACT_KEYS}, states
+
+    def monthly_marts(self, states: MartStates, dims: Tables) -> dict[str, DataFrame]:
+        tables = states.marts(dims)
+        return side_by_side(lambda name: self._write(name, tables[name], marts.MART_KEYS[name]), tables)
+
     def marts(self, warehouse: Tables, digests: Tables) -> dict[str, DataFrame]:
         tables = marts.build_marts(warehouse, digests)
         return side_by_side(
@@ -131,9 +150,15 @@ def build_warehouse(
     builder = WarehouseBuilder(spark, root, mode)
     dims = builder.dimensions(staged)
     digests = builder.digests(staged)
-    fact_tables = builder.facts(staged, dims, digests)
+    if mode == MONTHLY:
+        fact_tables, states = builder.monthly_facts(staged, dims, digests)
+    else:
+        fact_tables = builder.facts(staged, dims, digests)
     checks = reconciliation.require_reconciled(reconciliation.reconcile(staged, fact_tables))
-    mart_tables = builder.marts({**dims, **fact_tables}, digests)
+    if mode == MONTHLY:
+        mart_tables = builder.monthly_marts(states, dims)
+    else:
+        mart_tables = builder.marts({**dims, **fact_tables}, digests)
     in_order = [*dims, *fact_tables, *mart_tables]
     return WarehouseResult({name: builder.volumes[name] for name in in_order}, checks)
 

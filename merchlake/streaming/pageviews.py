@@ -16,6 +16,7 @@ from merchlake import schemas
 from merchlake.operators.quarantine import quarantine
 from merchlake.operators.transforms import transform_pageviews
 from merchlake.operators.validators import validate_pageview_chunks, validate_pageviews
+from merchlake.plans.facts import visit_states, visits_of
 from merchlake.sources import files
 
 
@@ -94,5 +95,21 @@ def load_chunks(
     )
 
 
+def add_visit_states(pageviews: DataFrame, folder: str, part: str) -> None:
+    """Keeps the page path of each session of one more chunk; the same ``part`` again replaces itself."""
+    states = visit_states(pageviews).withColumn("part", F.lit(part))
+    (
+        states.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("part")
+        .parquet(folder)
+    )
+
+
+def visits(spark: SparkSession, folder: str) -> DataFrame:
+    """The sessions' digests out of all chunks' states, without reading a pageview again."""
+    return visits_of(spark.read.parquet(folder).drop("part"))
+
+
 def staged_pageviews(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(folder).select(*schemas.PAGEVIEWS.fieldNames())
