@@ -6,9 +6,10 @@ become visible together and a run that dies in between changes nothing. A run co
 increment costs; orders staged earlier are not rewritten until ``compact``, which folds all
 committed runs into ``base/upto=<n>`` and lists them in ``folded/upto=<n>``.
 
-The store alone gives out run numbers, and a committed number is never written again. A stream's
-micro-batch is found again by (stream, batch) in its commit, so a replay changes nothing. The
-checkpoint never moves back. One writer at a time is assumed.
+The store alone gives out run numbers: a writer claims one by creating a file exclusively, so
+writers at the same time get different ones, and what both commit is read. A stream's micro-batch
+is found again by (stream, batch) in its commit, so a replay changes nothing. The checkpoint never
+moves back. Compactions are claimed in the same way and remove only what they have read.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from merchlake import schemas
 from merchlake.operators import keyset
 from merchlake.operators.keyset import Watermark
 from merchlake.operators.runlog import PIPELINE_NAME
-from merchlake.operators.tables import delete_folder, finished_numbers
+from merchlake.operators.tables import claim, delete_folder, finished_numbers
 from merchlake.operators.upsert import require_keys, require_known
 
 SOURCE_NAME = "orders"
@@ -153,7 +154,7 @@ class OrderStore:
             return state.position
         rows = schemas.conform(staged, schemas.STAGED_ORDERS)
         require_known(rows, [KEY, "created_at"])
-        number = state.next_run
+        number = self._claimed(spark, "run", state.next_run)
         path = f"{self.root}/data/run={number}"
         rows.write.mode("overwrite").parquet(path)
         written = spark.read.schema(schemas.STAGED_ORDERS).parquet(path)
@@ -165,6 +166,12 @@ class OrderStore:
         self._commit(spark, f"commits/run={number}", [_commit_row(number, position, stream, batch)])
         return position
 
+    def _claimed(self, spark: SparkSession, kind: str, number: int) -> int:
+        """The first number from ``number`` on that no other writer has; one that dies leaves a gap."""
+        while not claim(spark, f"{self.root}/claims/{kind}={number}"):
+            number += 1
+        return number
+
     def _commit(self, spark: SparkSession, folder: str, rows: list[tuple]) -> None:
         """Refuses to write a number twice."""
         spark.createDataFrame(rows, schemas.ORDER_COMMITS).coalesce(1).write.mode(
@@ -174,6 +181,8 @@ class OrderStore:
     def compact(self, spark: SparkSession) -> int | None:
         """Folds all committed runs into one base; later reads start there.
 
+        The base lies in keyset order, so file statistics skip what is at or before a checkpoint.
+
         The base before this one and its runs' data stay, since they still serve readers that
         planned earlier; what is older is deleted, and so are the commits that were folded. Per
         stream the last batch stays known.
@@ -182,16 +191,20 @@ class OrderStore:
         if not state.open or (state.base is None and len(state.open) == 1):
             return None
         number = state.open[-1].run
+        if state.base is not None and number < state.base or not claim(spark, f"{self.root}/claims/base={number}"):
+            return None
         path = f"{self.root}/base/upto={number}"
-        self._read(spark, state).hint("rebalance").write.mode("overwrite").parquet(path)
+        position = ["created_at", KEY]
+        in_order = self._read(spark, state).repartitionByRange(*position).sortWithinPartitions(*position)
+        in_order.write.mode("overwrite").parquet(path)
         self._commit(spark, f"folded/upto={number}", _folded_rows(state))
-        for run in self._committed(spark):
-            if run <= number:
-                delete_folder(spark, f"{self.root}/commits/run={run}")
+        # Only what this compaction has read: another writer may commit meanwhile.
+        for row in state.open:
+            delete_folder(spark, f"{self.root}/commits/run={row.run}")
         if state.base is not None:
-            for run in finished_numbers(spark, f"{self.root}/data", "run"):
-                if run <= state.base:
-                    delete_folder(spark, f"{self.root}/data/run={run}")
+            for row in state.folded:
+                if row.run is not None:
+                    delete_folder(spark, f"{self.root}/data/run={row.run}")
             for upto in self._bases(spark)[:-2]:
                 delete_folder(spark, f"{self.root}/folded/upto={upto}")
                 delete_folder(spark, f"{self.root}/base/upto={upto}")

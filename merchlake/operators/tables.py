@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -44,6 +45,34 @@ def finished_numbers(spark: SparkSession, root: str, prefix: str) -> list[int]:
     return sorted(int(p.rsplit("=", 1)[1]) for p in _finished(spark, f"{root}/{prefix}=*"))
 
 
+def data_files(spark: SparkSession, folder: str) -> list[str]:
+    """Parquet files that committed writes have left in a folder."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/*.parquet")
+    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(str(s.getPath()) for s in files.globStatus(pattern) or [])
+
+
+def claim(spark: SparkSession, path: str) -> bool:
+    """Creates an empty file unless it is there; of several writers exactly one succeeds.
+
+    The file system must create files exclusively, as HDFS and local ones do.
+    """
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(target.getParent())
+    if files.getScheme() == "file":
+        # The local file system's own create looks first and writes later; this one is atomic.
+        folder = files.resolvePath(target.getParent()).toUri().getPath()
+        return bool(spark._jvm.java.io.File(folder, target.getName()).createNewFile())
+    try:
+        files.create(target, False).close()
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            return False
+        raise
+    return True
+
+
 def delete_folder(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

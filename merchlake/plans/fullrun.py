@@ -37,6 +37,7 @@ STEP_NAMES = {
     "order_item_refunds": "staging_refunds",
 }
 WAREHOUSE_STEP = "warehouse_et_marts"
+LOGS = {"pipeline_runs": schemas.RUN_LOG, "pipeline_step_runs": schemas.STEP_LOG}
 
 
 @dataclass(frozen=True)
@@ -67,8 +68,7 @@ class FullRun:
     # control tables
 
     def _log(self, table: str, schema, *values) -> None:
-        row = self.spark.createDataFrame([values], schema)
-        row.coalesce(1).write.mode("append").parquet(f"{self.root}/control/{table}")
+        runlog.append_log(self.spark, f"{self.root}/control/{table}", schema, values)
 
     def _log_run(self, status: str, error: str | None = None) -> None:
         self._log(
@@ -173,6 +173,8 @@ class FullRun:
     def _finish(self, status: str, error: str | None = None) -> None:
         runlog.require_final(status)
         self._log_run(status, error)
+        for table, schema in LOGS.items():
+            runlog.fold_log(self.spark, f"{self.root}/control/{table}", schema)
 
 
 def report(spark: SparkSession, root: str, folder: str) -> Mapping[str, DataFrame]:
@@ -183,8 +185,8 @@ def report(spark: SparkSession, root: str, folder: str) -> Mapping[str, DataFram
 
 
 def run_log(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(schemas.RUN_LOG).parquet(f"{root}/control/pipeline_runs")
+    return runlog.read_log(spark, f"{root}/control/pipeline_runs", schemas.RUN_LOG)
 
 
 def step_log(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(schemas.STEP_LOG).parquet(f"{root}/control/pipeline_step_runs")
+    return runlog.read_log(spark, f"{root}/control/pipeline_step_runs", schemas.STEP_LOG)

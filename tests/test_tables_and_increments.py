@@ -1,4 +1,5 @@
 import json
+from concurrent.futures import ThreadPoolExecutor
 from datetime import UTC, datetime, timedelta, timezone
 
 import pytest
@@ -402,3 +403,75 @@ def test_constraint_checks(spark):
     assert [tuple(r) for r in quality.duplicate_keys(child, ["id"]).collect()] == [(2, 2)]
     assert {tuple(r) for r in quality.null_counts(child).collect()} == {("id", 0), ("ref", 1)}
     assert [tuple(r) for r in quality.orphans(child, "ref", parent, "id").collect()] == [(2, 9)]
+
+
+def staged_orders(spark, ids):
+    return staged(spark, *[(k, T1 + timedelta(minutes=k), 1.0) for k in ids])
+
+
+def test_two_writers_lose_no_run(spark, folder):
+    """Writers at the same time get different run numbers; all that is committed is read."""
+    store = OrderStore(folder)
+    rows = [staged_orders(spark, [k]) for k in range(1, 9)]
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(store.append, rows))
+    assert sorted(r.order_id for r in store.read(spark).collect()) == list(range(1, 9))
+    with ThreadPoolExecutor(4) as pool:
+        folded = list(pool.map(lambda k: store.compact(spark), range(3)))
+    assert len([n for n in folded if n is not None]) <= 2
+    assert sorted(r.order_id for r in store.read(spark).collect()) == list(range(1, 9))
+
+
+def test_claims_are_exclusive(spark, folder):
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda k: tables.claim(spark, f"{folder}/claims/run=1"), range(16)))
+    assert won.count(True) == 1
+
+
+def test_run_committed_during_a_compaction_stays(spark, folder, monkeypatch):
+    """A compaction deletes the commits it has read, not those that came meanwhile."""
+    store = OrderStore(folder)
+    for k in (1, 2):
+        store.append(staged_orders(spark, [k]))
+    inner = OrderStore._commit
+
+    def late(self, session, path, rows):
+        if path.startswith("folded/"):
+            monkeypatch.undo()
+            store.append(staged_orders(spark, [3]))
+        return inner(self, session, path, rows)
+
+    monkeypatch.setattr(OrderStore, "_commit", late)
+    store.compact(spark)
+    assert sorted(r.order_id for r in store.read(spark).collect()) == [1, 2, 3]
+
+
+def test_base_lies_in_keyset_order(spark, folder):
+    """Behind a checkpoint only files whose range reaches there hold rows."""
+    store = OrderStore(folder)
+    for part in range(2):
+        store.append(staged_orders(spark, [k for k in range(1, 4001) if k % 2 == part]))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        store.compact(spark)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    position = F.struct("created_at", "order_id")
+    ranges = store.read(spark).groupBy(F.input_file_name().alias("f")).agg(F.min(position).alias("low"), F.max(position).alias("high"))
+    files = sorted((r.low, r.high) for r in ranges.collect())
+    assert len(files) >= 4 and all(a[1] < b[0] for a, b in zip(files, files[1:]))
+    place = keyset.Watermark(files[-1][0][0], files[-1][0][1])
+    assert keyset.after(store.read(spark), place).select(F.input_file_name()).distinct().count() == 1
+
+
+def test_logs_are_folded(spark, folder):
+    """Many runs leave a bounded number of files and the same states."""
+    log, at = f"{folder}/runs", datetime(2026, 1, 1)
+    for k in range(30):
+        for status in (runlog.STARTED, runlog.SUCCESS):
+            row = (f"run-{k}", runlog.PIPELINE_NAME, at + timedelta(minutes=k), status, k, k, 0, None)
+            runlog.append_log(spark, log, schemas.RUN_LOG, row)
+        runlog.fold_log(spark, log, schemas.RUN_LOG, after=10)
+        assert len(tables.data_files(spark, log)) < 10
+    states = runlog.current_runs(runlog.read_log(spark, log, schemas.RUN_LOG)).collect()
+    assert len(states) == 30 and all(r.status == runlog.SUCCESS and r.rows_extracted == int(r.run_id[4:]) for r in states)
