@@ -18,7 +18,7 @@ class Watermark:
 
     def __post_init__(self) -> None:
         if (self.last_created_at is None) != (self.last_id is None):
-            raise ValueError("created_after and after_id must be provided together")
+            raise ValueError("Half a position: created_after and after_id must be provided together")
 
     @property
     def is_empty(self) -> bool:

@@ -29,7 +29,7 @@ def get_watermark(
 def set_watermarks(table: DataFrame, updates: DataFrame) -> DataFrame:
     """State of the table after ``updates``; an update without both parts raises."""
     complete = F.col("last_created_at").isNotNull() & F.col("last_id").isNotNull()
-    message = "A watermark requires both last_created_at and last_id"
+    message = "A checkpoint update requires both of its parts"
     # The check rides on a column that is written, so it cannot be pruned away.
     checked = updates.withColumn(
         "last_id",

@@ -61,8 +61,8 @@ def dim_date_between(date_range: DataFrame) -> DataFrame:
 
     def checked(bound: Column) -> Column:
         # The check sits on the bounds the calendar is made of, so it always runs.
-        missing = F.raise_error(F.lit("Cannot build dim_date from empty staging tables"))
-        reversed_ = F.raise_error(F.lit("start_date must be before or equal to end_date"))
+        missing = F.raise_error(F.lit("No calendar can be made of empty staging"))
+        reversed_ = F.raise_error(F.lit("The calendar is reversed: start_date lies behind end_date"))
         return (
             F.when(start.isNull() | end.isNull(), missing.cast("date"))
             .when(start > end, reversed_.cast("date"))
@@ -76,7 +76,7 @@ def dim_date_between(date_range: DataFrame) -> DataFrame:
 
 def build_dim_date(spark: SparkSession, start: date, end: date) -> DataFrame:
     if start > end:
-        raise ValueError("start_date must be before or equal to end_date")
+        raise ValueError("The calendar is reversed: start_date lies behind end_date")
     bounds = spark.createDataFrame([(start, end)], "start_date date, end_date date")
     return dim_date_between(bounds)
 
@@ -131,7 +131,7 @@ def device_members(sessions: DataFrame) -> DataFrame:
 KEYED = {
     "dim_product": ("product_key", ["product_id"], surrogate.LARGE),
     "dim_customer": ("customer_key", ["user_id"], surrogate.LARGE),
-    "dim_marketing": ("marketing_key", labels.MARKETING_ATTRIBUTES, surrogate.SMALL),
+    "dim_marketing": ("marketing_key", labels.MARKETING_ATTRIBUTES, surrogate.LARGE),
     "dim_device": ("device_key", ["device_type"], surrogate.SMALL),
 }
 

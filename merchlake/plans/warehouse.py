@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from merchlake.operators import surrogate
-from merchlake.operators.tables import VersionedTable
+from merchlake.operators.bucketed import BucketedTable, upsert_buckets
+from merchlake.operators.tables import VersionedTable, finished_numbers
 from merchlake.operators.upsert import MissingKeyError, require_keys, require_unique, upsert
 from merchlake.plans import dimensions, facts, marts, reconciliation
 from merchlake.plans.lazy import side_by_side
@@ -26,6 +27,8 @@ Tables = Mapping[str, DataFrame]
 
 FACT_KEYS = {"fact_sales": "order_item_id", "fact_sessions": "website_session_id"}
 FACT_SURROGATES = {"fact_sales": "sales_key", "fact_sessions": "session_key"}
+# Dimensions that grow with the visitors: an upsert joins them bucket by bucket.
+BUCKETED = ["dim_customer"]
 UPSERT, REBUILD, MONTHLY = "upsert", "rebuild", "monthly"
 
 
@@ -49,7 +52,20 @@ class WarehouseBuilder:
 
     def table(self, name: str) -> VersionedTable:
         schema = "marts" if name in marts.MART_KEYS else "warehouse"
-        return VersionedTable(f"{self.root}/{schema}/{name}")
+        root = f"{self.root}/{schema}/{name}"
+        if name in BUCKETED:
+            # A table keeps the number of buckets of its first version.
+            _, business_key, _ = dimensions.KEYED[name]
+            return BucketedTable(root, tuple(business_key), self._buckets(f"{root}/buckets"))
+        return VersionedTable(root)
+
+    def _buckets(self, root: str) -> int:
+        known = finished_numbers(self.spark, root, "n")
+        if known:
+            return known[0]
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.spark.createDataFrame([(n,)], "n int").coalesce(1).write.mode("overwrite").parquet(f"{root}/n={n}")
+        return n
 
     def _write(self, name: str, state: DataFrame, keys: list[str]) -> DataFrame:
         """Writes the next version; one that breaks its key is taken back before anything reads it.
@@ -92,7 +108,9 @@ class WarehouseBuilder:
         members = self._scratch(name, members)
         require_keys(members, business_key)
         table = self.table(name)
-        if table.exists(self.spark):
+        if table.exists(self.spark) and isinstance(table, BucketedTable):
+            state = upsert_buckets(table.read_buckets(self.spark), members, business_key, key, digits)
+        elif table.exists(self.spark):
             known = table.read(self.spark)
             state = upsert(known, members, business_key, key, digits)
         else:

@@ -50,7 +50,8 @@ def work_folder(spark: SparkSession) -> str:
             raise RuntimeError("Set spark.checkpoint.dir to a folder all executors can reach")
         base = shared or tempfile.mkdtemp(prefix="merchlake-")
         _WORK[session_id] = f"{base.rstrip('/')}/merchlake-{session_id}"
-        atexit.register(_clear, spark, _WORK[session_id], None if shared else base)
+        if isinstance(spark, SparkSession):
+            atexit.register(_clear, spark, _WORK[session_id], None if shared else base)
     return _WORK[session_id]
 
 

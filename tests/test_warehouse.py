@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from merchlake import schemas
-from merchlake.operators import keyset, runlog
+from merchlake.operators import keyset, runlog, surrogate
+from merchlake.operators.bucketed import BucketedTable, upsert_buckets
 from merchlake.operators.tables import VersionedTable
 from merchlake.operators.upsert import DuplicateKeyError, MissingKeyError
 from merchlake.plans import analyses, dimensions, facts, fullrun, marts, reconciliation, warehouse
@@ -361,3 +362,40 @@ def test_product_without_id_stops_the_build(spark, folder):
     tables["products"] = tables["products"].unionByName(unnamed)
     with pytest.raises(MissingKeyError):
         FullRun(spark, folder).run(sources(spark, tables))
+
+
+def test_stored_customers_are_not_shuffled(spark, folder):
+    """The second build joins the stored buckets as they lie; keys last, and readers see one table."""
+    table = BucketedTable(f"{folder}/t", ("user_id",), 8)
+    first = spark.range(1, 501).select(F.col("id").alias("user_id"), F.lit("old").alias("v"))
+    table.write(surrogate.assign(first, ["user_id"], "customer_key"))
+    source = spark.range(401, 701).select(F.col("id").alias("user_id"), F.lit("new").alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        state = upsert_buckets(table.read_buckets(spark), source, ["user_id"], "customer_key")
+        before = {r.user_id: r.customer_key for r in table.read(spark).collect()}
+        plan = state._jdf.queryExecution().executedPlan().toString()
+        table.write(state)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(64 * 1024 * 1024))
+    lines = plan.split("== Initial Plan ==")[-1].splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-*()0123456789")) for line in lines]
+    scans = [k for k, line in enumerate(lines) if "FileScan" in line]
+    assert len(scans) >= 2 and all("Bucketed: true" in lines[k] for k in scans)
+    for k in scans:
+        # From a scan upwards to the join that reads it there is no exchange.
+        at, above = depth[k], []
+        for j in range(k - 1, -1, -1):
+            if depth[j] < at:
+                at = depth[j]
+                above.append(lines[j])
+                if "Join" in lines[j]:
+                    break
+        assert above and not any("Exchange" in line for line in above), above
+    after = {r.user_id: (r.customer_key, r.v) for r in table.read(spark).collect()}
+    assert len(after) == 700 and all(after[u][0] == k for u, k in before.items())
+    assert sorted(k for k, _ in after.values()) == list(range(1, 701))
+    assert {v for u, (_, v) in after.items() if u > 400} == {"new"}
+    assert spark.catalog.listTables() == [] or not [t for t in spark.catalog.listTables() if t.name.startswith("bucketed_")]
