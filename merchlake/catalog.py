@@ -683,46 +683,29 @@ def _(spark, sf_dir):
 # --- analyses ------------------------------------------------------------------------------
 
 
-def _web_analyses(spark: SparkSession, sf_dir: str) -> Tables:
-    return open_shop(spark, sf_dir, "web").analyses
+def _register_analyses(suffix: str, entity_set: str) -> None:
+    def results(spark: SparkSession, sf_dir: str) -> Tables:
+        return open_shop(spark, sf_dir, entity_set).analyses
 
-
-def _register_analysis(name: str, key: str) -> None:
-    @register(name)
-    def _(spark, sf_dir):
-        return _web_analyses(spark, sf_dir)[key]
-
-
-_register_analysis("analysis_sales_monthly", "sales_monthly")
-_register_analysis("analysis_customer_segments", "customer_segments")
-_register_analysis("analysis_marketing_channels", "marketing_channels")
-_register_analysis("analysis_funnel_overall", "funnel_overall")
-_register_analysis("analysis_products", "product_performance")
-
-
-@register("channel_labels")
-def _(spark, sf_dir):
-    return analyses.channel_labels(_web_analyses(spark, sf_dir)["marketing_channels"])
-
-
-@register("top_month")
-def _(spark, sf_dir):
-    return analyses.top_month(_web_analyses(spark, sf_dir)["sales_monthly"])
-
-
-@register("top_channel")
-def _(spark, sf_dir):
-    return analyses.top_channel(_web_analyses(spark, sf_dir)["marketing_channels"])
-
-
-@register("top_product")
-def _(spark, sf_dir):
-    return analyses.top_product(_web_analyses(spark, sf_dir)["product_performance"])
-
-
-@register("headline_metrics")
-def _(spark, sf_dir):
-    return analyses.headline_metrics(_web_analyses(spark, sf_dir))
+    def add(name: str, of_results: Callable[[Tables], DataFrame]) -> None:
+        @register(f"{name}{suffix}")
+        def _(spark, sf_dir):
+            return of_results(results(spark, sf_dir))
+
+    add("analysis_sales_monthly", lambda r: r["sales_monthly"])
+    add("analysis_customer_segments", lambda r: r["customer_segments"])
+    add("analysis_marketing_channels", lambda r: r["marketing_channels"])
+    add("analysis_funnel_overall", lambda r: r["funnel_overall"])
+    add("analysis_products", lambda r: r["product_performance"])
+    add("channel_labels", lambda r: analyses.channel_labels(r["marketing_channels"]))
+    add("top_month", lambda r: analyses.top_month(r["sales_monthly"]))
+    add("top_channel", lambda r: analyses.top_channel(r["marketing_channels"]))
+    add("top_product", lambda r: analyses.top_product(r["product_performance"]))
+    add("headline_metrics", analyses.headline_metrics)
+
+
+_register_analyses("", "web")
+_register_analyses("_volume", "volume")
 
 
 # --- constraints and run log ---------------------------------------------------------------
