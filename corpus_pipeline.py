@@ -41,19 +41,25 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies; rows that repeat an id are one document."""
+    """One document of each group of near copies. Rows that repeat an id with the same text are one
+    document; rows without id are linked with nothing and all stay. Texts without words stay."""
     judged = op03_minhash.near_duplicates(docs)
     stays = judged.groupBy("doc_id").agg(F.max("kept").alias("kept")).filter("kept").select("doc_id")
-    return _with(docs.dropDuplicates(["doc_id", "text"]) if _repeats(docs) else docs, stays)
+    if _repeats(docs):
+        named = docs.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"])
+        docs = named.unionByName(docs.filter("doc_id IS NULL"))
+    return _with(docs, stays)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources mixed to their target weights, in random order."""
+    """Sources mixed to their target weights, in random order. A null source is one of its own; rows
+    that repeat an id, or have none, come as often as each other; an empty table stays empty."""
     return op07_mixing.mix(docs).select(*docs.columns)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of each text, and whether they decode to it."""
+    """Piece ids of each text, and whether they decode to it. Null and empty texts have none; repeated
+    rows and rows without id are encoded one by one; an empty table stays empty."""
     return op10_pieces.encode(docs.select("doc_id", "source", "text"), checked_column="round_trip").select(
         "doc_id", "source", F.size("piece_ids").cast("long").alias("n_pieces"), "piece_ids", "round_trip"
     )
