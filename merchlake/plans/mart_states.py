@@ -22,7 +22,7 @@ from pyspark.sql.types import StructType
 from merchlake.operators.constraints import guard
 from merchlake.operators.monthly import MonthlyTable
 from merchlake.plans import marts
-from merchlake.plans.lazy import LazyTables
+from merchlake.plans.lazy import LazyTables, side_by_side
 from merchlake.plans.monthly_facts import MonthlyFacts, Refresh
 
 Tables = Mapping[str, DataFrame]
@@ -168,14 +168,13 @@ class MartStates:
         def visited(months: list[int]) -> DataFrame:
             return facts.read("fact_sessions", months)
 
-        for name, state in {
+        of_sales = {
             "day_turnover": lambda m: _with_month(marts.turnover(sold(m), "date_key")),
             "day_refunds": lambda m: refunds_of_months(sold(m)),
             "product_sales": lambda m: sold_by_product(sold(m)),
             "customer_sales": lambda m: bought_by_customer(sold(m)),
-        }.items():
-            self._replace(name, sales.months, state)
-        for name, state in {
+        }
+        of_sessions = {
             "day_traffic": lambda m: _with_month(marts.traffic(visited(m), "date_key")),
             "day_steps": lambda m: _with_month(marts.steps_by_day(visited(m), page_steps)),
             "channel_traffic": lambda m: visited(m).groupBy("marketing_key", "month").agg(
@@ -187,8 +186,9 @@ class MartStates:
             ),
             "channel_visitors": lambda m: bitmaps(visited(m), ["marketing_key", "date_key", "month"], "customer_key"),
             "customer_visits": lambda m: _visits(visited(m), "customer_key", "month"),
-        }.items():
-            self._replace(name, sessions.months, state)
+        }
+        work = {n: (sales.months, s) for n, s in of_sales.items()} | {n: (sessions.months, s) for n, s in of_sessions.items()}
+        side_by_side(lambda name: self._replace(name, *work[name]), work)
         # A sale belongs to its session's channel, so sales of changed sessions change too.
         moved = facts.read("fact_sales").select(F.col("website_session_id").alias("key"), "month")
         moved = moved.join(sessions.changed, "key", "left_semi").select("month").distinct()

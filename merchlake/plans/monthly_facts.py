@@ -19,6 +19,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from merchlake.functions import dates
 from merchlake.operators.constraints import ForeignKey, guard
 from merchlake.operators.monthly import MonthlyTable, month_of
+from merchlake.operators.tables import delete_folder, finished_numbers
 from merchlake.operators.upsert import require_unique, upsert
 from merchlake.plans import facts
 
@@ -73,6 +74,7 @@ class MonthlyFacts:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, f"{root}/monthly"
         self._schemas: dict[str, StructType] = {}
+        self._inputs: dict[str, list[str]] = {}
 
     def table(self, name: str) -> MonthlyTable:
         return MonthlyTable(f"{self.root}/{name}")
@@ -80,12 +82,24 @@ class MonthlyFacts:
     def read(self, name: str, months: list[int] | None = None) -> DataFrame:
         return self.table(name).read(self.spark, self._schemas[name], months)
 
+    def drop_old(self, name: str) -> None:
+        """Deletes old months, and the fingerprints of runs whose manifest is gone."""
+        table = self.table(name)
+        table.drop_old(self.spark)
+        kept = table.runs(self.spark)
+        for source in self._inputs.get(name, []):
+            folder = f"{table.root}/fingerprints/{source}"
+            for run in finished_numbers(self.spark, folder, "run"):
+                if kept and run < kept[0]:
+                    delete_folder(self.spark, f"{folder}/run={run}")
+
     def _changes(self, name: str, inputs: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         """Per input the keys whose fingerprint differs from the last finished run's, new and gone ones among them.
 
         A run's fingerprints lie beside its manifest; they count once that is written.
         """
         table = self.table(name)
+        self._inputs[name] = list(inputs)
         run, done = table.next_run(self.spark), table.runs(self.spark)
         changed = {}
         for source, prints in inputs.items():

@@ -146,7 +146,7 @@ class WarehouseBuilder:
         states = MartStates(self.spark, kept)
         states.refresh(sales, sessions, visits)
         for name in FACT_KEYS:
-            kept.table(name).drop_old(self.spark)
+            kept.drop_old(name)
             self.volumes[name] = sum(m.rows for m in kept.table(name).months(self.spark).values())
         return {n: kept.read(n).drop(*FLAGS, "month", FACT_SURROGATES[n]) for n in FACT_KEYS}, states
 

@@ -143,7 +143,9 @@ def test_old_months_are_deleted_once_no_kept_run_names_them(spark, folder, tmp_p
         refunds = [(1, moment(2, 20), 1, 1000, 10.0 + k), (2, moment(2, 21), 4, 1002, 1.0)]
         monthly, _, _ = refresh(spark, folder, staged(spark, order_item_refunds=refunds))
     table = monthly.table("fact_sales")
-    table.drop_old(spark, 2)
+    monthly.drop_old("fact_sales")
+    prints = sorted(p.name for p in (tmp_path / "monthly/fact_sales/fingerprints/orders").glob("run=*"))
+    assert prints == [f"run={n}" for n in table.runs(spark)]
     kept = sorted(str(p.relative_to(table.root)) for p in (tmp_path / "monthly/fact_sales/data").glob("*/month=*"))
     months = table.months(spark)
     assert len(table.runs(spark)) == 2 and all(f"data/run={x.run}/month={m}" in kept for m, x in months.items())
