@@ -83,24 +83,27 @@ def mix(
     rates = shares(sizes, weights, temperature)
     parts = F.ceil(F.col("mean") / PART)
     rates = rates.filter("mean > 0").select(
-        F.col("source").alias("__source"),
-        F.col("mean").alias("mix_rate"),
-        parts.alias("__parts"),
-        cumulated(F.col("mean") / parts).alias("__sums"),
+        "source", F.col("mean").alias("mix_rate"), parts.alias("parts"), cumulated(F.col("mean") / parts).alias("sums")
     )
     rates = scratch.keep(rates, "rates")
     rest = docs.drop("mix_copy", "mix_rate", "mix_order")
-    # Counts first, on slim parts of rows; the texts are repeated in the last step only.
-    key = F.coalesce(F.col(id_column).cast("string"), F.lit(""))
+    # The row travels as one struct, so its names cannot clash. Counts first, on slim parts of rows;
+    # the texts are repeated in the last step only.
+    rows = rest.select(
+        F.struct(*(F.col(f"`{c}`") for c in rest.columns)).alias("row"),
+        F.coalesce(F.col(id_column).cast("string"), F.lit("")).alias("key"),
+        source.alias("source"),
+    )
     draw = F.aggregate(
-        F.sequence(F.lit(1).cast("long"), F.col("__parts")),
+        F.sequence(F.lit(1).cast("long"), F.col("parts")),
         F.lit(0).cast("long"),
-        lambda total, part: total + F.size(F.filter("__sums", lambda s: s <= uniform(key, part))),
+        lambda total, part: total + F.size(F.filter("sums", lambda s: s <= uniform(F.col("key"), part))),
     )
-    joined = rest.join(rates, source == F.col("__source")).withColumn("__count", draw).drop("__sums", "__parts", "__source")
-    copies = joined.filter("__count > 0").withColumn("mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__count"))))
-    placed = copies.drop("__count").withColumn("mix_order", uniform(key, F.lit("order"), F.col("mix_copy")))
-    return placed.orderBy("mix_order")
+    counted = rows.join(rates, "source").select("row", "key", "mix_rate", draw.alias("n"))
+    copies = counted.filter("n > 0").withColumn("mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    placed = copies.withColumn("mix_order", uniform(F.col("key"), F.lit("order"), F.col("mix_copy")))
+    fields = [F.col(f"row.`{c}`").alias(c) for c in rest.columns]
+    return placed.orderBy("mix_order").select(*fields, "mix_rate", "mix_copy", "mix_order")
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
