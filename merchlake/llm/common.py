@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from merchlake.operators.tables import delete_folder
 from merchlake.session import work_folder
 
 
@@ -18,19 +20,41 @@ class Scratch:
     """Intermediate tables of one operator call, in the folder that driver and executors share.
 
     A table is written once and read back, so whatever follows does not recompute it when an
-    executor is lost.
+    executor is lost. Tables are deleted as soon as all that was made of them is written too.
     """
 
-    def __init__(self, spark: SparkSession, name: str):
+    def __init__(self, spark: SparkSession, name: str, folder: str | None = None):
         self.spark = spark
-        self.folder = f"{work_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
+        self.folder = folder or f"{work_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
         self._number = 0
+        self._paths: dict[int, tuple[DataFrame, str]] = {}
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         self._number += 1
         path = f"{self.folder}/{self._number:03d}-{name}"
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        kept = self.spark.read.schema(df.schema).parquet(path)
+        self._paths[id(kept)] = kept, path
+        return kept
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Deletes tables given out by ``keep``; no later plan may read them."""
+        for table in tables:
+            _, path = self._paths.pop(id(table))
+            delete_folder(self.spark, path)
+
+    def only(self, *tables: DataFrame) -> None:
+        """Deletes all tables but these."""
+        kept = {id(t) for t in tables}
+        self.drop(*[t for key, (t, _) in list(self._paths.items()) if key not in kept])
+
+    @contextmanager
+    def inner(self) -> Iterator[Scratch]:
+        """Tables of one step, deleted at its end; its result is kept outside."""
+        self._number += 1
+        step = Scratch(self.spark, "step", f"{self.folder}/{self._number:03d}-step")
+        yield step
+        step.only()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

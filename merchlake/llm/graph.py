@@ -25,15 +25,18 @@ def components(scratch: Scratch, links: DataFrame) -> DataFrame:
     )
     before = _digest(edges)
     while before[0]:
+        last = edges
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         smallest = scratch.keep(both.groupBy("a").agg(F.least("a", F.min("b")).alias("m")), "large-min")
-        edges = scratch.keep(
+        large = scratch.keep(
             both.filter("b > a").join(smallest, "a").select(F.col("m").alias("a"), "b").filter("a <> b").distinct(), "large"
         )
+        scratch.drop(last, smallest)
         # Here a < b holds throughout; the small-star step works on the smaller neighbours of b.
-        smallest = scratch.keep(edges.groupBy("b").agg(F.min("a").alias("m")), "small-min")
-        lower = edges.join(smallest, "b").filter("a <> m").select(F.col("m").alias("a"), F.col("a").alias("b"))
+        smallest = scratch.keep(large.groupBy("b").agg(F.min("a").alias("m")), "small-min")
+        lower = large.join(smallest, "b").filter("a <> m").select(F.col("m").alias("a"), F.col("a").alias("b"))
         edges = scratch.keep(lower.union(smallest.select(F.col("m").alias("a"), "b")).distinct(), "small")
+        scratch.drop(large, smallest)
         now = _digest(edges)
         if now == before:
             break

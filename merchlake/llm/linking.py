@@ -1,7 +1,7 @@
 """Similarity components from sketches: banding, estimates, exact checks, union-find.
 
-Works on nodes (id long, sig binary), one per distinct set, on their bands (id, band long), and on
-their bodies (id long, body binary). Used by the document and the line near-duplicate operators.
+Works on nodes (id long, sig binary, bands array<long>), one per distinct set, and on their bodies
+(id long, body binary). Used by the document and the line near-duplicate operators.
 
 How large buckets are kept cheap without losing a link between different sets:
 
@@ -10,7 +10,8 @@ How large buckets are kept cheap without losing a link between different sets:
    is checked exactly and the links are contracted to components; then the other pairs that join two
    components are checked.
 2. Buckets that still hold several components are compared block by block: each node meets every
-   node of other components in its bucket, as sketches in numpy arrays of bounded size. Pairs that
+   node of other components in its bucket, as sketches in numpy arrays of bounded size. Two nodes
+   are compared in the first bucket that both are in, and in no other. Pairs that
    the sketches leave possible are checked exactly, best ones first: where bodies are short, inside
    the block, which then gives links only; else by joining the pairs with their bodies.
 
@@ -30,15 +31,14 @@ from merchlake.llm.common import Scratch, sorted_groups
 from merchlake.llm.graph import components
 from merchlake.llm.sketch import estimate
 
-#: Nodes of one side of a block.
-BLOCK = 256
+#: Nodes of one side of a block: a few megabytes of sketches and short bodies.
+BLOCK = 2048
 
 
 def link(
     spark: SparkSession,
     scratch: Scratch,
     nodes: DataFrame,
-    banded: DataFrame,
     bodies: Callable[[DataFrame], DataFrame],
     similar: Callable[[bytes, bytes], bool],
     threshold: float,
@@ -50,30 +50,41 @@ def link(
     ``bodies`` gives (id, body) for a table of wanted ids; ``similar`` decides a pair exactly;
     estimates under ``floor`` rule a pair out.
     """
+    banded = nodes.select("id", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.min("id").alias("center"), F.count("*").alias("n")).filter("n > 1")
     members = scratch.keep(banded.join(shared, "band"), "members")
-    sigs = nodes.select("id", "sig")
+    sigs = nodes.select("id", "sig", "bands")
 
     pairs = members.filter("id <> center").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
     stars = scratch.keep(_estimated(pairs, sigs, floor), "stars")
     links = _checked(scratch, _best(stars), bodies, similar)
-    roots = scratch.keep(components(scratch, links), "roots")
+    roots = _roots(scratch, links)
 
     more = _across(stars.filter(F.col("est") >= threshold - (threshold - floor) / 2), roots)
     links = links.union(_checked(scratch, more, bodies, similar))
-    roots = scratch.keep(components(scratch, links), "roots")
+    scratch.drop(stars, roots)
+    roots = _roots(scratch, links)
 
     dealt = scratch.keep(_dealt(members, roots), "dealt")
+    scratch.drop(members, roots)
     if short_bodies:
         texts = scratch.keep(bodies(dealt.select("id").distinct()), "bodies")
         found = _blocks(dealt.join(texts, "id"), sigs, floor, similar)
         links = links.union(scratch.keep(found.select("a", "b"), "links"))
-        return scratch.keep(components(scratch, links), "roots")
+        scratch.drop(dealt, texts)
+        return _roots(scratch, links)
     rest = scratch.keep(_blocks(dealt, sigs, floor, None), "rest")
+    scratch.drop(dealt)
     links = links.union(_checked(scratch, _best(rest), bodies, similar))
-    roots = scratch.keep(components(scratch, links), "roots")
+    roots = _roots(scratch, links)
     links = links.union(_checked(scratch, _across(rest, roots), bodies, similar))
-    return scratch.keep(components(scratch, links), "roots")
+    scratch.drop(rest, roots)
+    return _roots(scratch, links)
+
+
+def _roots(scratch: Scratch, links: DataFrame) -> DataFrame:
+    with scratch.inner() as step:
+        return scratch.keep(components(step, links), "roots")
 
 
 def _best(pairs: DataFrame) -> DataFrame:
@@ -132,7 +143,9 @@ def _checked(
     of_a = texts.select(F.col("id").alias("a"), F.col("body").alias("body_a"))
     of_b = texts.select(F.col("id").alias("b"), F.col("body").alias("body_b"))
     joined = pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "body_a", "body_b")
-    return scratch.keep(joined.mapInArrow(run, "a long, b long"), "links")
+    links = scratch.keep(joined.mapInArrow(run, "a long, b long"), "links")
+    scratch.drop(pairs, texts)
+    return links
 
 
 def _dealt(members: DataFrame, roots: DataFrame) -> DataFrame:
@@ -164,6 +177,8 @@ def _blocks(dealt: DataFrame, sigs: DataFrame, floor: float, similar: Callable[[
         for group in sorted_groups(batches, ["band", "i", "j"]):
             ids, root, own = (group.column(k).to_numpy().copy() for k in ("id", "root", "own"))
             rows = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint8).reshape(len(ids), -1)
+            bands = group.column("bands").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
+            here = group.column("band")[0].as_py()
             body = group.column("body").to_pylist() if similar else None
             first, second = group.column("i")[0].as_py(), group.column("j")[0].as_py()
             left = np.flatnonzero(own == first)
@@ -173,6 +188,9 @@ def _blocks(dealt: DataFrame, sigs: DataFrame, floor: float, similar: Callable[[
                 others = right[root[right] != root[k]]
                 if first == second:
                     others = others[others > k]
+                # The first bucket of both is the one to compare them in.
+                earliest = (bands[others] == bands[k]).argmax(axis=1)
+                others = others[bands[k][earliest] == here]
                 if not len(others):
                     continue
                 est = estimate((rows[others] == rows[k]).mean(axis=1))
@@ -187,7 +205,7 @@ def _blocks(dealt: DataFrame, sigs: DataFrame, floor: float, similar: Callable[[
                     [pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], ["a", "b", "est"]
                 )
 
-    columns = ["band", "i", "j", "own", "id", "root", "sig", *(["body"] if similar else [])]
+    columns = ["band", "i", "j", "own", "id", "root", "sig", "bands", *(["body"] if similar else [])]
     placed = dealt.join(sigs, "id").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
     pairs = placed.select(*columns).mapInArrow(run, "a long, b long, est double")
     return pairs.groupBy("a", "b").agg(F.max("est").alias("est"))

@@ -91,18 +91,20 @@ def near_duplicates(
         texts = within(rows, "doc_id", owners.select("owner").distinct()).join(
             owners.withColumnRenamed("owner", "doc_id"), "doc_id"
         )
-        return texts.select("id", "set_key", "text").mapInArrow(_confirmed(words), "id long, body binary")
+        # Rows that repeat an id give the same set again: one of them is enough.
+        return texts.select("id", "set_key", "text").mapInArrow(_confirmed(words), "id long, body binary").dropDuplicates(["id"])
 
     roots = link(
-        spark, scratch, classes.select("id", "sig"), classes.select("id", F.explode("bands").alias("band")), bodies,
+        spark, scratch, classes.select("id", "sig", "bands"), bodies,
         _similar(percent, words), percent / 100, sketch.cut(percent / 100, BINS),
     )
     owned = classes.select("id", "set_key", "owner").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     smallest = owned.groupBy("root").agg(F.min("owner").alias("component"))
     of_class = scratch.keep(owned.join(smallest, "root").select("set_key", "component"), "components")
+    slim = scratch.keep(sketches.select("doc_id", "n_shingles", "set_key"), "sets")
+    scratch.only(slim, of_class)
     return (
-        sketches.select("doc_id", "n_shingles", "set_key")
-        .join(of_class, "set_key", "left")
+        slim.join(of_class, "set_key", "left")
         .select(
             "doc_id",
             "n_shingles",

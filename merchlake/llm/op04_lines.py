@@ -105,15 +105,14 @@ def deduplicate_lines(
         .withColumn("id", F.monotonically_increasing_id()),
         "classes",
     )
-    banded = classes.select(
-        "id", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("k"), "sig"
-    ).select("id", F.expr(f"xxhash64(k, substring(sig, k * {2 * ROWS} + 1, {2 * ROWS}))").alias("band"))
+    hashes = [F.expr(f"xxhash64({k}, substring(sig, {2 * ROWS * k} + 1, {2 * ROWS}))") for k in range(BANDS)]
+    nodes = classes.select("id", "sig", F.array(*hashes).alias("bands"))
 
     def bodies(wanted: DataFrame) -> DataFrame:
-        places = classes.select("id", "first").join(wanted, "id", "left_semi")
+        places = classes.select("id", "first", "h1").join(wanted, "id", "left_semi")
         per_doc = scratch.keep(
             places.groupBy(F.col("first.doc_id").alias("doc_id")).agg(
-                F.collect_list(F.struct(F.col("first.pos").alias("pos"), "id")).alias("wanted")
+                F.collect_list(F.struct(F.col("first.pos").alias("pos"), "id", "h1")).alias("wanted")
             ),
             "places",
         )
@@ -122,7 +121,7 @@ def deduplicate_lines(
 
     bins = ROWS * BANDS
     roots = link(
-        spark, scratch, classes.select("id", "sig"), banded, bodies, _similar(percent, chars), percent / 100,
+        spark, scratch, nodes, bodies, _similar(percent, chars), percent / 100,
         sketch.cut(percent / 100, bins), short_bodies=True,
     )
     grouped = classes.join(roots, "id", "left").filter("n > 1 OR root IS NOT NULL")
@@ -139,6 +138,7 @@ def deduplicate_lines(
         .agg(F.collect_set(F.struct("pos", "h1")).alias("removed"))
     )
     removed = scratch.keep(removed, "removed")
+    scratch.only(removed)
     rebuilt = _rebuilt(rows, removed)
     return rebuilt.select("doc_id", "text", "n_lines", "n_removed", *(F.col(f"carried.`{c}`").alias(c) for c in carry or []))
 
@@ -222,7 +222,8 @@ def _picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text, wanted in zip(bytes_of(batch.column(0)), batch.column(1).to_pylist(), strict=True):
             lines = text.split(b"\n")
             for place in wanted:
-                if place["pos"] < len(lines):
+                # An id may come with several texts; only the class's own line counts.
+                if place["pos"] < len(lines) and _half(lines[place["pos"]]) == place["h1"]:
                     ids.append(place["id"])
                     found.append(lines[place["pos"]])
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.binary())], ["id", "body"])

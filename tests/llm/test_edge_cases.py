@@ -1,5 +1,7 @@
 """Nulls, empty and long texts, repeated rows, clashing names, empty tables."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,3 +144,42 @@ def test_stage(spark, awkward, folder, labels, name, stage):
         assert 1 in kept and 2 not in kept and len(kept) == len(set(kept))
     if name == "lines":
         assert 2 not in {r.doc_id for r in out.collect()} and 4 in {r.doc_id for r in out.collect()}
+
+
+def test_repeated_rows_do_not_multiply(spark, monkeypatch):
+    """Many rows of one id and of its near copy; every body is fetched once."""
+    from merchlake.llm import linking
+
+    rng = random.Random(5)
+    base = made.words(rng, 120)
+    other = [*base[:60], "changed", *base[61:]]
+    rows = [(1, " ".join(base))] * 40 + [(2, " ".join(other))] * 40
+    seen, inner = [], linking._checked
+
+    def counted(scratch, pairs, bodies, similar):
+        links = inner(scratch, pairs, bodies, similar)
+        seen.append(links.count())
+        return links
+
+    monkeypatch.setattr(linking, "_checked", counted)
+    found = op03_minhash.near_duplicates(made.frame(spark, rows)).collect()
+    assert len(found) == 80 and {r.component_id for r in found} == {1}
+    assert max(seen) == 1
+
+
+@pytest.mark.parametrize("turned", [False, True])
+def test_lines_of_an_id_with_two_texts(spark, turned):
+    """Whichever text comes first, a line is compared by its own text."""
+    line = "a line of some length that is repeated with one more word"
+    rows = [(1, "another beginning\n" + "y" * 30), (1, "another beginning\n" + line), (2, line + "x")]
+    found = op04_lines.deduplicate_lines(made.frame(spark, rows[::-1] if turned else rows)).collect()
+    assert [r.text for r in found if r.doc_id == 2] == [""]
+    assert sorted(r.n_removed for r in found) == [0, 0, 1]
+
+
+def test_mixing_with_clashing_names(spark):
+    names = ["__sums", "__parts", "__count", "__source", "row", "key", "n", "parts", "sums", "mix_rate"]
+    docs = spark.range(50).select(F.col("id").alias("doc_id"), F.lit("s").alias("source"), *[F.lit("x").alias(c) for c in names])
+    mixed = op07_mixing.mix(docs)
+    assert mixed.columns == ["doc_id", "source", *names[:-1], "mix_rate", "mix_copy", "mix_order"]
+    assert {r["__sums"] for r in mixed.collect()} == {"x"}
