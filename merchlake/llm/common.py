@@ -16,6 +16,21 @@ from merchlake.operators.tables import delete_folder
 from merchlake.session import work_folder
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what runs inside are deleted at its end: once a table is written nobody reads
+    them again, and until the driver collects garbage they would fill the executors' disks."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before or "false")
+
+
 class Scratch:
     """Intermediate tables of one operator call, in the folder that driver and executors share.
 
@@ -32,7 +47,8 @@ class Scratch:
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         self._number += 1
         path = f"{self.folder}/{self._number:03d}-{name}"
-        df.write.parquet(path)
+        with _shuffles_deleted(self.spark):
+            df.write.parquet(path)
         kept = self.spark.read.schema(df.schema).parquet(path)
         self._paths[id(kept)] = kept, path
         return kept

@@ -4,7 +4,8 @@ Token 0 is any rare word, token 1 the end of a text, the others are frequent wor
 frequency. Words are cut into classes of neighbouring frequency; the probability of a word is that of
 its class times that of the word in its class. Texts lie one after the other in lanes; the state goes
 on from window to window and starts anew with each text, so a text is scored as a whole. Training
-stops gradients at window borders (truncated backpropagation).
+stops gradients at window borders (truncated backpropagation); there lanes are of one length, so a text
+that crosses a lane's end goes on in the next lane with an empty state.
 """
 
 from __future__ import annotations
@@ -73,31 +74,35 @@ class Model:
         return fresh + z * (h - fresh), (h, r, z, fresh, rec[:, 2 * n :])
 
     def outputs(self, h: np.ndarray, targets: np.ndarray, train: bool = False):
-        """Natural log-probabilities of the targets; for training also the gradients of their sum."""
+        """Natural log-probabilities of the targets; for training also the gradients of their sum, where
+        the words' gradients are lists of (rows, gradient) of the classes met."""
         w = self.weights
         of = np.searchsorted(self.starts, targets, side="right") - 1
+        order = np.argsort(of, kind="stable")
+        # Rows of one class lie together from here on.
+        h, of = h[order], of[order]
+        inside = targets[order] - self.starts[of]
+        bounds = np.searchsorted(of, np.arange(len(self.starts)))
         p, log_p = _softmax(h @ w["class"] + w["class_bias"], of)
-        grads = None
+        words, biases = [], []
         if train:
-            p[np.arange(len(of)), of] -= 1.0
-            grads = {"class": h.T @ -p, "class_bias": -p.sum(axis=0), "word": np.zeros_like(w["word"]), "word_bias": np.zeros_like(w["word_bias"])}
-            dh = -p @ w["class"].T
-        order = np.argsort(of, kind="stable")
-        bounds = np.searchsorted(of[order], np.arange(len(self.starts)))
-        for k in range(len(self.starts) - 1):
-            first, last = self.starts[k], self.starts[k + 1]
-            rows = order[bounds[k] : bounds[k + 1]]
-            if last - first < 2 or not len(rows):
-                continue
-            own = h[rows]
-            p, log_word = _softmax(own @ w["word"][first:last].T + w["word_bias"][first:last], targets[rows] - first)
+            np.negative(p, out=p)
+            p[np.arange(len(of)), of] += 1.0
+            grads = {"class": h.T @ p, "class_bias": p.sum(axis=0), "word": words, "word_bias": biases}
+            dh = p @ w["class"].T
+        for k in np.flatnonzero((np.diff(bounds) > 0) & (np.diff(self.starts) > 1)):
+            among, rows = slice(self.starts[k], self.starts[k + 1]), slice(bounds[k], bounds[k + 1])
+            p, log_word = _softmax(h[rows] @ w["word"][among].T + w["word_bias"][among], inside[rows])
             log_p[rows] += log_word
             if train:
-                p[np.arange(len(rows)), targets[rows] - first] -= 1.0
-                grads["word"][first:last] = -p.T @ own
-                grads["word_bias"][first:last] = -p.sum(axis=0)
-                dh[rows] -= p @ w["word"][first:last]
-        return (log_p, grads, dh) if train else log_p
+                np.negative(p, out=p)
+                p[np.arange(len(p)), inside[rows]] += 1.0
+                words.append((among, p.T @ h[rows]))
+                biases.append((among, p.sum(axis=0)))
+                dh[rows] += p @ w["word"][among]
+        back = np.empty_like(order)
+        back[order] = np.arange(len(order))
+        return (log_p[back], grads, dh[back]) if train else log_p[back]
 
 
 def _softmax(logits: np.ndarray, picked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -145,6 +150,19 @@ class Lanes:
         active = np.searchsorted(-load[order], -np.arange(steps), side="left")
         return cls(before, token, text, active)
 
+    @classmethod
+    def even(cls, texts: list[np.ndarray], lanes: int) -> Lanes:
+        """One stream of all texts, cut into lanes of one length; only the last one may be shorter."""
+        lengths = np.array([len(x) for x in texts], np.int64)
+        stream = np.concatenate(texts) if len(texts) else np.zeros(0, np.int64)
+        steps = max(1, -(-len(stream) // lanes))
+        lanes = -(-len(stream) // steps)
+        earlier = np.concatenate([[-1], stream[:-1]])[: len(stream)]
+        earlier[(np.cumsum(lengths) - lengths)[lengths > 0]] = -1
+        of = lambda x, fill: np.append(x, np.full(lanes * steps - len(x), fill)).astype(np.int32).reshape(lanes, steps).T.copy()
+        active = lanes - (np.arange(steps) >= len(stream) - (lanes - 1) * steps)
+        return cls(of(earlier, -1), of(stream, 0), of(np.repeat(np.arange(len(texts)), lengths), 0), active)
+
 
 def _begin(before: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Inputs and states of a step; a text's first token follows END and the empty state."""
@@ -181,9 +199,11 @@ class Trainer:
         self.model, self.rate = model, np.float32(rate)
         self.squares = {k: np.full_like(v, 1e-3) for k, v in model.weights.items()}
 
-    def train(self, texts: list[np.ndarray], lanes: int = 64, window: int = 16) -> int:
-        """One pass over the texts; gives the number of tokens."""
-        packed = Lanes.of(texts, lanes)
+    def train(self, texts: list[np.ndarray], lanes: int = 256, window: int = 16) -> int:
+        """One pass over the texts; gives the number of tokens. Little text takes fewer lanes, so that
+        there are some windows, and so steps, in each."""
+        fewer = sum(len(x) for x in texts) // (8 * window)
+        packed = Lanes.even(texts, max(1, min(lanes, fewer)))
         h = np.zeros((packed.token.shape[1], self.model.hidden), np.float32)
         for start in range(0, len(packed.token), window):
             h = self._window(packed, range(start, min(start + window, len(packed.token))), h)
@@ -221,7 +241,8 @@ class Trainer:
         rows, first = np.unique(tokens[order], return_index=True)
         self._climb("gates", np.add.reduceat(da[order], first, axis=0), rows)
         for name, grad in grads.items():
-            self._climb(name, grad, slice(None))
+            for part, of_part in grad if isinstance(grad, list) else [(slice(None), grad)]:
+                self._climb(name, of_part, part)
         return h
 
     def _climb(self, name: str, grad: np.ndarray, rows) -> None:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +17,7 @@ from merchlake.llm.linking import link
 WORDS = 5
 PERCENT = 75
 #: Bins of a sketch; the first ROWS * BANDS of them are banded, all of them estimate similarity.
-BINS = 640
+BINS = 256
 ROWS = 6
 BANDS = 40
 
@@ -40,23 +39,6 @@ class Shingler:
         return np.unique(windows(words, min(self.words, len(words)))) if len(words) else windows(words, self.words)
 
 
-def _similar(percent: int, words: int):
-    state: dict = {}
-
-    def similar(left: bytes, right: bytes) -> bool:
-        if not state:
-            # A text of a large group takes part in many pairs.
-            state["sets"] = functools.lru_cache(512)(Shingler(words).of)
-        a, b = state["sets"](left), state["sets"](right)
-        least, most = sorted((len(a), len(b)))
-        if 100 * least < percent * most:
-            return False
-        common = len(np.intersect1d(a, b, assume_unique=True))
-        return 100 * common >= percent * (len(a) + len(b) - common)
-
-    return similar
-
-
 def near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = WORDS, percent: int = PERCENT
 ) -> DataFrame:
@@ -81,7 +63,7 @@ def near_duplicates(
     classes = scratch.keep(
         sketches.filter("doc_id IS NOT NULL AND set_key IS NOT NULL")
         .groupBy("set_key")
-        .agg(F.min("doc_id").alias("owner"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
+        .agg(F.min("doc_id").alias("owner"), F.first("n_shingles").alias("size"), F.first("sig").alias("sig"))
         .withColumn("id", F.monotonically_increasing_id()),
         "classes",
     )
@@ -95,9 +77,8 @@ def near_duplicates(
         return texts.select("id", "set_key", "text").mapInArrow(_confirmed(words), "id long, body binary").dropDuplicates(["id"])
 
     roots = link(
-        spark, scratch, classes.select("id", "sig", "bands"), bodies,
-        _similar(percent, words), percent / 100, sketch.cut(percent / 100, BINS),
-    )
+        scratch, classes.select("id", "size", "sig"), bodies, _hashes, percent, sketch.cut(percent / 100, BINS), BANDS, ROWS
+    )
     owned = classes.select("id", "set_key", "owner").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     smallest = owned.groupBy("root").agg(F.min("owner").alias("component"))
     of_class = scratch.keep(owned.join(smallest, "root").select("set_key", "component"), "components")
@@ -124,30 +105,33 @@ def _sketches(rows: DataFrame, words: int) -> DataFrame:
                 sizes = np.array([len(x) for x in sets])
                 filled = sizes > 0
                 sketches = sketch.sketch(np.concatenate(sets), sizes, BINS)
-                hashes, sig = sketch.bands(sketches[:, : ROWS * BANDS], ROWS), sketch.short(sketches)
+                sig = sketch.short(sketches)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(start, stop - start),
                         pa.array(sizes, pa.int64()),
                         pa.array([xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in sets], pa.binary()),
-                        pa.array([h if f else None for h, f in zip(hashes, filled, strict=True)], pa.list_(pa.int64())),
                         pa.array([s.tobytes() if f else None for s, f in zip(sig, filled, strict=True)], pa.binary()),
                     ],
-                    ["doc_id", "n_shingles", "set_key", "bands", "sig"],
+                    ["doc_id", "n_shingles", "set_key", "sig"],
                 )
 
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, bands array<long>, sig binary")
+    return rows.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, sig binary")
+
+
+def _hashes(body: bytes) -> np.ndarray:
+    return np.frombuffer(body, np.uint64)
 
 
 def _confirmed(words: int):
-    """Texts that really have their class's set; an id may come with several texts."""
+    """Sets of the texts that really have their class's set; an id may come with several texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for batch in batches:
-            texts, keys = [x or b"" for x in bytes_of(batch.column(2))], batch.column(1).to_pylist()
-            keep = [xxhash.xxh3_128_digest(shingler.of(x).tobytes()) == k for x, k in zip(texts, keys, strict=True)]
-            out = pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary())], ["id", "body"])
+            sets = [shingler.of(x or b"").tobytes() for x in bytes_of(batch.column(2))]
+            keep = [xxhash.xxh3_128_digest(x) == k for x, k in zip(sets, batch.column(1).to_pylist(), strict=True)]
+            out = pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["id", "body"])
             yield out.filter(pa.array(keep, pa.bool_()))
 
     return run
@@ -158,4 +142,41 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op3_near_duplicates": op3_near_duplicates}
-SQL: dict[str, str] = {}
+SQL = {
+    "op3_near_duplicates": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'
+            ) AS w FROM documents
+        ),
+        p AS (
+            SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS p FROM d WHERE len(w) > 0
+        ),
+        s AS (
+            SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS g FROM p
+        ),
+        n AS (
+            SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ),
+        i AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+            FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY x.doc_id, y.doc_id
+        ),
+        e AS (
+            SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)
+        ),
+        l AS (
+            SELECT a, b FROM e UNION ALL SELECT b, a FROM e
+        ),
+        r AS (
+            SELECT doc_id, doc_id AS root FROM d
+            UNION
+            SELECT l.b, r.root FROM r JOIN l ON l.a = r.doc_id WHERE r.root < l.b
+        ),
+        m AS (
+            SELECT doc_id, min(root) AS root FROM r GROUP BY doc_id
+        )
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, root AS component_id, doc_id = root AS kept
+        FROM m LEFT JOIN n USING (doc_id)
+    """,
+}

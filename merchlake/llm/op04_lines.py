@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,23 +50,6 @@ def line_shingles(line: bytes, size: int) -> np.ndarray:
     return np.unique(char_shingles(codes, min(size, len(codes)))) if len(codes) else np.zeros(0, np.uint64)
 
 
-def _similar(percent: int, size: int):
-    state: dict = {}
-
-    def similar(left: bytes, right: bytes) -> bool:
-        if not state:
-            # A line of a large group takes part in many pairs.
-            state["sets"] = functools.lru_cache(4096)(lambda line: line_shingles(line, size))
-        a, b = state["sets"](left), state["sets"](right)
-        least, most = sorted((len(a), len(b)))
-        if 100 * least < percent * most:
-            return False
-        common = len(np.intersect1d(a, b, assume_unique=True))
-        return 100 * common >= percent * (len(a) + len(b) - common)
-
-    return similar
-
-
 def deduplicate_lines(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -101,12 +83,10 @@ def deduplicate_lines(
     lines = scratch.keep(_lines(known, chars), "lines")
     classes = scratch.keep(
         lines.groupBy("h1", "h2")
-        .agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count("*").alias("n"), F.first("sig").alias("sig"))
+        .agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count("*").alias("n"), F.first("size").alias("size"), F.first("sig").alias("sig"))
         .withColumn("id", F.monotonically_increasing_id()),
         "classes",
     )
-    hashes = [F.expr(f"xxhash64({k}, substring(sig, {2 * ROWS * k} + 1, {2 * ROWS}))") for k in range(BANDS)]
-    nodes = classes.select("id", "sig", F.array(*hashes).alias("bands"))
 
     def bodies(wanted: DataFrame) -> DataFrame:
         places = classes.select("id", "first", "h1").join(wanted, "id", "left_semi")
@@ -119,10 +99,9 @@ def deduplicate_lines(
         texts = within(known, "doc_id", per_doc.select("doc_id")).join(per_doc, "doc_id")
         return texts.select("text", "wanted").mapInArrow(_picked, "id long, body binary").dropDuplicates(["id"])
 
-    bins = ROWS * BANDS
     roots = link(
-        spark, scratch, nodes, bodies, _similar(percent, chars), percent / 100,
-        sketch.cut(percent / 100, bins), short_bodies=True,
+        scratch, classes.select("id", "size", "sig"), bodies, lambda line: line_shingles(line, chars), percent,
+        sketch.cut(percent / 100, ROWS * BANDS), BANDS, 2 * ROWS,
     )
     grouped = classes.join(roots, "id", "left").filter("n > 1 OR root IS NOT NULL")
     grouped = scratch.keep(
@@ -176,7 +155,7 @@ def _lines(rows: DataFrame, chars: int) -> DataFrame:
             for start, stop in slices([len(x) for x in texts], 1 << 20):
                 yield _sketched(ids[start:stop], texts[start:stop], chars)
 
-    return rows.mapInArrow(run, "doc_id long, pos int, h1 long, h2 long, sig binary")
+    return rows.mapInArrow(run, "doc_id long, pos int, h1 long, h2 long, size int, sig binary")
 
 
 def _sketched(ids: np.ndarray, texts: list[bytes], chars: int) -> pa.RecordBatch:
@@ -210,9 +189,10 @@ def _sketched(ids: np.ndarray, texts: list[bytes], chars: int) -> pa.RecordBatch
             pa.array(pos[shown], pa.int32()),
             pa.array(keys[shown, 0]),
             pa.array(keys[shown, 1]),
+            pa.array(sizes, pa.int32()),
             pa.array([row.tobytes() for row in sig], pa.binary()),
         ],
-        ["doc_id", "pos", "h1", "h2", "sig"],
+        ["doc_id", "pos", "h1", "h2", "size", "sig"],
     )
 
 
@@ -267,4 +247,68 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op4_line_dedup": op4_line_dedup}
-SQL: dict[str, str] = {}
+#: Lines are compared if they share one of their rarest shingles, as many as a similar pair can not do
+#: without; this loses no link.
+SQL = {
+    "op4_line_dedup": r"""
+        WITH RECURSIVE t AS (
+            SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents
+        ),
+        l AS (
+            SELECT doc_id, unnest(range(1, len(lines) + 1)) AS pos, unnest(lines) AS line FROM t
+        ),
+        c AS (
+            SELECT line, min((doc_id, pos)) AS first, row_number() OVER (ORDER BY line) AS id
+            FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY line
+        ),
+        o AS (
+            SELECT id, line, unnest(range(1, greatest(len(line) - 6, 2))) AS o FROM c
+        ),
+        g AS (
+            SELECT DISTINCT id, substring(line, o, 8) AS g FROM o
+        ),
+        f AS (
+            SELECT g, count(*) AS f FROM g GROUP BY g
+        ),
+        k AS (
+            SELECT id, g, row_number() OVER (PARTITION BY id ORDER BY f, g) AS k, count(*) OVER (PARTITION BY id) AS n
+            FROM g JOIN f USING (g)
+        ),
+        h AS (
+            SELECT id, g, n FROM k WHERE k <= n - (8 * n + 9) // 10 + 1
+        ),
+        q AS (
+            SELECT DISTINCT x.id AS a, y.id AS b, x.n AS m, y.n AS n FROM h x JOIN h y ON x.g = y.g AND x.id < y.id
+            WHERE 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)
+        ),
+        e AS (
+            SELECT a, b FROM q JOIN g x ON x.id = a JOIN g y ON y.id = b AND y.g = x.g
+            GROUP BY a, b, m, n HAVING 100 * count(*) >= 80 * (m + n - count(*))
+        ),
+        b AS (
+            SELECT a, b FROM e UNION ALL SELECT b, a FROM e
+        ),
+        r AS (
+            SELECT id, id AS root FROM c
+            UNION
+            SELECT b.b, r.root FROM r JOIN b ON b.a = r.id WHERE r.root < b.b
+        ),
+        m AS (
+            SELECT id, min(root) AS root FROM r GROUP BY id
+        ),
+        z AS (
+            SELECT c.line, min(c.first) OVER (PARTITION BY m.root) AS stays FROM m JOIN c USING (id)
+        ),
+        w AS (
+            SELECT l.doc_id, l.pos, l.line, coalesce(z.stays <> (l.doc_id, l.pos), false) AS gone FROM l LEFT JOIN z USING (line)
+        ),
+        y AS (
+            SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+                   coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS kept
+            FROM w GROUP BY doc_id
+        )
+        SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+               CASE WHEN text IS NOT NULL THEN sha256(kept) END AS kept_sha256
+        FROM t LEFT JOIN y USING (doc_id)
+    """,
+}

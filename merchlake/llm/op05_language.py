@@ -22,6 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,11 +36,11 @@ HIDDEN = 24
 CLASSES = 48
 LARGEST_CLASS = 96
 ROUNDS = 2
-RATE = 0.1
+RATE = 0.2
 #: Training documents per shard.
 SHARD = 2000
-#: Tasks that average weights, and so rows that reach the driver.
-AVERAGES = 8
+#: Weights that are averaged in one task, and rows of weights that reach the driver, at most.
+AVERAGED = 32
 #: Stands for the end of a text among word hashes; no word holds a space.
 END_HASH = xxhash.xxh3_64_intdigest(b" ")
 
@@ -154,28 +155,38 @@ def _trained(docs: DataFrame, learned: Learned) -> gru.Model:
         trainer, seen = gru.Trainer(model, RATE), 0
         for batch in batches:
             texts = [x or b"" for x in bytes_of(batch.column(0))]
-            for first, last in slices([len(x) for x in texts], 1 << 21):
+            for first, last in slices([len(x) for x in texts], 1 << 23):
                 _, _, places, tokens, counts = reader.read(texts[first:last])
                 own = np.where(places >= 0, start.frequent.tokens[places] if len(start.frequent.tokens) else 0, gru.RARE)[tokens]
                 seen += trainer.train(np.split(own, np.cumsum(counts)[:-1]))
         if seen:
-            raw = pickle.dumps(model.weights)
+            part, raw = TaskContext.get().partitionId(), pickle.dumps(model.weights)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([hash(raw) % AVERAGES], pa.int32()), pa.array([seen], pa.int64()), pa.array([raw], pa.binary())],
+                [pa.array([part], pa.int32()), pa.array([seen], pa.int64()), pa.array([raw], pa.binary())],
                 ["part", "seen", "weights"],
             )
 
-    def averaged(group: pa.Table) -> pa.Table:
+    def averaged(key: tuple, group: pa.Table) -> pa.Table:
         total, seen = None, 0
         for size, raw in zip(group.column("seen").to_pylist(), group.column("weights").to_pylist(), strict=True):
             weights = pickle.loads(raw)
             total = weights if total is None else gru.average([total, weights], [seen, size])
             seen += size
-        return pa.table({"seen": pa.array([seen], pa.int64()), "weights": pa.array([pickle.dumps(total)], pa.binary())})
+        raw = pickle.dumps(total)
+        return pa.Table.from_arrays(
+            [pa.array([key[0].as_py()], pa.int32()), pa.array([seen], pa.int64()), pa.array([raw], pa.binary())],
+            ["part", "seen", "weights"],
+        )
 
-    shards = max(1, -(-docs.count() // SHARD))
-    trained = docs.select("text").repartition(shards).mapInArrow(run, "part int, seen long, weights binary")
-    rows = trained.groupBy("part").applyInArrow(averaged, "seen long, weights binary").collect()
+    shape = "part int, seen long, weights binary"
+    left = shards = max(1, -(-docs.count() // SHARD))
+    trained = docs.select("text").repartition(shards).mapInArrow(run, shape)
+    # Averages of averages, so no task and not the driver holds the weights of all shards.
+    while left > AVERAGED:
+        dealt = trained.withColumn("part", F.expr(f"cast(part div {AVERAGED} AS int)"))
+        trained = dealt.groupBy("part").applyInArrow(averaged, shape)
+        left = -(-left // AVERAGED)
+    rows = trained.collect()
     if not rows:
         return learned.model
     weights = gru.average([pickle.loads(bytes(r.weights)) for r in rows], [r.seen for r in rows])
@@ -230,7 +241,7 @@ def _scored(docs: DataFrame, learned: Learned) -> DataFrame:
         token_of = np.append(frequent.tokens, gru.RARE)
         for batch in batches:
             texts = [x or b"" for x in bytes_of(batch.column(2))]
-            for start, stop in slices([len(x) for x in texts], 1 << 22):
+            for start, stop in slices([len(x) for x in texts], 1 << 23):
                 words, hashes, places, tokens, counts = reader.read(texts[start:stop])
                 owner = np.repeat(np.arange(stop - start), counts)
                 own = token_of[places]

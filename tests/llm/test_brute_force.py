@@ -8,10 +8,11 @@ from math import log10
 import numpy as np
 import pytest
 import sentencepiece
+import xxhash
 from pyspark.sql import functions as F
 
-from merchlake.llm import gru, op01_quality, op02_urls, op03_minhash, op04_lines, op05_language, op06_substrings
-from merchlake.llm import op08_fertility, op09_covertree, op10_pieces
+from merchlake.llm import gru, linking, op01_quality, op02_urls, op03_minhash, op04_lines, op05_language, op06_substrings
+from merchlake.llm import op08_fertility, op09_covertree, op10_pieces, sketch
 from merchlake.llm.automaton import SuffixAutomaton, spans
 from merchlake.llm.common import Scratch
 from merchlake.llm.transducer import Transducer
@@ -241,6 +242,98 @@ def test_language_model(spark):
     assert gain > 50 * held > 0
 
 
+def _plain_score(learned, counts, words):
+    """Log10 probability of one text, token by token."""
+    w, n, total = learned.model.weights, learned.model.hidden, 0.0
+    h, before = np.zeros(n), gru.END
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    for word in words:
+        digest = np.array([xxhash.xxh3_64_intdigest(word or b" ")], np.uint64).view(np.int64)
+        place = learned.frequent.find(digest)[0]
+        token = learned.frequent.tokens[place] if place >= 0 else gru.RARE
+        a, rec = w["gates"][before], h @ w["state"]
+        r, z = sigmoid(a[:n] + rec[:n]), sigmoid(a[n : 2 * n] + rec[n : 2 * n])
+        fresh = np.tanh(a[2 * n :] + r * rec[2 * n :])
+        h, before = (1 - z) * fresh + z * h, token
+        of = max(k for k, start in enumerate(learned.model.starts) if start <= token)
+        first, last = learned.model.starts[of], learned.model.starts[of + 1]
+        p = np.exp(h @ w["class"] + w["class_bias"])
+        inside = np.exp(w["word"][first:last] @ h + w["word_bias"][first:last])
+        total += log10(p[of] / p.sum()) + log10(inside[token - first] / inside.sum())
+        if token == gru.RARE:
+            rare = learned.rare
+            share = counts[word] - rare.discount if counts[word] else rare.discount * rare.distinct + 0.5
+            total += log10(share / (rare.n + 0.5))
+    return total
+
+
+def test_language_scores_by_a_plain_forward_pass(spark, monkeypatch):
+    """Also with weights averaged in several levels, and few words known to every task."""
+    learned, inner = [], op05_language._scored
+    monkeypatch.setattr(op05_language, "_scored", lambda docs, known: learned.append(known) or inner(docs, known))
+    monkeypatch.setattr(op05_language, "FREQUENT", 500)
+    monkeypatch.setattr(op05_language, "VOCABULARY", 300)
+    monkeypatch.setattr(op05_language, "SHARD", 10)
+    monkeypatch.setattr(op05_language, "AVERAGED", 3)
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = {r.doc_id: r.text.encode().lower().split() + [None] for r in table.collect()}
+    counts = Counter(w for d, x in texts.items() if zlib.crc32(str(d).encode()) % 7 != 2 for w in x)
+    found = op05_language.score_texts(table).collect()
+    for row in found[::10]:
+        assert row.score == pytest.approx(_plain_score(learned[0], counts, texts[row.doc_id]), rel=1e-4)
+
+
+def test_even_lanes():
+    texts = [np.arange(2, 2 + n) for n in (4, 1, 9, 3)]
+    packed = gru.Lanes.even(texts, 3)
+    assert packed.token.shape == (6, 3) and list(packed.active) == [3, 3, 3, 3, 3, 2]
+    stream = packed.token.T.ravel()[:17]
+    assert list(stream) == list(np.concatenate(texts))
+    assert list(np.flatnonzero(packed.before.T.ravel()[:17] < 0)) == [0, 4, 5, 14]
+    assert list(packed.before[0]) == [-1, stream[5], stream[11]]
+
+
+def _recall(shared, own, bins, bands, rows, short):
+    """Share of pairs of sets with ``shared`` common elements and ``own`` of each that meet in a band."""
+    rng, pairs = np.random.default_rng(3), 3000
+    common = rng.integers(0, 1 << 63, (pairs, shared), np.uint64)
+    left, right = (np.hstack([common, rng.integers(0, 1 << 63, (pairs, own), np.uint64)]) for _ in range(2))
+    sizes = np.full(pairs, shared + own)
+    a, b = (short(sketch.sketch(x.ravel(), sizes, bins))[:, : bands * rows].reshape(pairs, bands, rows) for x in (left, right))
+    return (a == b).all(axis=2).any(axis=1).mean()
+
+
+def test_recall_just_at_the_threshold():
+    """The share of pairs that meet in a band, at a similarity of exactly 0.75 and 0.80."""
+    assert _recall(180, 30, op03_minhash.BINS, op03_minhash.BANDS, op03_minhash.ROWS, sketch.short) >= 0.999
+    bins = op04_lines.ROWS * op04_lines.BANDS
+    assert _recall(160, 20, bins, op04_lines.BANDS, op04_lines.ROWS, lambda x: x) >= 0.997
+
+
+@pytest.mark.parametrize("block", [3, 2048])
+def test_components_over_several_blocks(spark, monkeypatch, block):
+    """Near copies of one text, of which many are not similar to each other; whatever the blocks, the
+    links are those of all pairs."""
+    monkeypatch.setattr(linking, "BLOCK", block)
+    rng = random.Random(9)
+    base = made.words(rng, 200)
+    rows = []
+    for doc in range(40):
+        words = list(base)
+        for at in rng.sample(range(200), rng.randint(3, 9)):
+            words[at] = f"w{doc}x{at}"
+        rows.append((doc, " ".join(words)))
+    sets = {d: {tuple(t.split()[i : i + 5]) for i in range(196)} for d, t in rows}
+    groups = Groups(sets)
+    for a in sets:
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                groups.join(a, b)
+    assert 2 < len({groups.find(d) for d in sets}) < 39
+    found = op03_minhash.near_duplicates(made.frame(spark, rows)).collect()
+    assert {r.doc_id: r.component_id for r in found} == {d: groups.find(d) for d in sets}
+
+
 def test_recurrent_model_is_a_distribution_and_learns():
     counts = np.array([5, 7, 40, 30, 20, 10, 10, 5, 5, 5])
     model = gru.Model.initial(counts, 8, 3, 4)
@@ -265,14 +358,16 @@ def test_gradients():
     model = gru.Model.initial(np.array([3, 3, 9, 8, 7, 6, 5, 4]), 5, 3, 3)
     model.weights = {k: v.astype(np.float64) for k, v in model.weights.items()}
     texts = [np.array([2, 4, 3, 6, 2, 1]), np.array([5, 1])]
-    found = {}
+    found = {name: np.zeros_like(w) for name, w in model.weights.items()}
     trainer = gru.Trainer(model, 0.0)
-    trainer._climb = lambda name, grad, rows: found.__setitem__(name, (grad, rows))
+
+    def climb(name, grad, rows):
+        found[name][rows] += grad
+
+    trainer._climb = climb
     trainer.train(texts, lanes=1, window=100)
     for name in ("gates", "state", "class", "word", "class_bias", "word_bias"):
-        grad, rows = found[name]
-        whole = np.zeros_like(model.weights[name])
-        whole[rows] = grad
+        whole = found[name]
         at = np.unravel_index(np.abs(whole).argmax(), whole.shape)
         step = 1e-4
         model.weights[name][at] += step
