@@ -167,3 +167,22 @@ def test_items_and_refunds_need_known_references(spark):
     parts = validators.validate_refunds(refunds, valid_items.valid, known)
     assert [r.order_item_refund_id for r in parts.valid.collect()] == [1]
     assert sorted(r.order_item_refund_id for r in parts.rejected.collect()) == [2, 3, 4]
+
+
+def test_few_unknown_references_go_without_a_join(spark):
+    """The rows are shuffled by their key alone; many unknown references are joined as before."""
+    from merchlake.operators.split import Membership
+
+    rows = spark.createDataFrame([(i, i % 7) for i in range(70)] + [(70, None)], "id int, ref int")
+    known = spark.createDataFrame([(k,) for k in range(5)], "k int")
+    parts = split(rows, "id", members=[Membership("ref", known, "k")])
+    kept = sorted(r.id for r in parts.valid.collect())
+    assert kept == [i for i in range(70) if i % 7 < 5]
+    assert "Join" not in parts.valid._jdf.queryExecution().optimizedPlan().toString()
+    far = rows.withColumn("ref", F.col("ref") + F.when(F.col("id") > 6, F.col("id") * 100).otherwise(0))
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr("merchlake.operators.split.FEW_UNKNOWN", 10)
+        joined = split(far, "id", members=[Membership("ref", known, "k")])
+        assert sorted(r.id for r in joined.valid.collect()) == [0, 1, 2, 3, 4]
+        assert "Join" in joined.valid._jdf.queryExecution().optimizedPlan().toString()
+    assert joined.rejected.count() == 66

@@ -23,3 +23,16 @@ def test_work_folder_is_shared_on_a_cluster():
     assert folder.startswith("hdfs://n/chk/merchlake-")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.work_folder(fake("yarn", None))
+
+
+def test_splits_are_bounded_unless_the_cluster_says_otherwise(spark):
+    split = "spark.sql.files.maxPartitionBytes"
+    session.configure(spark)
+    assert spark.conf.get(split) == session.SPLIT_BYTES
+    try:
+        spark.conf.set(split, "1m")
+        session.configure(spark)
+        assert spark.conf.get(split) == "1m"
+    finally:
+        spark.conf.unset(split)
+        session.configure(spark)
