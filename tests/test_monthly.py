@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from merchlake import schemas
 from merchlake.operators.constraints import ConstraintError
 from merchlake.operators.tables import VersionedTable
+from merchlake.operators.upsert import DuplicateKeyError
 from merchlake.plans import dimensions, facts, mart_states, marts, warehouse
 from merchlake.plans.monthly_facts import MonthlyFacts
 from merchlake.plans.staging import transform_all
@@ -200,3 +201,46 @@ def test_build_in_monthly_mode(spark, folder):
     for name in marts.MART_KEYS:
         tables = [VersionedTable(f"{folder}/{root}/marts/{name}").read(spark) for root in ("kept", "whole")]
         assert [sorted(map(str, t.select(tables[1].columns).collect())) for t in tables][0] == sorted(map(str, tables[1].collect())), name
+
+
+def test_fact_rows_of_an_order_lie_together(spark, folder):
+    """The last shuffle of the sales is by their order, whatever the sides' sizes."""
+    tables = staged(spark)
+    with_sizes = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in with_sizes}
+    try:
+        for name, value in with_sizes.items():
+            spark.conf.set(name, value)
+        sales = facts.fact_sales(tables, dimensions.build_dimensions(tables))
+        plan = sales._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert "order_id" in joins[0] and "order_item_id" not in joins[0]
+
+
+def test_duplicate_items_are_refused_as_written(spark, folder):
+    """The written rows are checked, so the joins behind them run once; nothing becomes readable."""
+    twice = staged(spark, order_items=[*ROWS["order_items"], ROWS["order_items"][3]])
+    dims = dimensions.build_dimensions(staged(spark))
+    monthly = MonthlyFacts(spark, folder)
+    with pytest.raises(DuplicateKeyError):
+        monthly.refresh_sales(twice, dims)
+    assert monthly.table("fact_sales").runs(spark) == []
+
+
+def test_visitors_of_channels_are_kept_per_month_not_per_day(spark, folder):
+    pages = [(20 + k, moment(1, 5 + k), 10 + k, "/home") for k in range(9)]
+    visits = [(10 + k, moment(1, 5 + k), 100, 1, None, None, None, "desktop", None) for k in range(9)]
+    tables = staged(spark, website_sessions=ROWS["website_sessions"] + visits, website_pageviews=ROWS["website_pageviews"] + pages)
+    dims = dimensions.build_dimensions(tables)
+    # Surrogate keys of the sessions are for one run; the bitmaps hold customers.
+    monthly, states = MonthlyFacts(spark, folder), None
+    paths = facts.session_visits(tables["website_pageviews"])
+    sales = monthly.refresh_sales(tables, dims)
+    states = mart_states.MartStates(spark, monthly)
+    states.refresh(sales, monthly.refresh_sessions(tables, dims, paths), paths)
+    assert states.read("channel_visitors").count() == 3
+    found = {r.utm_source: r.unique_visitors for r in states.marts(dims)["marketing_performance"].collect()}
+    assert found == {"(non renseigné)": 1, "gsearch": 2}
