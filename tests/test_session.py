@@ -36,3 +36,15 @@ def test_splits_are_bounded_unless_the_cluster_says_otherwise(spark):
     finally:
         spark.conf.unset(split)
         session.configure(spark)
+
+
+def test_broadcasts_are_bounded_by_rows_in_memory(spark, folder):
+    """A table that is small as a file but not as a hash table is joined without the driver."""
+    session.configure(spark)
+    spark.range(0, 4_000_000).selectExpr("id AS k", "id % 7 AS v").write.parquet(f"{folder}/wide")
+    joined = spark.range(0, 10_000_000, numPartitions=4).toDF("k").join(spark.read.parquet(f"{folder}/wide"), "k")
+    assert joined.count() == 4_000_000
+    plan = joined.groupBy("v").count()
+    plan.collect()
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in text.split("Initial Plan")[0] and "BroadcastHashJoin" not in text.split("Initial Plan")[0]
