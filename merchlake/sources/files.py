@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.readwriter import DataStreamReader
 from pyspark.sql.types import IntegralType, LongType, StringType, StructField, StructType
 
 from merchlake import schemas
@@ -115,21 +114,24 @@ def read_order_pages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def stream_order_pages(spark: SparkSession, folder: str, files_per_batch: int = 100) -> DataFrame:
+def stream_order_pages(
+    spark: SparkSession, folder: str, files_per_batch: int = 100, bytes_per_batch: int | None = None
+) -> DataFrame:
+    """Landed order pages as a stream, ``files_per_batch`` files or about ``bytes_per_batch`` at a time."""
     if files_per_batch <= 0:
         raise ValueError("files_per_batch must be greater than zero")
+    reader = spark.readStream.schema(schemas.ORDER_PAGE)
+    if bytes_per_batch is None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    else:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     return _order_rows(
-        _stream(spark, schemas.ORDER_PAGE, files_per_batch)
-        .option("multiLine", True)
+        reader.option("multiLine", True)
         .option("mode", "FAILFAST")
         .json(folder)
     )
 
 
-def _stream(spark: SparkSession, schema: StructType, files_per_batch: int) -> DataStreamReader:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-
-
 def read_orders_csv(spark: SparkSession, path: str) -> DataFrame:
     """Order export of the local order source."""
     return _csv(spark, path, schemas.ORDERS)

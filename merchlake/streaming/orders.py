@@ -19,6 +19,9 @@ from merchlake.operators.transforms import transform_orders
 from merchlake.operators.validators import validate_orders
 from merchlake.sources import files
 
+#: Landed pages of one micro-batch, in bytes.
+BATCH_BYTES = 64 * 1024 * 1024
+
 
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
     """The id that Spark gave this checkpoint; a new checkpoint is a new stream."""
@@ -45,10 +48,18 @@ def stream_orders(
     store: OrderStore,
     rejected_folder: str,
     checkpoint: str,
-    files_per_batch: int = 100,
+    files_per_batch: int | None = None,
+    bytes_per_batch: int = BATCH_BYTES,
 ) -> StreamingQuery:
-    """Takes over everything that has landed, then stops."""
-    pages = files.stream_order_pages(spark, pages_folder, files_per_batch)
+    """Takes over everything that has landed, then stops.
+
+    A batch costs some seconds whatever it holds, and pages are small files; so a batch is bounded by
+    bytes unless the caller names a number of files.
+    """
+    if files_per_batch is None:
+        pages = files.stream_order_pages(spark, pages_folder, bytes_per_batch=bytes_per_batch)
+    else:
+        pages = files.stream_order_pages(spark, pages_folder, files_per_batch)
     return (
         pages.writeStream.foreachBatch(
             lambda batch, number: take_over_batch(

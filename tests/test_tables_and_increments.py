@@ -475,3 +475,23 @@ def test_logs_are_folded(spark, folder):
         assert len(tables.data_files(spark, log)) < 10
     states = runlog.current_runs(runlog.read_log(spark, log, schemas.RUN_LOG)).collect()
     assert len(states) == 30 and all(r.status == runlog.SUCCESS and r.rows_extracted == int(r.run_id[4:]) for r in states)
+
+
+def test_small_pages_share_a_micro_batch(spark, tmp_path):
+    """Batches follow the bytes that have landed, not the number of files."""
+    pages = tmp_path / "pages"
+    pages.mkdir()
+    for k in range(120):
+        order = {"order_id": k, "created_at": T1.isoformat(), "website_session_id": 1, "user_id": 1,
+                 "primary_product_id": 1, "items_purchased": 1, "price_usd": 2.0, "cogs_usd": 1.0}
+        (pages / f"{k:03d}.json").write_text(json.dumps({"total": 1, "limit": 10, "offset": 0, "orders": [order]}))
+
+    def runs(name, **bounds):
+        store = OrderStore(str(tmp_path / name))
+        order_stream.stream_orders(spark, str(pages), store, str(tmp_path / f"rej-{name}"), str(tmp_path / f"chk-{name}"), **bounds).awaitTermination()
+        assert prices(store.read(spark)) == dict.fromkeys(range(120), 2.0)
+        return store.next_run(spark)
+
+    assert runs("default") == 1
+    total = sum(p.stat().st_size for p in pages.iterdir())
+    assert 2 <= runs("bytes", bytes_per_batch=total // 2 + 1) <= 3
