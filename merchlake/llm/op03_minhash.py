@@ -70,9 +70,7 @@ def near_duplicates(
 
     def bodies(wanted: DataFrame) -> DataFrame:
         owners = scratch.keep(classes.select("id", "owner", "set_key").join(wanted, "id", "left_semi"), "owners")
-        texts = within(rows, "doc_id", owners.select("owner").distinct()).join(
-            owners.withColumnRenamed("owner", "doc_id"), "doc_id"
-        )
+        texts = within(rows, "doc_id", owners.withColumnRenamed("owner", "doc_id"))
         # Rows that repeat an id give the same set again: one of them is enough.
         return texts.select("id", "set_key", "text").mapInArrow(_confirmed(words), "id long, body binary").dropDuplicates(["id"])
 

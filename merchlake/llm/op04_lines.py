@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from merchlake.llm import sketch
-from merchlake.llm.common import ODD, Scratch, bytes_of, mix, slices, table, within
+from merchlake.llm.common import ODD, Scratch, beside, bytes_of, mix, slices, table, within
 from merchlake.llm.linking import link
 
 CHARS = 8
@@ -96,7 +96,7 @@ def deduplicate_lines(
             ),
             "places",
         )
-        texts = within(known, "doc_id", per_doc.select("doc_id")).join(per_doc, "doc_id")
+        texts = within(known, "doc_id", per_doc)
         return texts.select("text", "wanted").mapInArrow(_picked, "id long, body binary").dropDuplicates(["id"])
 
     roots = link(
@@ -124,8 +124,7 @@ def deduplicate_lines(
 
 def _rebuilt(rows: DataFrame, removed: DataFrame) -> DataFrame:
     """Texts without the removed lines; the other texts do not move."""
-    touched = within(rows, "doc_id", removed.select("doc_id")).join(removed, "doc_id")
-    whole = rows.join(removed.select("doc_id"), "doc_id", "left_anti")
+    touched, whole = beside(rows, "doc_id", removed)
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1)))
     columns = ["doc_id", "text", "n_lines", "n_removed", "carried"]
     shape = T.StructType(
@@ -219,7 +218,7 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 n_removed.append(0)
                 continue
             lines = text.split(b"\n")
-            gone = {x["pos"] for x in removed if x["pos"] < len(lines) and _half(lines[x["pos"]]) == x["h1"]}
+            gone = {x["pos"] for x in removed or () if x["pos"] < len(lines) and _half(lines[x["pos"]]) == x["h1"]}
             texts.append(b"\n".join(line for i, line in enumerate(lines) if i not in gone))
             n_lines.append(len(lines))
             n_removed.append(len(gone))

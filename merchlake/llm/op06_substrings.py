@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merchlake.llm.automaton import SuffixAutomaton, spans
-from merchlake.llm.common import Hashes, Scratch, bytes_of, mix, table, windows, within
+from merchlake.llm.common import Hashes, Scratch, beside, bytes_of, mix, table, windows, within
 
 WINDOW = 13
 ANCHOR = 5
@@ -270,7 +270,7 @@ def remove_repeats(
         .agg(F.collect_list(F.struct("anchor", "owner", "copies")).alias("anchors")),
         "per-doc",
     )
-    texts = within(known, "doc_id", per_doc.select("doc_id")).join(per_doc, "doc_id")
+    texts = within(known, "doc_id", per_doc)
     first = scratch.keep(_matched(_first_fragments(texts, window), window), "first")
 
     left = first.filter("words IS NOT NULL").withColumn("fragment", F.xxhash64("doc_id", "start", "words"))
@@ -301,8 +301,8 @@ def remove_repeats(
         .agg(F.flatten(F.collect_list("found")).alias("removed")),
         "removed",
     )
-    touched = within(rows, "doc_id", removed.select("doc_id")).join(removed, "doc_id")
-    whole = rows.join(removed.select("doc_id"), "doc_id", "left_anti").withColumn("removed", F.lit(None))
+    touched, whole = beside(rows, "doc_id", removed)
+    whole = whole.withColumn("removed", F.lit(None))
     kind = removed.schema["removed"].dataType
     whole = whole.withColumn("removed", F.col("removed").cast(kind))
     return touched.unionByName(whole).select("doc_id", "text", "removed").mapInArrow(_without, KEPT)

@@ -4,11 +4,41 @@ import random
 import zlib
 
 import pyarrow as pa
+from pyspark.sql import functions as F
 
-from merchlake.llm import op05_language, op06_substrings
+from merchlake.llm import op04_lines, op05_language, op06_substrings
+from merchlake.llm.common import beside, within
 from tests.llm import docs as made
 
 
+def joins_of(df):
+    """The joins of the optimised plan, the last one first."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return [line for line in plan.splitlines() if "Join " in line]
+
+
+def test_rows_leave_before_the_shuffle(spark):
+    """Spark must not move the join by the key below the bitmap, or every text is shuffled for it."""
+    rows = made.frame(spark, [(k % 50, f"text {k}") for k in range(100)] + [(None, "x")]).select("doc_id", "text")
+    wanted = spark.range(0, 200, 7).select(F.col("id").alias("doc_id"), F.lit(1).alias("one"))
+    found = within(rows, "doc_id", wanted)
+    last, first = joins_of(found)
+    assert "shiftright" in first and "shiftright" not in last
+    assert sorted(r.doc_id for r in found.collect()) == sorted(2 * [k for k in range(50) if k % 7 == 0])
+    some, others = (x.collect() for x in beside(rows, "doc_id", wanted))
+    assert all(r.doc_id is None or r.doc_id % 7 for r in others)
+    assert {r.doc_id for r in some if r.one} == set(range(0, 50, 7))
+    assert len(some) + len(others) == 101
+
+
+def test_untouched_texts_do_not_move(spark):
+    rows = made.frame(spark, [(k, f"text {k}") for k in range(9)]).select("doc_id", "text", F.lit(0).alias("carried"))
+    removed = spark.createDataFrame([(3, [])], "doc_id long, removed array<struct<pos int, h1 long>>")
+    rebuilt = op04_lines._rebuilt(rows, removed)
+    assert not any("Anti" in x or "Semi" in x for x in joins_of(rebuilt))
+    assert rebuilt.count() == 9
+
+
 def without_repeats(rows, window=13):
     """doc_id: n_words, n_removed, kept; rows by rising id."""
     first, wanted = {}, {}
