@@ -33,6 +33,7 @@ def classes(counts: np.ndarray, number: int, largest: int) -> np.ndarray:
 class Model:
     starts: np.ndarray
     weights: dict[str, np.ndarray]
+    _class: np.ndarray | None = None
 
     @classmethod
     def initial(cls, counts: np.ndarray, hidden: int, number: int, largest: int) -> Model:
@@ -61,57 +62,95 @@ class Model:
     def hidden(self) -> int:
         return self.weights["state"].shape[0]
 
-    def step(self, tokens: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, tuple]:
+    def states(self, steps: Steps, h: np.ndarray) -> tuple[np.ndarray, tuple]:
+        """The states after each row of some steps, and for training those before, the gates, the fresh
+        parts and what the reset gate was multiplied by; ``h`` is the state before the first step."""
         n = self.hidden
-        a, rec = self.weights["gates"][tokens], h @ self.weights["state"]
-        rz = a[:, : 2 * n] + rec[:, : 2 * n]
-        rz *= 0.5
-        np.tanh(rz, out=rz)
-        rz += 1.0
-        rz *= 0.5
-        r, z = rz[:, :n], rz[:, n:]
-        fresh = np.tanh(a[:, 2 * n :] + r * rec[:, 2 * n :])
-        return fresh + z * (h - fresh), (h, r, z, fresh, rec[:, 2 * n :])
+        # The gates are 1 / (1 + exp(-x)), the fresh part is 1 - 2 / (1 + exp(2 x)).
+        scale = np.repeat(np.array([-1, 2], np.float32), [2 * n, n])
+        a, state = self.weights["gates"].take(steps.tokens, axis=0), self.weights["state"] * scale
+        a *= scale
+        gates, last = np.ascontiguousarray(a[:, : 2 * n]), np.ascontiguousarray(a[:, 2 * n :])
+        after, before, rec_last = np.empty_like(last), np.empty_like(last), np.empty_like(last)
+        # Where an exponential overflows, the gate is 0 and the fresh part 1, as they should be.
+        with np.errstate(over="ignore"):
+            for start, stop, fresh in steps.rows():
+                old = before[start:stop]
+                old[:] = h[: stop - start]
+                if len(fresh):
+                    old[fresh] = 0
+                rec = old @ state
+                rz = gates[start:stop]
+                rz += rec[:, : 2 * n]
+                np.exp(rz, out=rz)
+                rz += 1.0
+                np.reciprocal(rz, out=rz)
+                rec_new = rec_last[start:stop]
+                rec_new[:] = rec[:, 2 * n :]
+                new = last[start:stop]
+                new += rz[:, :n] * rec_new
+                np.exp(new, out=new)
+                new += 1.0
+                np.divide(-2.0, new, out=new)
+                new += 1.0
+                h = np.subtract(old, new, out=after[start:stop])
+                h *= rz[:, n:]
+                h += new
+        return after, (before, gates[:, :n], gates[:, n:], last, rec_last)
 
     def outputs(self, h: np.ndarray, targets: np.ndarray, train: bool = False):
-        """Natural log-probabilities of the targets; for training also the gradients of their sum, where
-        the words' gradients are lists of (rows, gradient) of the classes met."""
+        """Natural log-probabilities of the targets; for training also the gradients of their sum."""
         w = self.weights
-        of = np.searchsorted(self.starts, targets, side="right") - 1
+        if self._class is None:
+            self._class = np.repeat(np.arange(len(self.starts) - 1), np.diff(self.starts)).astype(np.uint16)
+        of = self._class[targets]
         order = np.argsort(of, kind="stable")
         # Rows of one class lie together from here on.
-        h, of = h[order], of[order]
+        h, of = h[order], of[order].astype(np.intp)
         inside = targets[order] - self.starts[of]
         bounds = np.searchsorted(of, np.arange(len(self.starts)))
-        p, log_p = _softmax(h @ w["class"] + w["class_bias"], of)
-        words, biases = [], []
+        p, log_p = _softmax(h @ w["class"] + w["class_bias"], of, train)
         if train:
             np.negative(p, out=p)
             p[np.arange(len(of)), of] += 1.0
-            grads = {"class": h.T @ p, "class_bias": p.sum(axis=0), "word": words, "word_bias": biases}
+            # Words of classes that are not met have no gradient.
+            words, biases = np.zeros_like(w["word"]), np.zeros_like(w["word_bias"])
+            grads = {"class": h.T @ p, "class_bias": _ones(len(p)) @ p, "word": words, "word_bias": biases}
             dh = p @ w["class"].T
         for k in np.flatnonzero((np.diff(bounds) > 0) & (np.diff(self.starts) > 1)):
             among, rows = slice(self.starts[k], self.starts[k + 1]), slice(bounds[k], bounds[k + 1])
-            p, log_word = _softmax(h[rows] @ w["word"][among].T + w["word_bias"][among], inside[rows])
+            p, log_word = _softmax(h[rows] @ w["word"][among].T + w["word_bias"][among], inside[rows], train)
             log_p[rows] += log_word
             if train:
                 np.negative(p, out=p)
                 p[np.arange(len(p)), inside[rows]] += 1.0
-                words.append((among, p.T @ h[rows]))
-                biases.append((among, p.sum(axis=0)))
+                words[among] = p.T @ h[rows]
+                biases[among] = _ones(len(p)) @ p
                 dh[rows] += p @ w["word"][among]
         back = np.empty_like(order)
         back[order] = np.arange(len(order))
         return (log_p[back], grads, dh[back]) if train else log_p[back]
 
 
-def _softmax(logits: np.ndarray, picked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    logits -= logits.max(axis=1, keepdims=True)
+#: Logits within these bounds neither overflow nor vanish in a softmax.
+BOUND = 60.0
+
+
+def _ones(n: int) -> np.ndarray:
+    return np.ones(n, np.float32)
+
+
+def _softmax(logits: np.ndarray, picked: np.ndarray, whole: bool) -> tuple[np.ndarray | None, np.ndarray]:
+    """Probabilities, if the ``whole`` distribution is asked for, and log-probabilities of the picked ones."""
+    if max(logits.max(), -logits.min()) > BOUND:
+        logits -= logits.max(axis=1, keepdims=True)
     chosen = logits[np.arange(len(picked)), picked].astype(np.float64)
     np.exp(logits, out=logits)
-    total = logits.sum(axis=1)
-    logits /= total[:, None]
-    return logits, chosen - np.log(total)
+    # Sums of short rows are faster as a product.
+    total = logits @ _ones(logits.shape[1])
+    if whole:
+        logits *= np.reciprocal(total)[:, None]
+    return logits if whole else None, chosen - np.log(total)
 
 
 @dataclass
@@ -164,31 +203,43 @@ class Lanes:
         return cls(of(earlier, -1), of(stream, 0), of(np.repeat(np.arange(len(texts)), lengths), 0), active)
 
 
-def _begin(before: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Inputs and states of a step; a text's first token follows END and the empty state."""
-    fresh = before < 0
-    if fresh.any():
-        h = np.where(fresh[:, None], np.float32(0), h)
-        before = np.where(fresh, END, before)
-    return before, h, fresh
+class Steps:
+    """Some steps of lanes, one after the other: their inputs, targets, and the rows at which texts begin.
+
+    A text's first token follows END and the empty state.
+    """
+
+    def __init__(self, packed: Lanes, start: int, stop: int):
+        sizes = packed.active[start:stop]
+        shown = np.arange(packed.token.shape[1]) < sizes[:, None]
+        self.tokens, self.targets, self.texts = (x[start:stop][shown] for x in (packed.before, packed.token, packed.text))
+        self.ends = np.cumsum(sizes)
+        self.fresh = np.flatnonzero(self.tokens < 0)
+        self.tokens[self.fresh] = END
+
+    def rows(self) -> list[tuple[int, int, np.ndarray]]:
+        """First row and end of each step, and which of its rows begin a text."""
+        starts = np.append(0, self.ends[:-1])
+        cuts = np.searchsorted(self.fresh, [*starts, self.ends[-1]])
+        return [
+            (first, end, self.fresh[i:j] - first)
+            for first, end, i, j in zip(starts.tolist(), self.ends.tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)
+        ]
 
 
-def score(model: Model, texts: list[np.ndarray], lanes: int = 256, window: int = 32) -> np.ndarray:
+def score(model: Model, texts: list[np.ndarray], lanes: int = 512, window: int = 32) -> np.ndarray:
     """Natural log-probability of each text, its tokens taken as they are."""
     packed = Lanes.of(texts, lanes)
     total = np.zeros(len(texts))
     h = np.zeros((packed.token.shape[1], model.hidden), np.float32)
-    for start in range(0, len(packed.token), window):
-        states, targets, owners = [], [], []
-        for t in range(start, min(start + window, len(packed.token))):
-            n = packed.active[t]
-            tokens, h, _ = _begin(packed.before[t, :n], h[:n])
-            h, _ = model.step(tokens, h)
-            states.append(h)
-            targets.append(packed.token[t, :n])
-            owners.append(packed.text[t, :n])
-        log_p = model.outputs(np.concatenate(states), np.concatenate(targets))
-        total += np.bincount(np.concatenate(owners), log_p, len(texts))
+    start = 0
+    while start < len(packed.token):
+        # Where few lanes are left, more steps go together.
+        stop = min(len(packed.token), start + window * max(1, lanes // max(1, int(packed.active[start]))))
+        steps = Steps(packed, start, stop)
+        states, _ = model.states(steps, h)
+        h, start = states[len(states) - packed.active[stop - 1] :], stop
+        total += np.bincount(steps.texts, model.outputs(states, steps.targets), len(texts))
     return total
 
 
@@ -206,50 +257,51 @@ class Trainer:
         packed = Lanes.even(texts, max(1, min(lanes, fewer)))
         h = np.zeros((packed.token.shape[1], self.model.hidden), np.float32)
         for start in range(0, len(packed.token), window):
-            h = self._window(packed, range(start, min(start + window, len(packed.token))), h)
+            h = self._window(Steps(packed, start, min(start + window, len(packed.token))), h)
         return int(packed.active.sum())
 
-    def _window(self, packed: Lanes, steps: range, h: np.ndarray) -> np.ndarray:
-        model, kept = self.model, []
-        for t in steps:
-            n = packed.active[t]
-            tokens, h, fresh = _begin(packed.before[t, :n], h[:n])
-            h, parts = model.step(tokens, h)
-            kept.append((tokens, fresh, h, parts))
-        targets = np.concatenate([packed.token[t, : packed.active[t]] for t in steps])
-        _, grads, dh_all = model.outputs(np.concatenate([k[2] for k in kept]), targets, train=True)
-        ends = np.cumsum([len(k[0]) for k in kept])
-        inputs, da_all, drec_all, before_all = [], [], [], []
-        later = np.zeros((0, model.hidden), np.float32)
-        for k in range(len(kept) - 1, -1, -1):
-            tokens, fresh, _, (before, r, z, new, rec_new) = kept[k]
-            dh = dh_all[ends[k] - len(tokens) : ends[k]].astype(np.float32)
+    def _window(self, steps: Steps, h: np.ndarray) -> np.ndarray:
+        model, n = self.model, self.model.hidden
+        states, (before, r, z, new, rec_new) = model.states(steps, h)
+        _, grads, dh_all = model.outputs(states, steps.targets, train=True)
+        tokens, state = steps.tokens, np.ascontiguousarray(model.weights["state"].T)
+        # What the gradients are multiplied by at each step does not depend on later steps.
+        of_new = (1 - z) * (1 - new * new)
+        # The recurrent part came doubled.
+        of_r = 0.5 * rec_new * r * (1 - r)
+        of_z = (before - new) * z * (1 - z)
+        dh_all = dh_all.astype(np.float32, copy=False)
+        drec, d_new_all = np.empty((len(tokens), 3 * n), np.float32), np.empty_like(z)
+        later = np.zeros((0, n), np.float32)
+        for first, end, fresh in reversed(steps.rows()):
+            at = slice(first, end)
+            dh, own = dh_all[at], drec[at]
             dh[: len(later)] += later
-            d_new = dh * (1 - z) * (1 - new * new)
-            d_r = d_new * rec_new * r * (1 - r)
-            d_z = dh * (before - new) * z * (1 - z)
-            drec = np.concatenate([d_r, d_z, d_new * r], axis=1)
-            later = dh * z + drec @ model.weights["state"].T
+            d_new = np.multiply(dh, of_new[at], out=d_new_all[at])
+            np.multiply(d_new, of_r[at], out=own[:, :n])
+            np.multiply(dh, of_z[at], out=own[:, n : 2 * n])
+            np.multiply(d_new, r[at], out=own[:, 2 * n :])
+            later = own @ state
+            later += dh * z[at]
             later[fresh] = 0
-            inputs.append(tokens)
-            da_all.append(np.concatenate([d_r, d_z, d_new], axis=1))
-            drec_all.append(drec)
-            before_all.append(before)
-        grads["state"] = np.concatenate(before_all).T @ np.concatenate(drec_all)
-        tokens, da = np.concatenate(inputs), np.concatenate(da_all)
-        order = np.argsort(tokens, kind="stable")
-        rows, first = np.unique(tokens[order], return_index=True)
-        self._climb("gates", np.add.reduceat(da[order], first, axis=0), rows)
+        grads["state"] = before.T @ drec
+        drec[:, 2 * n :] = d_new_all
+        order = np.argsort(tokens.astype(np.uint16) if len(model.weights["gates"]) < 1 << 16 else tokens, kind="stable")
+        rows = tokens[order]
+        starts = np.append(0, np.flatnonzero(np.diff(rows)) + 1)
+        self._climb("gates", np.add.reduceat(drec[order], starts, axis=0), rows[starts])
         for name, grad in grads.items():
-            for part, of_part in grad if isinstance(grad, list) else [(slice(None), grad)]:
-                self._climb(name, of_part, part)
-        return h
+            self._climb(name, grad, slice(None))
+        return states[steps.ends[-2] if len(steps.ends) > 1 else 0 :]
 
     def _climb(self, name: str, grad: np.ndarray, rows) -> None:
-        grad = np.clip(grad, -5, 5)
-        squares = self.squares[name]
-        squares[rows] += grad * grad
-        self.model.weights[name][rows] += self.rate * grad / np.sqrt(squares[rows])
+        np.minimum(np.maximum(grad, -5, out=grad), 5, out=grad)
+        squares = self.squares[name][rows]
+        squares += grad * grad
+        self.squares[name][rows] = squares
+        grad *= self.rate
+        grad /= np.sqrt(squares)
+        self.model.weights[name][rows] += grad
 
 
 def average(models: list[dict[str, np.ndarray]], sizes: list[float]) -> dict[str, np.ndarray]:

@@ -15,6 +15,8 @@
 
 from __future__ import annotations
 
+import collections
+import itertools
 import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -122,6 +124,29 @@ class Learned:
     distinct: int
 
 
+class _Tokens(dict):
+    """The model's token of each word, remembered for the words met lately."""
+
+    def __init__(self, frequent: Frequent):
+        shown = np.flatnonzero(frequent.tokens != gru.RARE)
+        self.of_hash = dict(zip(frequent.hashes[shown].view(np.uint64).tolist(), frequent.tokens[shown].tolist(), strict=True))
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= Hashes.LIMIT:
+            self.clear()
+        token = self[word] = self.of_hash.get(xxhash.xxh3_64_intdigest(word), gru.RARE)
+        return token
+
+    def read(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The tokens of each text, END at last."""
+        split = [x.lower().split() for x in texts]
+        for words in split:
+            words.append(b" ")
+        counts = np.array([len(x) for x in split])
+        tokens = np.fromiter(map(self.__getitem__, itertools.chain.from_iterable(split)), np.int32, counts.sum())
+        return np.split(tokens, np.cumsum(counts)[:-1])
+
+
 class _Reader:
     """Tokens of texts, each distinct word looked up once per slice."""
 
@@ -131,14 +156,13 @@ class _Reader:
     def read(self, texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Distinct words (END first), their hashes and places among the frequent ones; the distinct
         word of each token, and the number of tokens of each text. Each text ends with END."""
-        rows: dict[bytes, int] = {b" ": 0}
+        rows: dict[bytes, int] = collections.defaultdict(itertools.count().__next__)
+        rows[b" "]
         split = [x.lower().split() for x in texts]
         for words in split:
             words.append(b" ")
-        for word in set().union(*split):
-            rows.setdefault(word, len(rows))
         counts = np.array([len(x) for x in split])
-        tokens = np.fromiter((r for x in split for r in map(rows.__getitem__, x)), np.int64, counts.sum())
+        tokens = np.fromiter(map(rows.__getitem__, itertools.chain.from_iterable(split)), np.int64, counts.sum())
         words = list(rows)
         hashes = self.hashes.of(words).view(np.int64)
         return words, hashes, self.frequent.find(hashes), tokens, counts
@@ -151,14 +175,12 @@ def _trained(docs: DataFrame, learned: Learned) -> gru.Model:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start = sent.value
-        reader, model = _Reader(start.frequent), gru.Model(start.model.starts, {k: v.copy() for k, v in start.model.weights.items()})
+        reader, model = _Tokens(start.frequent), gru.Model(start.model.starts, {k: v.copy() for k, v in start.model.weights.items()})
         trainer, seen = gru.Trainer(model, RATE), 0
         for batch in batches:
             texts = [x or b"" for x in bytes_of(batch.column(0))]
             for first, last in slices([len(x) for x in texts], 1 << 23):
-                _, _, places, tokens, counts = reader.read(texts[first:last])
-                own = np.where(places >= 0, start.frequent.tokens[places] if len(start.frequent.tokens) else 0, gru.RARE)[tokens]
-                seen += trainer.train(np.split(own, np.cumsum(counts)[:-1]))
+                seen += trainer.train(reader.read(texts[first:last]))
         if seen:
             part, raw = TaskContext.get().partitionId(), pickle.dumps(model.weights)
             yield pa.RecordBatch.from_arrays(

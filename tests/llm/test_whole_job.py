@@ -3,10 +3,11 @@
 import random
 import zlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from merchlake.llm import op04_lines, op05_language, op06_substrings
+from merchlake.llm import gru, op04_lines, op05_language, op06_substrings
 from merchlake.llm.common import beside, within
 from tests.llm import docs as made
 
@@ -39,6 +40,17 @@ def test_untouched_texts_do_not_move(spark):
     assert rebuilt.count() == 9
 
 
+def test_steps_of_few_lanes_go_together(monkeypatch):
+    """A text far longer than the others is not scored in windows of one lane and a few steps."""
+    rng = np.random.default_rng(4)
+    model, calls, outputs = gru.Model.initial(np.arange(40, 0, -1), 8, 4, 16), [], gru.Model.outputs
+    texts = [np.append(rng.integers(2, 40, n), gru.END) for n in (3000, 5, 0, 40)]
+    apart = [gru.score(model, [x], lanes=1)[0] for x in texts]
+    monkeypatch.setattr(gru.Model, "outputs", lambda *a, **b: calls.append(1) or outputs(*a, **b))
+    np.testing.assert_allclose(gru.score(model, texts), apart, rtol=1e-5)
+    assert len(calls) < 10
+
+
 def without_repeats(rows, window=13):
     """doc_id: n_words, n_removed, kept; rows by rising id."""
     first, wanted = {}, {}
